@@ -83,11 +83,12 @@ def order_documents(spark, sf_dir):
                                      _el("TRANSMITDATE", ts), F.lit("</HEADER></n0:Order>"))).otherwise(F.lit(""))
     xml = F.concat(F.lit('<n0:Orders xmlns:n0="urn:orders"><n0:Order>'), header, prio, lines,
                    F.lit("</n0:Order>"), rev, F.lit("</n0:Orders>"))
-    return o.select(F.concat(F.lit("order-"), ok).alias("doc_key"), encode_base64_text(xml).alias("payload"))
+    return o.select(F.concat(F.lit("order-"), ok).alias("doc_key"), encode_base64_text(xml).alias("payload"),
+                    "o_orderkey")
 
 
 def _decoded(spark, sf_dir):
-    return decode_documents(order_documents(spark, sf_dir), ORDER_LAYOUT)
+    return decode_documents(order_documents(spark, sf_dir).drop("o_orderkey"), ORDER_LAYOUT)
 
 
 _DOCS_SQL = """

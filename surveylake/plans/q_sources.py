@@ -113,3 +113,83 @@ def q_with_audit(spark, sf_dir):
     """P25/K5: user and one fixed load time per run added to every row."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     return with_audit(c, "etl_user", LOAD_TS).withColumn("FECHA_CARGA", F.col("FECHA_CARGA").cast("timestamp_ntz"))
+
+
+@register("consume_landing", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events""")
+def q_consume_landing(spark, sf_dir):
+    """The landed events file consumed once by a file stream
+    (availableNow) into a parquet sink; the sink holds every row once."""
+    from ..session import scratch_path
+    from ..streaming.landing import consume_landing
+    src = table(spark, sf_dir, "events")
+    base = scratch_path(spark, "landing")
+    consume_landing(spark, sf_dir, src.schema, f"{base}/sink", f"{base}/checkpoint",
+                    glob="events.parquet")
+    return spark.read.parquet(f"{base}/sink")
+
+
+_ENVELOPE_HEADER = ["ORDERKEY", "CUSTKEY", "STATUS", "TRANSMITDATE", "TRANSMITDATE_CT", "INVOICEDATE",
+                    "INVOICEDATE_CT", "WORKORDERNUMBER", "SOURCEURL", "LEVEL"]
+
+
+@register("read_envelope", """
+WITH h AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS ORDERKEY, CAST(o_custkey AS VARCHAR) AS CUSTKEY, o_orderstatus AS STATUS,
+    strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') ||
+      CASE o_orderstatus WHEN 'F' THEN '-05:00' WHEN 'P' THEN '+01:00' ELSE '' END AS TRANSMITDATE_CT,
+    CASE WHEN o_orderstatus <> 'O' THEN strftime(o_orderdate, '%Y-%m-%d') || 'T12:00:00-05:00' END AS INVOICEDATE_CT,
+    'WO-' || o_orderkey AS WORKORDERNUMBER, 'http://orders.example/' || o_orderkey AS SOURCEURL,
+    o_orderpriority AS LEVEL
+  FROM orders
+  UNION ALL
+  SELECT CAST(o_orderkey AS VARCHAR), NULL, 'REV', strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S'),
+    NULL, NULL, NULL, NULL
+  FROM orders WHERE o_orderstatus = 'F')
+SELECT ORDERKEY, CUSTKEY, STATUS, regexp_replace(TRANSMITDATE_CT, '-\\d{2}:\\d{2}$', '') AS TRANSMITDATE,
+  TRANSMITDATE_CT, regexp_replace(INVOICEDATE_CT, '-\\d{2}:\\d{2}$', '') AS INVOICEDATE, INVOICEDATE_CT,
+  WORKORDERNUMBER, SOURCEURL, LEVEL
+FROM h""")
+def q_read_envelope(spark, sf_dir):
+    """S6 + N11: API responses landed as JSON lines ``{"data": [{"interfaceValue":
+    <base64 XML>}, ...]}`` (64 documents per response), read back, exploded
+    and decoded into header rows."""
+    from ..operators.nested import conform_to_schema, decode_documents
+    from ..schema import Field, SchemaDocument
+    from ..session import scratch_path
+    from ..sources.documents import read_envelope
+    from .q_documents import ORDER_LAYOUT, order_documents
+    docs = order_documents(spark, sf_dir)
+    env = (docs.groupBy(F.floor(F.col("o_orderkey") / 64).alias("response"))
+           .agg(F.collect_list(F.struct(F.col("payload").alias("interfaceValue"))).alias("data")))
+    path = scratch_path(spark, "envelopes")
+    env.select("data").write.mode("overwrite").json(path)
+    decoded = decode_documents(read_envelope(spark, path, multi_line=False), ORDER_LAYOUT)
+    return conform_to_schema(decoded["HEADER"], SchemaDocument("H", [Field(n) for n in _ENVELOPE_HEADER]))
+
+
+@register("read_sheet_export", """
+SELECT CAST(o_orderkey AS VARCHAR) AS identificador_unico,
+  CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS Mes_Encuesta,
+  CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderstatus END AS Estado,
+  CAST(o_totalprice AS VARCHAR) AS Monto,
+  CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE strftime(o_orderdate, '%Y%m') END AS Period
+FROM orders""")
+def q_read_sheet_export(spark, sf_dir):
+    """S1 + P18 + P17 (C1 before the writes): a worksheet exported as CSV
+    (header row, blank cells, mixed-case month column) read back as text and
+    given its yyyyMM Period."""
+    from ..functions.cleanse import add_period
+    from ..schema import find_column
+    from ..session import scratch_path
+    from ..sources.sheets import read_sheet_export
+    o = table(spark, sf_dir, "orders")
+    sheet = o.select(
+        F.col("o_orderkey").cast("string").alias("identificador_unico"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("Mes_Encuesta"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.col("o_orderstatus")).alias("Estado"),
+        F.col("o_totalprice").cast("string").alias("Monto"))
+    path = scratch_path(spark, "sheet")
+    sheet.write.mode("overwrite").option("header", True).csv(path)
+    df = read_sheet_export(spark, path)
+    return add_period(df, find_column(df.columns))

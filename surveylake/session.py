@@ -51,3 +51,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint location (never a
+    machine-local temp folder) for intermediate files of one run."""
+    import uuid
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/surveylake-scratch/{name}-{uuid.uuid4().hex[:12]}"
