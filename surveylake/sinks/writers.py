@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cleanse import stringify_frame, with_audit
-from ..operators.merge import MONTH, month_key, month_replace
+from ..operators.merge import month_key, month_replace
 from ..sources.config import LOG_COLUMNS
 
 MONTH_PARTITION = "survey_month"
@@ -41,9 +41,11 @@ def snapshot_stamp(ts: dt.datetime | None = None) -> str:
 
 
 def export_history(df: DataFrame, base: str, name: str, ts: dt.datetime | None = None) -> str:
-    """K3: a timestamped snapshot ``<name>_HISTORY_<yyyymmdd_HHMMSS>``."""
+    """K3: a timestamped snapshot ``<name>_HISTORY_<yyyymmdd_HHMMSS>``.
+
+    A retried run with the same load time rewrites its own snapshot."""
     path = f"{base.rstrip('/')}/history/{name}_HISTORY_{snapshot_stamp(ts)}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return path
 
 
