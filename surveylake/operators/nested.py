@@ -65,12 +65,24 @@ def row_id(*parts: Column | str) -> Column:
     return F.sha2(F.concat_ws("|", *[c.cast("string") for c in cols]), 256)
 
 
+def spread(docs: DataFrame) -> DataFrame:
+    """Parsing is CPU-bound per document: when the input has fewer splits
+    than the cluster has cores (a few small files), spread the documents
+    round-robin.  Large inputs already have many more splits than cores and
+    are left alone, so this never adds a shuffle at scale."""
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    if docs.rdd.getNumPartitions() < cores:
+        return docs.repartition(cores)
+    return docs
+
+
 def parse_documents(docs: DataFrame, layout: DocumentLayout, payload: str = "payload",
                     base64: bool = True, key: str = "doc_key") -> DataFrame:
     """N1 + P21 + P24: (doc_key, payload) -> (doc_key, DOC_ID, parsed struct).
 
     Malformed base64 gives a NULL text and so no rows (it is not an error).
     """
+    docs = spread(docs)
     text = decode_base64_text(payload) if base64 else F.col(payload)
     text = strip_prefixes(text)
     return docs.select(F.col(key).alias("doc_key"),
