@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import apply_schema
-from ..functions.cleanse import add_period, decode_base64_text, load_timestamp, stringify_frame, strip_prefixes
+from ..functions.cleanse import (add_period, decode_base64_text, load_timestamp, stringify_frame,
+                                 strip_prefixes, with_audit)
 from ..operators.audit import observed
 from ..operators.nested import DocumentLayout, conform_to_schema, decode_documents
 from ..schema import SchemaDocument, find_column, union_documents
@@ -79,25 +80,41 @@ def append_history(raw: DataFrame, sql: DataFrame, path: str, user: str, load_ts
 
 
 def process_table(spark: SparkSession, cfg: TableConfig, user: str,
-                  load_ts: dt.datetime | None = None, strict: bool = True) -> dict:
+                  load_ts: dt.datetime | None = None, strict: bool = True,
+                  export_snapshots: bool = True) -> dict:
     """History append, month replacement into PROCESSED, exports, log.
 
     The log count is the number of rows *read* from both sources (A2).
+    ``export_snapshots`` copies the whole PROCESSED and history tables to the
+    export area each run, as the source system did; on a very large table
+    turn it off and read table versions instead (a full copy per load grows
+    with the table, the rest of the load grows only with the sources).
     """
     load_ts = load_ts or load_timestamp()
     raw, sql, union = typed_sources(spark, cfg, strict)
+    # the (incremental) sources are read by the history append and by both
+    # month-replace writes: cast them once
+    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    sql = sql.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _process(spark, cfg, user, load_ts, raw, sql, union, export_snapshots)
+    finally:
+        raw.unpersist()
+        sql.unpersist()
+
+
+def _process(spark, cfg, user, load_ts, raw, sql, union, export_snapshots):
     month = find_column([f.name for f in union.fields])
     raw_c, raw_obs = observed(raw, f"{cfg.name}_raw")
     sql_c, sql_obs = observed(sql, f"{cfg.name}_sql")
     append_history(raw_c, sql_c, cfg.history_path, user, load_ts)
     rows = int(raw_obs.get["rows"]) + int(sql_obs.get["rows"])
     W.log_load(spark, cfg.log_path, cfg.domain, cfg.name, f"{cfg.name}_RawToProcessedHistory", rows, user, load_ts)
-    from ..functions.cleanse import with_audit
     W.replace_months(cfg.processed_path, [(with_audit(raw, user, load_ts), month),
                                           (with_audit(sql, user, load_ts), month)])
-    processed = spark.read.parquet(cfg.processed_path)
-    W.export_current(processed, cfg.export_base, cfg.name)
-    W.export_history(spark.read.parquet(cfg.history_path), cfg.export_base, cfg.name, load_ts)
+    if export_snapshots:
+        W.export_current(spark.read.parquet(cfg.processed_path), cfg.export_base, cfg.name)
+        W.export_history(spark.read.parquet(cfg.history_path), cfg.export_base, cfg.name, load_ts)
     W.log_load(spark, cfg.log_path, cfg.domain, cfg.name, f"{cfg.name}_RawToProcessed", rows, user, load_ts)
     return {"table": cfg.name, "rows_read": rows}
 
@@ -142,7 +159,11 @@ def publish_models(sources: Mapping[tuple[str, str], DataFrame], target: str, pa
     (Domain, origin, survey month) -- a re-run replaces instead of appending
     the same rows a second time."""
     out = build_model(sources, target, org_codes, origin_column="origin")
-    month_col = "SurveyDate" if "SurveyDate" in TARGET_COLUMNS[target] else "Period"
-    out = out.withColumn("survey_month", F.trunc(F.to_date(F.col(month_col)), "MM"))
+    if "SurveyDate" in TARGET_COLUMNS[target]:
+        month = F.col("SurveyDate")
+    else:  # Period is 'yyyy-MM-dd' (sheet) or 'yyyyMM' (SQL export)
+        p = F.col("Period")
+        month = F.coalesce(F.try_to_date(F.substring(p, 1, 10), "yyyy-MM-dd"), F.try_to_date(p, "yyyyMM"))
+    out = out.withColumn("survey_month", F.trunc(month, "MM"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("Domain", "origin", "survey_month").parquet(path))

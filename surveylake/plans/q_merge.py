@@ -199,3 +199,37 @@ def q_dedup(spark, sf_dir):
     """A3: full-row distinct of the exported projection (one value is very hot)."""
     e = table(spark, sf_dir, "events")
     return dedup(e.select("event_type", "user_id", F.to_date("ts").alias("day")))
+
+
+@register("replace_months_table", f"""
+WITH {_SURVEY_ORDERS_SQL},
+d AS (SELECT * FROM o WHERE o_orderdate < TIMESTAMP '1997-01-01'),
+r AS (SELECT * FROM o WHERE o_orderdate >= TIMESTAMP '1996-07-01' AND o_orderdate < TIMESTAMP '1999-01-01'),
+s AS (SELECT * FROM o WHERE o_orderdate >= TIMESTAMP '1997-07-01'),
+t AS (
+  SELECT 'dest' AS origin, o_orderkey, o_custkey, o_orderstatus, o_totalprice, survey_month FROM d
+  WHERE NOT EXISTS (SELECT 1 FROM r WHERE date_trunc('month', r.survey_month) = date_trunc('month', d.survey_month))
+    AND NOT EXISTS (SELECT 1 FROM s WHERE date_trunc('month', s.survey_month) = date_trunc('month', d.survey_month))
+  UNION ALL
+  SELECT 'raw', o_orderkey, o_custkey, o_orderstatus, o_totalprice, survey_month FROM r
+  WHERE NOT EXISTS (SELECT 1 FROM s WHERE date_trunc('month', s.survey_month) = date_trunc('month', r.survey_month))
+  UNION ALL
+  SELECT 'sql', o_orderkey, o_custkey, o_orderstatus, o_totalprice, survey_month FROM s)
+SELECT *, CAST(date_trunc('month', survey_month) AS DATE) AS month_key FROM t""")
+def q_replace_months_table(spark, sf_dir):
+    """K6/C4 through the storage writer: the PROCESSED table is written
+    month-partitioned, then the two sources replace their months with a
+    dynamic partition overwrite (untouched months are not rewritten) and the
+    NULL-month rows are appended; the table is read back."""
+    from ..session import scratch_path
+    from ..sinks.writers import replace_months
+    src = _survey_orders(spark, sf_dir)
+    d = src.where(F.col("o_orderdate") < _ts(1997, 1, 1)).drop("o_orderdate").withColumn("origin", F.lit("dest"))
+    r = (src.where((F.col("o_orderdate") >= _ts(1996, 7, 1)) & (F.col("o_orderdate") < _ts(1999, 1, 1)))
+         .drop("o_orderdate").withColumn("origin", F.lit("raw")))
+    s = src.where(F.col("o_orderdate") >= _ts(1997, 7, 1)).drop("o_orderdate").withColumn("origin", F.lit("sql"))
+    path = scratch_path(spark, "processed")
+    replace_months(path, [(d, "survey_month")])
+    replace_months(path, [(r, "survey_month"), (s, "survey_month")])
+    out = spark.read.parquet(path)
+    return out.withColumn("month_key", F.col("month_key").cast("date"))

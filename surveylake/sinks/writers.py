@@ -19,7 +19,7 @@ from ..functions.cleanse import stringify_frame, with_audit
 from ..operators.merge import month_key, month_replace
 from ..sources.config import LOG_COLUMNS
 
-MONTH_PARTITION = "survey_month"
+MONTH_PARTITION = "month_key"
 
 
 def write_raw(df: DataFrame, path: str, stringify: bool = True) -> None:

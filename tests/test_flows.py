@@ -39,7 +39,7 @@ def test_ingest_sheet_and_process_table(spark, tmp):
     prc = spark.read.parquet(f"{tmp}/prc/BD_T")
     # February: the SQL export replaces the sheet; the blank-month row is kept.
     assert sorted(r.identificador_unico for r in prc.collect()) == ["a", "c", "d"]
-    assert set(prc.columns) >= {"USUARIO", "FECHA_CARGA", "PERIODO_CARGA", "survey_month"}
+    assert set(prc.columns) >= {"USUARIO", "FECHA_CARGA", "PERIODO_CARGA", "month_key"}
     # a second run replaces its months again; a blank-month row is never
     # deleted, so (as with DELETE ... WHERE EXISTS + INSERT) it is appended again
     flows.process_table(spark, cfg, "tester", ts)
