@@ -134,10 +134,14 @@ def upsert_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     """K7: replace rows of ``old`` by key with the rows of ``new``.
 
     ``DELETE FROM old WHERE key IN new; INSERT new`` as one plan: a
-    LeftAnti join on the keys (only the key columns of ``new`` are shuffled)
-    then a union.  A NULL key never matches, so such old rows are kept.
+    LeftAnti join on the keys then a union.  Only the *distinct* key columns
+    of ``new`` are shuffled (duplicates collapse map-side, so a key repeated
+    in a third of the new rows costs one row); a hot key on the ``old`` side
+    is split by AQE's skew-join handling.  A NULL key never matches, so such
+    old rows are kept.
     """
-    nk = new.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]).alias("__nk")
+    nk = (new.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
+          .distinct().alias("__nk"))
     cond = reduce(lambda a, b: a & b, [F.col(f"__old.`{k}`") == F.col(f"__nk.__k{i}")
                                        for i, k in enumerate(keys)])
     kept = old.alias("__old").join(nk, cond, "left_anti")
@@ -175,7 +179,16 @@ def change_predicate(a: str, b: str, fields: Mapping[str, str],
 
 def changed_rows(old: DataFrame, new: DataFrame, keys: Sequence[str], fields: Mapping[str, str],
                  mode: str = "sentinel") -> DataFrame:
-    """J4+J5: rows of ``new`` whose key exists in ``old`` with different values."""
-    j = new.alias("__new").join(old.alias("__old"), key_condition("__new", "__old", keys), "inner")
-    return (j.where(change_predicate("__old", "__new", fields, mode))
-            .select(*[F.col(f"__new.`{c}`") for c in new.columns]))
+    """J4+J5: rows of ``new`` whose key exists in ``old`` with different values.
+
+    Written as a LeftSemi join (key equality + change predicate) against the
+    *distinct* old versions (keys + compared columns): each new row is
+    returned at most once and identical old copies collapse before the
+    shuffle, so a key repeated across a third of the table never produces
+    all pairs of its group.  With unique keys this is exactly the
+    ``A JOIN B ON keys WHERE <change>`` of the source system.
+    """
+    cols = list(dict.fromkeys(list(keys) + list(fields)))
+    versions = old.select(*[F.col(f"`{c}`") for c in cols]).dropDuplicates()
+    cond = key_condition("__new", "__old", keys) & change_predicate("__old", "__new", fields, mode)
+    return new.alias("__new").join(versions.alias("__old"), cond, "left_semi")

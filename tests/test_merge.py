@@ -79,3 +79,14 @@ def test_changed_rows_sentinel_vs_null_safe(spark):
     safe = sorted(r.k for r in Mg.changed_rows(old, new, ["k"], types, mode="null_safe").collect())
     assert sent == [2]
     assert safe == [1, 2, 3]
+
+
+def test_hot_key_does_not_multiply_rows(spark):
+    old = spark.range(3000).selectExpr("1 AS k", "5 AS n", "'x' AS s")   # one key, 3000 identical copies
+    new = spark.createDataFrame([(1, 6, "x"), (2, 1, "y")], "k int, n int, s string")
+    got = Mg.changed_rows(old, new, ["k"], {"n": "INT64", "s": "STRING"}).collect()
+    assert [tuple(r) for r in got] == [(1, 6, "x")]
+    hot_new = spark.range(3000).selectExpr("1 AS k", "CAST(id AS STRING) AS v")
+    old2 = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    out = Mg.upsert_by_key(old2, hot_new, ["k"])
+    assert out.count() == 3001 and out.where("k = 2").count() == 1
