@@ -56,9 +56,8 @@ def _el(name: str, value: Column) -> Column:
 MAX_LINES = 4
 
 
-def order_documents(spark, sf_dir):
-    """(doc_key, payload): one base64 XML document per order."""
-    o = spread(table(spark, sf_dir, "orders"))
+def order_children(o):
+    """The ``<n0:Order>`` child element(s) of one order, as XML text."""
     ok = F.col("o_orderkey").cast("string")
     ts = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
     st = F.col("o_orderstatus")
@@ -88,10 +87,19 @@ def order_documents(spark, sf_dir):
                                  F.greatest(n_lines, F.lit(0))), "")
     rev = F.when(st == "F", F.concat(F.lit("<n0:Order><HEADER>"), _el("ORDERKEY", ok), _el("STATUS", F.lit("REV")),
                                      _el("TRANSMITDATE", ts), F.lit("</HEADER></n0:Order>"))).otherwise(F.lit(""))
-    xml = F.concat(F.lit('<n0:Orders xmlns:n0="urn:orders"><n0:Order>'), header, prio, lines,
-                   F.lit("</n0:Order>"), rev, F.lit("</n0:Orders>"))
-    return o.select(F.concat(F.lit("order-"), ok).alias("doc_key"), encode_base64_text(xml).alias("payload"),
-                    "o_orderkey")
+    return F.concat(F.lit("<n0:Order>"), header, prio, lines, F.lit("</n0:Order>"), rev)
+
+
+ROOT_OPEN = '<n0:Orders xmlns:n0="urn:orders">'
+ROOT_CLOSE = "</n0:Orders>"
+
+
+def order_documents(spark, sf_dir):
+    """(doc_key, payload, o_orderkey): one base64 XML document per order."""
+    o = spread(table(spark, sf_dir, "orders"))
+    xml = F.concat(F.lit(ROOT_OPEN), order_children(o), F.lit(ROOT_CLOSE))
+    return o.select(F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")).alias("doc_key"),
+                    encode_base64_text(xml).alias("payload"), "o_orderkey")
 
 
 def _decoded(spark, sf_dir):

@@ -133,7 +133,7 @@ _ENVELOPE_HEADER = ["ORDERKEY", "CUSTKEY", "STATUS", "TRANSMITDATE", "TRANSMITDA
                     "INVOICEDATE_CT", "WORKORDERNUMBER", "SOURCEURL", "LEVEL"]
 
 
-@register("read_envelope", """
+_ENVELOPE_SQL = """
 WITH h AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS ORDERKEY, CAST(o_custkey AS VARCHAR) AS CUSTKEY, o_orderstatus AS STATUS,
     strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') ||
@@ -149,7 +149,10 @@ WITH h AS (
 SELECT ORDERKEY, CUSTKEY, STATUS, regexp_replace(TRANSMITDATE_CT, '-\\d{2}:\\d{2}$', '') AS TRANSMITDATE,
   TRANSMITDATE_CT, regexp_replace(INVOICEDATE_CT, '-\\d{2}:\\d{2}$', '') AS INVOICEDATE, INVOICEDATE_CT,
   WORKORDERNUMBER, SOURCEURL, LEVEL
-FROM h""")
+FROM h"""
+
+
+@register("read_envelope", _ENVELOPE_SQL)
 def q_read_envelope(spark, sf_dir):
     """S6 + N11: API responses landed as JSON lines ``{"data": [{"interfaceValue":
     <base64 XML>}, ...]}`` (64 documents per response), read back, exploded
@@ -193,3 +196,27 @@ def q_read_sheet_export(spark, sf_dir):
     sheet.write.mode("overwrite").option("header", True).csv(path)
     df = read_sheet_export(spark, path)
     return add_period(df, find_column(df.columns))
+
+
+@register("read_xml_folder", _ENVELOPE_SQL)
+def q_read_xml_folder(spark, sf_dir):
+    """S4/S5 + N2 + N11: XML files landed in a folder tree, each file one
+    document whose root holds up to 64 orders (many children per document);
+    read whole-text by glob, decoded into header rows."""
+    from ..operators.nested import conform_to_schema, decode_documents
+    from ..schema import Field, SchemaDocument
+    from ..session import scratch_path
+    from ..sources.documents import read_xml_folder
+    from .q_documents import ORDER_LAYOUT, ROOT_CLOSE, ROOT_OPEN, order_children
+    o = table(spark, sf_dir, "orders")
+    files = (o.select(F.floor(F.col("o_orderkey") / 64).alias("file"), "o_orderkey",
+                      order_children(o).alias("child"))
+             .groupBy("file")
+             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "child"))),
+                                           lambda x: x["child"]), "").alias("children"))
+             .select("file", F.concat(F.lit(ROOT_OPEN), "children", F.lit(ROOT_CLOSE)).alias("value")))
+    path = scratch_path(spark, "xml")
+    files.write.mode("overwrite").partitionBy("file").text(path)
+    docs = read_xml_folder(spark, path, glob="*.txt")
+    decoded = decode_documents(docs, ORDER_LAYOUT, base64=False)
+    return conform_to_schema(decoded["HEADER"], SchemaDocument("H", [Field(n) for n in _ENVELOPE_HEADER]))
