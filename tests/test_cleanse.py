@@ -59,3 +59,11 @@ def test_camel_and_upper(spark):
 def test_stringify_frame(spark):
     df = spark.createDataFrame([(1, "None", "nan")], "a int, b string, c string")
     assert tuple(X.stringify_frame(df).first()) == ("1", None, "nan")
+
+
+def test_base64_with_mime_line_breaks(spark):
+    import base64 as b64
+    text = "<doc>" + "é" * 120 + "</doc>"
+    mime = b64.encodebytes(text.encode()).decode()      # 76-char lines with \n
+    assert "\n" in mime.strip()
+    assert col(spark, [mime, mime.replace("\n", "\r\n")], X.decode_base64_text) == [text, text]
