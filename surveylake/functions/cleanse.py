@@ -135,10 +135,26 @@ def stringify_frame(df: DataFrame, none_text: str = NONE_TEXT) -> DataFrame:
                        for c in df.columns])
 
 
+def ntz_lit(ts: _dt.datetime | _dt.date) -> Column:
+    """A zone-less TIMESTAMP_NTZ literal, independent of the Python process
+    zone and of ``spark.sql.session.timeZone`` (parsed from its text)."""
+    if not isinstance(ts, _dt.datetime):
+        ts = _dt.datetime.combine(ts, _dt.time())
+    return F.lit(ts.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def ts_lit(ts: _dt.datetime) -> Column:
+    """A TIMESTAMP literal: an aware datetime is an instant; a naive one is
+    read in the session time zone (not the Python process zone)."""
+    if ts.tzinfo is not None:
+        return F.lit(ts)
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp")
+
+
 def with_audit(df: DataFrame, user: str, load_ts: _dt.datetime,
                user_col: str = "USUARIO", ts_col: str = "FECHA_CARGA") -> DataFrame:
     """P25: audit columns; the load time is one literal fixed per run."""
-    return df.withColumn(user_col, F.lit(user)).withColumn(ts_col, F.lit(load_ts).cast("timestamp"))
+    return df.withColumn(user_col, F.lit(user)).withColumn(ts_col, ts_lit(load_ts))
 
 
 def load_timestamp(tz: str = "America/Lima") -> _dt.datetime:

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.cleanse import ntz_lit
+
 # --- fixed values -----------------------------------------------------------
 START_KEY = "fecinicio_query"
 END_KEY = "fecfin_query"
@@ -55,8 +57,7 @@ def request_window(cfg: dict, today: dt.date | None = None) -> Window:
 def incremental_window(df: DataFrame, ts_column: str, window: Window) -> DataFrame:
     """Rows with ``start <= ts < end`` (literal bounds -> parquet pushdown)."""
     c = F.col(f"`{ts_column}`")
-    lo = F.lit(window.start).cast("timestamp_ntz")
-    hi = F.lit(window.end).cast("timestamp_ntz")
+    lo, hi = ntz_lit(window.start), ntz_lit(window.end)
     return df.where((c >= lo) & (c < hi))
 
 

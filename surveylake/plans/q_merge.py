@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ..functions.cleanse import ntz_lit
 from ..operators.audit import dedup, total_rows
 from ..operators.merge import (changed_rows, drop_months, keep_months, month_replace,
                                update_months, upsert_by_key)
@@ -14,7 +15,7 @@ from .catalog import register, table
 
 
 def _ts(y, m, d):
-    return F.lit(dt.datetime(y, m, d)).cast("timestamp_ntz")
+    return ntz_lit(dt.datetime(y, m, d))
 
 
 def _survey_orders(spark, sf_dir):

@@ -21,6 +21,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ..functions.cleanse import ntz_lit
 from . import models as M
 from .catalog import register, table
 
@@ -99,7 +100,7 @@ def _sql_value(role, idx):
 
 def _where_spark(domain, origin):
     pr = F.col("o_orderpriority").isin(*DOMAIN_PRIORITIES[domain])
-    d = F.col("o_orderdate") >= F.lit(SQL_FROM).cast("timestamp_ntz")
+    d = F.col("o_orderdate") >= ntz_lit(SQL_FROM)
     return pr & (d if origin == "sql" else ~d)
 
 
