@@ -155,6 +155,19 @@ def apply_schema(df: DataFrame, schema: SchemaDocument | list[Field], strict: bo
     return df.select(*cols)
 
 
+def project_to_fields(df: DataFrame, schema: SchemaDocument | list[Field]) -> DataFrame:
+    """Select an already-typed frame into a field list by name
+    (case-insensitive): present columns are cast to the field's type,
+    missing ones are typed NULLs.  No text parsing happens here."""
+    fields = schema.fields if isinstance(schema, SchemaDocument) else schema
+    cols = []
+    for f in fields:
+        src = resolve(df.columns, f.name)
+        c = F.col(f"`{src}`") if src else F.lit(None)
+        cols.append(c.cast(f.spark_type).alias(f.name))
+    return df.select(*cols)
+
+
 def reject_count_column(df: DataFrame, schema: SchemaDocument | list[Field]) -> Column:
     """Number of non-blank cells in a row that a lenient cast turns into NULL."""
     fields = schema.fields if isinstance(schema, SchemaDocument) else schema

@@ -40,8 +40,9 @@ def month_key(df: DataFrame, column: str) -> Column:
     Text that is not a date gives a NULL month (kept by anti joins) rather
     than failing the job.
     """
-    c = F.col(f"`{column}`")
-    dtype = df.schema[column].dataType
+    name = next((f.name for f in df.schema.fields if f.name.lower() == column.lower()), column)
+    c = F.col(f"`{name}`")
+    dtype = df.schema[name].dataType
     if isinstance(dtype, T.StringType):
         d = F.try_to_date(c)
     elif isinstance(dtype, T.DateType):
@@ -91,14 +92,12 @@ def update_months(dest: DataFrame, dest_month: str, source: DataFrame,
     take the new values, all other rows pass through unchanged.
     """
     months = distinct_months(source, source_month or dest_month).withColumn(HIT, F.lit(True))
-    j = _month_join(dest, dest_month, months, "left")
+    j = _month_join(dest.alias("__d"), dest_month, months, "left")
     hit = F.coalesce(F.col(f"__m.{HIT}"), F.lit(False))
     cols = []
     for c in dest.columns:
-        if c in assignments:
-            cols.append(F.when(hit, assignments[c]).otherwise(dest[f"`{c}`"]).alias(c))
-        else:
-            cols.append(dest[f"`{c}`"])
+        cur = F.col(f"__d.`{c}`")
+        cols.append((F.when(hit, assignments[c]).otherwise(cur) if c in assignments else cur).alias(c))
     return j.select(*cols)
 
 

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.casts import apply_schema
+from ..functions.casts import apply_schema, project_to_fields
 from ..functions.cleanse import (add_period, decode_base64_text, load_timestamp, stringify_frame,
                                  strip_prefixes, with_audit)
 from ..operators.audit import observed
@@ -69,8 +69,8 @@ def typed_sources(spark: SparkSession, cfg: TableConfig, strict: bool = True) ->
     """P7 + U2: both RAW sources cast by their schema documents into the
     union schema (first document wins a type, names case-insensitive)."""
     union = union_documents(cfg.raw_schema, cfg.sql_schema, cfg.name)
-    raw = apply_schema(apply_schema(spark.read.parquet(cfg.raw_path), cfg.raw_schema, strict), union.fields, False)
-    sql = apply_schema(apply_schema(spark.read.parquet(cfg.sql_path), cfg.sql_schema, strict), union.fields, False)
+    raw = project_to_fields(apply_schema(spark.read.parquet(cfg.raw_path), cfg.raw_schema, strict), union.fields)
+    sql = project_to_fields(apply_schema(spark.read.parquet(cfg.sql_path), cfg.sql_schema, strict), union.fields)
     return raw, sql, union
 
 

@@ -130,12 +130,13 @@ def load_schema(spark: SparkSession, path: str, fallback: str | None = None) ->
             continue
         if "fields" not in raw.columns:
             continue
-        head = raw.select(*[c for c in ("name", "title") if c in raw.columns]).first()
-        cfg = raw.select("config").first()[0].asDict(recursive=True) if "config" in raw.columns else {}
+        head_cols = [c for c in ("name", "title") if c in raw.columns]
+        head = raw.select(*head_cols).first().asDict() if head_cols else {}
+        cfg_row = raw.select("config").first()[0] if "config" in raw.columns else None
+        cfg = cfg_row.asDict(recursive=True) if cfg_row is not None else {}
         rows = (raw.select(F.posexplode("fields").alias("pos", "f"))
                 .select("pos", "f.*").orderBy("pos").collect())
-        doc = {"name": head["name"] if head and "name" in head else "",
-               "title": head["title"] if head and "title" in head else "",
+        doc = {"name": head.get("name") or "", "title": head.get("title") or "",
                "config": cfg or {},
                "fields": [r.asDict() for r in rows]}
         return document_from_dict(doc)

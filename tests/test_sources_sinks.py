@@ -33,6 +33,7 @@ def test_schema_document_roundtrip(spark, tmp):
         [("identificador_unico", "STRING", True, "X0"), ("Mes_Encuesta", "DATE", True, "0001-01-01"),
          ("Score", "INT64", False, "0")]
     assert got.config == {"load_period": "daily"}
+    assert got.name == "BD_X"
 
 
 def test_dictionary_to_documents(spark):
