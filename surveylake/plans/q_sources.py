@@ -200,18 +200,22 @@ def q_read_sheet_export(spark, sf_dir):
     return add_period(df, find_column(df.columns))
 
 
+ORDERS_PER_FILE = 1024
+
+
 @register("read_xml_folder", _ENVELOPE_SQL)
 def q_read_xml_folder(spark, sf_dir):
     """S4/S5 + N2 + N11: XML files landed in a folder tree, each file one
-    document whose root holds up to 64 orders (many children per document);
-    read whole-text by glob, decoded into header rows."""
+    document whose root holds up to 1,024 orders (many children per
+    document, a bounded group); read whole-text by glob, decoded into header
+    rows."""
     from ..operators.nested import conform_to_schema, decode_documents
     from ..schema import Field, SchemaDocument
     from ..session import scratch_path
     from ..sources.documents import read_xml_folder
     from .q_documents import ORDER_LAYOUT, ROOT_CLOSE, ROOT_OPEN, order_children
     o = table(spark, sf_dir, "orders")
-    files = (o.select(F.floor(F.col("o_orderkey") / 64).alias("file"), "o_orderkey",
+    files = (o.select(F.floor(F.col("o_orderkey") / ORDERS_PER_FILE).alias("file"), "o_orderkey",
                       order_children(o).alias("child"))
              .groupBy("file")
              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "child"))),

@@ -93,3 +93,14 @@ def test_exports_archives_log(spark, tmp):
     W.log_load(spark, os.path.join(tmp, "log"), "D", "T", "T_RawToProcessed", 3, "u", ts)
     W.log_load(spark, os.path.join(tmp, "log"), "D", "T", "T_RawToProcessed", 4, "u", ts)
     assert sorted(r.CANT_REGISTROS for r in spark.read.parquet(os.path.join(tmp, "log")).collect()) == [3, 4]
+
+
+def test_ensure_table_and_append(spark, tmp):
+    from surveylake.plans.models import REASON_V1_SCHEMA
+    name = "surveylake_test_reason_" + os.path.basename(tmp).replace("-", "_")
+    W.ensure_table(spark, name, REASON_V1_SCHEMA, ["Domain"], location=f"{tmp}/tbl")
+    W.ensure_table(spark, name, REASON_V1_SCHEMA, ["Domain"], location=f"{tmp}/tbl")   # idempotent
+    cols = [c.name for c in spark.catalog.listColumns(name)]
+    assert set(cols) == set(REASON_V1_SCHEMA.fieldNames())
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["Domain"]
+    spark.sql(f"DROP TABLE {name}")
