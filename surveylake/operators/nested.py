@@ -230,15 +230,29 @@ def sub_body_rows(body_df: DataFrame, layout: DocumentLayout, body: str, sub_bod
     return e.select(*[c.alias(n) for n, c in cols.items()])
 
 
+def pruned(layout: DocumentLayout, tables: Sequence[str] | None) -> DocumentLayout:
+    """The layout restricted to what ``tables`` need.  ``from_xml`` builds
+    every declared field (its schema is not pruned by the optimizer), so a
+    header-only decode must not declare the body lists at all."""
+    if not tables or any(t in layout.tables_body or t in layout.tables_sub_body for t in tables):
+        return layout
+    keep = [f for f in layout.schema.fields if f.name not in layout.tables_body]
+    return DocumentLayout(layout.element_name, layout.sub_element, layout.tables_header, [], [],
+                          T.StructType(keep), dict(layout.extra))
+
+
 def decode_documents(docs: DataFrame, layout: DocumentLayout, payload: str = "payload",
-                     base64: bool = True, key: str = "doc_key") -> dict[str, DataFrame]:
-    """Every header, body and sub-body table of the layout.
+                     base64: bool = True, key: str = "doc_key",
+                     tables: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Every header, body and sub-body table of the layout (or only
+    ``tables``, parsing only the elements those need).
 
     Returns ``{table_name: DataFrame}``; header tables share one frame (one
     header row per child).  Callers that write several tables should
     ``persist`` the parsed frame first (``decode_documents(...)["__parsed"]``)
     so the XML is parsed once.
     """
+    layout = pruned(layout, tables)
     parsed = parse_documents(docs, layout, payload, base64, key)
     header = header_rows(parsed, layout)
     out: dict[str, DataFrame] = {"__parsed": parsed}

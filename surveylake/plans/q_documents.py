@@ -102,8 +102,8 @@ def order_documents(spark, sf_dir):
                     encode_base64_text(xml).alias("payload"), "o_orderkey")
 
 
-def _decoded(spark, sf_dir):
-    return decode_documents(order_documents(spark, sf_dir).drop("o_orderkey"), ORDER_LAYOUT)
+def _decoded(spark, sf_dir, tables=None):
+    return decode_documents(order_documents(spark, sf_dir).drop("o_orderkey"), ORDER_LAYOUT, tables=tables)
 
 
 _DOCS_SQL = """
@@ -139,7 +139,7 @@ SELECT DOCUMENTE_XML_ID, HUUID AS UUID, ORDERKEY, CUSTKEY, STATUS, TRANSMITDATE,
 FROM hh""")
 def q_decode_header(spark, sf_dir):
     """N6 (+S6/P20/P21/P24/N1/N2/N10): header rows, one per child element."""
-    return conform_to_schema(_decoded(spark, sf_dir)["HEADER"], HEADER_SPEC)
+    return conform_to_schema(_decoded(spark, sf_dir, ["HEADER"])["HEADER"], HEADER_SPEC)
 
 
 @register("decode_body", f"""
@@ -152,7 +152,7 @@ FROM b""")
 def q_decode_body(spark, sf_dir):
     """Body rows with header columns (header wins), the body's
     work order overriding the header's, first sub-body element flattened."""
-    return conform_to_schema(_decoded(spark, sf_dir)["LINE"], BODY_SPEC)
+    return conform_to_schema(_decoded(spark, sf_dir, ["LINE"])["LINE"], BODY_SPEC)
 
 
 @register("decode_sub_body", f"""
@@ -164,4 +164,4 @@ SELECT sha256(doc_key || '|' || sub_pos || '|' || (line_no - 1) || '|' || (s.j -
 FROM b, generate_series(1, line_no) AS s(j)""")
 def q_decode_sub_body(spark, sf_dir):
     """Sub-body rows with body columns (body wins), list column set to ''."""
-    return conform_to_schema(_decoded(spark, sf_dir)["ITEM"], SUB_BODY_SPEC)
+    return conform_to_schema(_decoded(spark, sf_dir, ["ITEM"])["ITEM"], SUB_BODY_SPEC)

@@ -169,7 +169,7 @@ def q_read_envelope(spark, sf_dir):
            .agg(F.collect_list(F.struct(F.col("payload").alias("interfaceValue"))).alias("data")))
     path = scratch_path(spark, "envelopes")
     env.select("data").write.mode("overwrite").json(path)
-    decoded = decode_documents(read_envelope(spark, path, multi_line=False), ORDER_LAYOUT)
+    decoded = decode_documents(read_envelope(spark, path, multi_line=False), ORDER_LAYOUT, tables=["HEADER"])
     return conform_to_schema(decoded["HEADER"], SchemaDocument("H", [Field(n) for n in _ENVELOPE_HEADER]))
 
 
@@ -224,5 +224,5 @@ def q_read_xml_folder(spark, sf_dir):
     path = scratch_path(spark, "xml")
     files.write.mode("overwrite").partitionBy("file").text(path)
     docs = read_xml_folder(spark, path, glob="*.txt")
-    decoded = decode_documents(docs, ORDER_LAYOUT, base64=False)
+    decoded = decode_documents(docs, ORDER_LAYOUT, base64=False, tables=["HEADER"])
     return conform_to_schema(decoded["HEADER"], SchemaDocument("H", [Field(n) for n in _ENVELOPE_HEADER]))
