@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import apply_schema, project_to_fields
 from ..functions.cleanse import (add_period, decode_base64_text, load_timestamp, stringify_frame,
                                  strip_prefixes, with_audit)
-from ..operators.audit import observed
+from ..operators.audit import dedup, observed
 from ..operators.nested import DocumentLayout, conform_to_schema, decode_documents
 from ..schema import SchemaDocument, find_column, union_documents
 from ..sinks import writers as W
@@ -125,8 +125,9 @@ def run_document_etl(docs: DataFrame, layout: DocumentLayout, tables: Mapping[st
                      raw_base: str, export_base: str, archive_name: str,
                      ts: dt.datetime | None = None) -> dict[str, int]:
     """Decode once (persisted), then per output table conform to its field
-    list (P19), stringify (P10), load RAW (K1) and export CSV (K9); archive
-    the payloads (K10) and the decoded XML (K11).
+    list (P19), stringify (P10), drop full-row duplicates (A3) and load RAW
+    (K1), export CSV (K9); archive the payloads (K10) and the decoded XML
+    (K11).  The returned count is the records decoded (before de-duplication).
 
     ``tables`` maps an element name of the layout (header / body / sub-body)
     to the schema document of its RAW table.
@@ -140,7 +141,7 @@ def run_document_etl(docs: DataFrame, layout: DocumentLayout, tables: Mapping[st
                 continue
             out = stringify_frame(conform_to_schema(decoded[element], spec))
             counted, obs = observed(out, f"{spec.name}_rows")
-            W.write_raw(counted, f"{raw_base.rstrip('/')}/{spec.name}", stringify=False)
+            W.write_raw(dedup(counted), f"{raw_base.rstrip('/')}/{spec.name}", stringify=False)
             counts[spec.name] = int(obs.get["rows"])
             W.export_csv(out, export_base, spec.name, ts)
         W.archive_json(docs.select(F.col("payload").alias("interfaceValue")), export_base, archive_name, ts)

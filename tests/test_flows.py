@@ -59,7 +59,8 @@ def test_document_etl(spark, tmp):
               "B": SchemaDocument("T_BODY", [Field("ID"), Field("V"), Field("UUID_HEAD")])}
     counts = flows.run_document_etl(docs, layout, tables, f"{tmp}/raw", f"{tmp}/exp", "API", dt.datetime(2024, 1, 1))
     assert counts == {"T_HEAD": 1, "T_BODY": 2}
-    assert spark.read.parquet(f"{tmp}/raw/T_BODY").select("V").distinct().count() == 1
+    # the two identical bodies differ in nothing the RAW table keeps -> one row
+    assert spark.read.parquet(f"{tmp}/raw/T_BODY").count() == 1
     assert spark.read.parquet(f"{tmp}/exp/XML").count() == 1
 
 
