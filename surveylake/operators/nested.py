@@ -243,17 +243,21 @@ def pruned(layout: DocumentLayout, tables: Sequence[str] | None) -> DocumentLayo
 
 def decode_documents(docs: DataFrame, layout: DocumentLayout, payload: str = "payload",
                      base64: bool = True, key: str = "doc_key",
-                     tables: Sequence[str] | None = None) -> dict[str, DataFrame]:
+                     tables: Sequence[str] | None = None,
+                     persist_parsed: bool = False) -> dict[str, DataFrame]:
     """Every header, body and sub-body table of the layout (or only
     ``tables``, parsing only the elements those need).
 
     Returns ``{table_name: DataFrame}``; header tables share one frame (one
-    header row per child).  Callers that write several tables should
-    ``persist`` the parsed frame first (``decode_documents(...)["__parsed"]``)
-    so the XML is parsed once.
+    header row per child).  Callers that write several tables pass
+    ``persist_parsed=True`` so the XML is parsed once (memory and disk; the
+    caller unpersists ``result["__parsed"]`` when done).
     """
     layout = pruned(layout, tables)
     parsed = parse_documents(docs, layout, payload, base64, key)
+    if persist_parsed:
+        from pyspark import StorageLevel
+        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     header = header_rows(parsed, layout)
     out: dict[str, DataFrame] = {"__parsed": parsed}
     hcols = [c for c in header.columns if c not in ("sub",)]

@@ -134,8 +134,9 @@ def run_document_etl(docs: DataFrame, layout: DocumentLayout, tables: Mapping[st
     """
     docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
     counts: dict[str, int] = {}
+    decoded: dict[str, DataFrame] = {}
     try:
-        decoded = decode_documents(docs, layout)
+        decoded = decode_documents(docs, layout, persist_parsed=True)
         for element, spec in tables.items():
             if element not in decoded:
                 continue
@@ -148,6 +149,8 @@ def run_document_etl(docs: DataFrame, layout: DocumentLayout, tables: Mapping[st
         xml = docs.select("doc_key", strip_prefixes(decode_base64_text("payload")).alias("xml"))
         W.archive_xml(xml, export_base, layout.sub_element)
     finally:
+        if "__parsed" in decoded:
+            decoded["__parsed"].unpersist()
         docs.unpersist()
     return counts
 
