@@ -141,12 +141,17 @@ def explode_prefixed(df: DataFrame, column: str) -> DataFrame:
                                for f in elem.fields])
 
 
-def header_rows(parsed: DataFrame, layout: DocumentLayout) -> DataFrame:
+def children(parsed: DataFrame, layout: DocumentLayout) -> DataFrame:
+    """(doc_key, DOC_ID, sub_pos, sub) -- one row per sub_element child."""
+    return parsed.select("doc_key", DOC_ID, F.posexplode(F.col("doc").getField(layout.sub_element))
+                         .alias("sub_pos", "sub"))
+
+
+def header_rows(parsed: DataFrame, layout: DocumentLayout, subs: DataFrame | None = None) -> DataFrame:
     """One header row per sub_element child: header elements merged (a
     later element wins a name clash), ids, and the offset strip of the
     transmit / invoice dates with the original kept in ``*_CT``."""
-    subs = parsed.select("doc_key", DOC_ID, F.posexplode(F.col("doc").getField(layout.sub_element))
-                         .alias("sub_pos", "sub"))
+    subs = children(parsed, layout) if subs is None else subs
     cols: dict[str, Column] = {}
     sch = layout.schema
     for h in layout.tables_header:
@@ -258,7 +263,32 @@ def decode_documents(docs: DataFrame, layout: DocumentLayout, payload: str = "pa
     if persist_parsed:
         from pyspark import StorageLevel
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-    header = header_rows(parsed, layout)
+    return _tables(parsed, layout, header_rows(parsed, layout))
+
+
+def read_xml_children(spark, path: str, layout: DocumentLayout, glob: str = "*.xml") -> DataFrame:
+    """S5 for large files: Spark's XML reader with ``rowTag`` = the child
+    element splits big files and yields one row per child, namespaces
+    ignored (the prefix strip of P21).  A child's position is not known on
+    this path, so its id part is a hash of the file path and its content:
+    byte-identical children of one file share an id (every row is kept)."""
+    df = (spark.read.format("xml").option("rowTag", layout.sub_element).option("ignoreNamespace", True)
+          .option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+          .schema(layout.schema).load(path))
+    sub = F.struct(*[F.col(f"`{f.name}`") for f in layout.schema.fields])
+    return df.select(F.col("_metadata.file_path").alias("doc_key"),
+                     F.sha2(F.col("_metadata.file_path"), 256).alias(DOC_ID),
+                     F.sha2(F.to_json(sub), 256).alias("sub_pos"), sub.alias("sub"))
+
+
+def decode_children(subs: DataFrame, layout: DocumentLayout,
+                    tables: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """N11 over child rows from ``read_xml_children``."""
+    layout = pruned(layout, tables)
+    return _tables(subs, layout, header_rows(None, layout, subs))
+
+
+def _tables(parsed: DataFrame, layout: DocumentLayout, header: DataFrame) -> dict[str, DataFrame]:
     out: dict[str, DataFrame] = {"__parsed": parsed}
     hcols = [c for c in header.columns if c not in ("sub",)]
     for h in layout.tables_header:

@@ -203,17 +203,11 @@ def q_read_sheet_export(spark, sf_dir):
 ORDERS_PER_FILE = 1024
 
 
-@register("read_xml_folder", _ENVELOPE_SQL)
-def q_read_xml_folder(spark, sf_dir):
-    """S4/S5 + N2 + N11: XML files landed in a folder tree, each file one
-    document whose root holds up to 1,024 orders (many children per
-    document, a bounded group); read whole-text by glob, decoded into header
-    rows."""
-    from ..operators.nested import conform_to_schema, decode_documents
-    from ..schema import Field, SchemaDocument
+def _land_order_xml(spark, sf_dir):
+    """Land XML files (one document of up to 1,024 orders per file, a bounded
+    group) under the shared scratch folder; returns the folder."""
     from ..session import scratch_path
-    from ..sources.documents import read_xml_folder
-    from .q_documents import ORDER_LAYOUT, ROOT_CLOSE, ROOT_OPEN, order_children
+    from .q_documents import ROOT_CLOSE, ROOT_OPEN, order_children
     o = table(spark, sf_dir, "orders")
     files = (o.select(F.floor(F.col("o_orderkey") / ORDERS_PER_FILE).alias("file"), "o_orderkey",
                       order_children(o).alias("child"))
@@ -223,6 +217,34 @@ def q_read_xml_folder(spark, sf_dir):
              .select("file", F.concat(F.lit(ROOT_OPEN), "children", F.lit(ROOT_CLOSE)).alias("value")))
     path = scratch_path(spark, "xml")
     files.write.mode("overwrite").partitionBy("file").text(path)
-    docs = read_xml_folder(spark, path, glob="*.txt")
+    return path
+
+
+def _header_spec():
+    from ..schema import Field, SchemaDocument
+    return SchemaDocument("H", [Field(n) for n in _ENVELOPE_HEADER])
+
+
+@register("read_xml_folder", _ENVELOPE_SQL)
+def q_read_xml_folder(spark, sf_dir):
+    """S4/S5 + N2 + N11: XML files landed in a folder tree, each file one
+    document whose root holds up to 1,024 orders (many children per
+    document); read whole-text by glob, decoded into header rows."""
+    from ..operators.nested import conform_to_schema, decode_documents
+    from ..sources.documents import read_xml_folder
+    from .q_documents import ORDER_LAYOUT
+    docs = read_xml_folder(spark, _land_order_xml(spark, sf_dir), glob="*.txt")
     decoded = decode_documents(docs, ORDER_LAYOUT, base64=False, tables=["HEADER"])
-    return conform_to_schema(decoded["HEADER"], SchemaDocument("H", [Field(n) for n in _ENVELOPE_HEADER]))
+    return conform_to_schema(decoded["HEADER"], _header_spec())
+
+
+@register("read_xml_rows", _ENVELOPE_SQL)
+def q_read_xml_rows(spark, sf_dir):
+    """S5 (large files): the same landed XML read with Spark's XML reader,
+    one row per ``Order`` child (rowTag; files are split, namespaces
+    ignored), decoded into header rows."""
+    from ..operators.nested import conform_to_schema, decode_children, pruned, read_xml_children
+    from .q_documents import ORDER_LAYOUT
+    layout = pruned(ORDER_LAYOUT, ["HEADER"])
+    subs = read_xml_children(spark, _land_order_xml(spark, sf_dir), layout, glob="*.txt")
+    return conform_to_schema(decode_children(subs, layout)["HEADER"], _header_spec())

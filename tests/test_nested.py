@@ -96,3 +96,19 @@ def test_conform_to_schema(spark):
     df = spark.createDataFrame([(1, None, 2.5)], "K int, PK string, V double")
     out = conform_to_schema(df, [Field("K"), Field("PK", primary_key=True, default="X0"), Field("V"), Field("M")])
     assert tuple(out.first()) == ("1", "X0", "2.5", None)
+
+
+def test_rowtag_reader_path(spark, tmp):
+    import os
+    from surveylake.operators.nested import decode_children, read_xml_children
+    with open(os.path.join(tmp, "d.xml"), "w") as f:
+        f.write(DOC)
+    d = decode_children(read_xml_children(spark, tmp, LAYOUT), LAYOUT)
+    h = d["H1"].collect()
+    b = d["B"].collect()
+    s = d["SB"].collect()
+    assert len(h) == 2 and len(b) == 3 and len(s) == 3
+    assert {r["UUID_HEAD"] for r in b} <= {r["UUID"] for r in h}
+    assert {r["UUID_BODY"] for r in s} <= {r["UUID"] for r in b}
+    assert sorted(r["TRANSMITDATE"] for r in h) == ["2024-01-02T10:00:00", "2024-01-03T10:00:00+01:00"]
+    assert {r["URL"] for r in h} == {"http://a/p:b", None}
