@@ -155,7 +155,9 @@ def _sql_expr(src):
     raise ValueError(src)
 
 
-def oracle_for(target):
+def oracle_for(target, published=False):
+    """SQL for the mapped target; ``published`` adds the columns the publish
+    step partitions by (origin, survey month)."""
     parts = []
     for domain in M.DOMAINS:
         for origin in M.ORIGINS:
@@ -165,8 +167,18 @@ def oracle_for(target):
             exprs = dict((t, _sql_expr(s)) for t, s in mapping)
             sel = ", ".join(f"CAST({exprs.get(c, 'NULL')} AS {_sql_type(c)}) AS {_q(c)}"
                             for c in M.TARGET_COLUMNS[target])
+            if published:
+                sel += f", '{origin}' AS origin"
             parts.append(f"SELECT {sel} FROM (SELECT {src} FROM orders WHERE {_where_sql(domain, origin)}) s")
-    return "\nUNION ALL\n".join(parts)
+    body = "\nUNION ALL\n".join(parts)
+    if not published:
+        return body
+    if "SurveyDate" in M.TARGET_COLUMNS[target]:
+        month = '"SurveyDate"'
+    else:
+        month = ("COALESCE(CAST(try_strptime(substr(\"Period\", 1, 10), '%Y-%m-%d') AS DATE), "
+                 "CAST(try_strptime(\"Period\", '%Y%m') AS DATE))")
+    return f"SELECT *, CAST(date_trunc('month', {month}) AS DATE) AS survey_month FROM ({body}) p"
 
 
 @register("build_survey", oracle_for("Survey"))
@@ -187,3 +199,17 @@ def q_build_reason_v2(spark, sf_dir):
     """Eight sources -> ReasonDissatisfactionV2 (103 columns, no cleansing)."""
     return M.build_model(model_sources(spark, sf_dir, "ReasonDissatisfactionV2"),
                          "ReasonDissatisfactionV2", ORG_CODES)
+
+
+@register("publish_reason", oracle_for("ReasonDissatisfaction", published=True))
+def q_publish_reason(spark, sf_dir):
+    """The ReasonDissatisfaction model published twice into a table
+    partitioned by (Domain, origin, survey month) with dynamic partition
+    overwrite; the second run replaces, so every row is there once."""
+    from ..session import scratch_path
+    from .flows import publish_models
+    path = scratch_path(spark, "model")
+    for _ in range(2):
+        publish_models(model_sources(spark, sf_dir, "ReasonDissatisfaction"), "ReasonDissatisfaction",
+                       path, ORG_CODES)
+    return spark.read.parquet(path).withColumn("survey_month", F.col("survey_month").cast("date"))
