@@ -142,9 +142,15 @@ def run_document_etl(docs: DataFrame, layout: DocumentLayout, tables: Mapping[st
                 continue
             out = stringify_frame(conform_to_schema(decoded[element], spec))
             counted, obs = observed(out, f"{spec.name}_rows")
-            W.write_raw(dedup(counted), f"{raw_base.rstrip('/')}/{spec.name}", stringify=False)
-            counts[spec.name] = int(obs.get["rows"])
-            W.export_csv(out, export_base, spec.name, ts)
+            # RAW and the CSV export both hold the de-duplicated rows: one
+            # shuffle, kept for both writes
+            rows = dedup(counted).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                W.write_raw(rows, f"{raw_base.rstrip('/')}/{spec.name}", stringify=False)
+                counts[spec.name] = int(obs.get["rows"])
+                W.export_csv(rows, export_base, spec.name, ts, distinct=False)
+            finally:
+                rows.unpersist()
         W.archive_json(docs.select(F.col("payload").alias("interfaceValue")), export_base, archive_name, ts)
         xml = docs.select("doc_key", strip_prefixes(decode_base64_text("payload")).alias("xml"))
         W.archive_xml(xml, export_base, layout.sub_element)

@@ -105,10 +105,12 @@ def log_load(spark: SparkSession, path: str, domain: str, table: str, process_ty
     df.coalesce(1).write.mode("append").parquet(path)
 
 
-def export_csv(df: DataFrame, base: str, name: str, ts: dt.datetime | None = None) -> str:
-    """K9: de-duplicated CSV export with a stamped folder name."""
+def export_csv(df: DataFrame, base: str, name: str, ts: dt.datetime | None = None,
+               distinct: bool = True) -> str:
+    """K9: de-duplicated CSV export with a stamped folder name
+    (``distinct=False`` when the caller already de-duplicated)."""
     path = f"{base.rstrip('/')}/CSV/{name}/{name}-{snapshot_stamp(ts)}"
-    df.dropDuplicates().write.mode("overwrite").option("header", True).csv(path)
+    (df.dropDuplicates() if distinct else df).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
