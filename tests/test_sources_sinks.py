@@ -104,3 +104,18 @@ def test_ensure_table_and_append(spark, tmp):
     assert set(cols) == set(REASON_V1_SCHEMA.fieldNames())
     assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["Domain"]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_ingest_all_and_parquet_snapshot(spark, tmp):
+    from surveylake.sources.sheets import ingest_all, read_parquet
+    for name, rows in {"BD_A": "k,Mes_Encuesta\n1,2024-01-01\n", "BD_A_SQL": "K,MES_ENCUESTA\n2,\n"}.items():
+        os.makedirs(os.path.join(tmp, name))
+        with open(os.path.join(tmp, name, "export.csv"), "w") as f:
+            f.write(rows)
+    frames = ingest_all(spark, {n: os.path.join(tmp, n) for n in ("BD_A", "BD_A_SQL")})
+    assert {n: [tuple(r) for r in df.collect()] for n, df in frames.items()} == \
+        {"BD_A": [("1", "2024-01-01")], "BD_A_SQL": [("2", "")]}
+    frames["BD_A"].write.parquet(os.path.join(tmp, "snap"))
+    assert read_parquet(spark, os.path.join(tmp, "snap")).count() == 1
+    typed = read_sheet_export(spark, os.path.join(tmp, "snap"), fmt="parquet")
+    assert all(t == "string" for _, t in typed.dtypes)
