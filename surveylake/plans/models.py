@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import cast_for, resolve
-from ..functions.cleanse import NAN_TEXT, NONE_TEXT, recode
+from ..functions.cleanse import NAN_TEXT, NONE_TEXT
 
 
 @dataclass(frozen=True)
