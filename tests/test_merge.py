@@ -90,3 +90,15 @@ def test_hot_key_does_not_multiply_rows(spark):
     old2 = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     out = Mg.upsert_by_key(old2, hot_new, ["k"])
     assert out.count() == 3001 and out.where("k = 2").count() == 1
+
+
+def test_keep_months_prunes_month_partitions(spark, tmp):
+    from surveylake.sinks.writers import with_month_partition
+    rows = [(i, dt.date(2024, 1 + i % 6, 1 + i % 27), "x") for i in range(60)]
+    with_month_partition(frame(spark, rows), "m").write.partitionBy("month_key").parquet(f"{tmp}/t")
+    dest = spark.read.parquet(f"{tmp}/t")
+    src = frame(spark, [(1, dt.date(2024, 2, 10), "s")])
+    out = Mg.keep_months(dest, "month_key", src, "m")
+    plan = out._jdf.queryExecution().executedPlan().toString().lower()
+    assert "dynamicpruningexpression" in plan          # only February's partition is read
+    assert {r.m.month for r in out.collect()} == {2}
