@@ -97,7 +97,8 @@ def test_keep_months_prunes_month_partitions(spark, tmp):
     rows = [(i, dt.date(2024, 1 + i % 6, 1 + i % 27), "x") for i in range(60)]
     with_month_partition(frame(spark, rows), "m").write.partitionBy("month_key").parquet(f"{tmp}/t")
     dest = spark.read.parquet(f"{tmp}/t")
-    src = frame(spark, [(1, dt.date(2024, 2, 10), "s")])
+    frame(spark, [(1, dt.date(2024, 2, 10), "s"), (2, dt.date(2024, 9, 1), "t")]).write.parquet(f"{tmp}/s")
+    src = spark.read.parquet(f"{tmp}/s").where(F.col("v") == "s")   # a selective source, as a load is
     out = Mg.keep_months(dest, "month_key", src, "m")
     plan = out._jdf.queryExecution().executedPlan().toString().lower()
     assert "dynamicpruningexpression" in plan          # only February's partition is read
