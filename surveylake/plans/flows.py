@@ -143,14 +143,12 @@ def run_document_etl(docs: DataFrame, layout: DocumentLayout, tables: Mapping[st
             out = stringify_frame(conform_to_schema(decoded[element], spec))
             counted, obs = observed(out, f"{spec.name}_rows")
             # RAW and the CSV export both hold the de-duplicated rows: one
-            # shuffle, kept for both writes
-            rows = dedup(counted).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                W.write_raw(rows, f"{raw_base.rstrip('/')}/{spec.name}", stringify=False)
-                counts[spec.name] = int(obs.get["rows"])
-                W.export_csv(rows, export_base, spec.name, ts, distinct=False)
-            finally:
-                rows.unpersist()
+            # shuffle for the RAW write (AQE sizes its partitions), then the
+            # CSV is exported from the written table (lineage cut, no cache)
+            raw_path = f"{raw_base.rstrip('/')}/{spec.name}"
+            W.write_raw(dedup(counted), raw_path, stringify=False)
+            counts[spec.name] = int(obs.get["rows"])
+            W.export_csv(docs.sparkSession.read.parquet(raw_path), export_base, spec.name, ts, distinct=False)
         W.archive_json(docs.select(F.col("payload").alias("interfaceValue")), export_base, archive_name, ts)
         xml = docs.select("doc_key", strip_prefixes(decode_base64_text("payload")).alias("xml"))
         W.archive_xml(xml, export_base, layout.sub_element)
