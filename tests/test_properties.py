@@ -69,3 +69,36 @@ def test_cast_int_lenient_matches_python(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "c string")
     got = [r[0] for r in df.select(C.cast_int(F.col("c"), strict=False)).collect()]
     assert got == [py_int(v) for v in values]
+
+
+from surveylake.operators import merge as Mg  # noqa: E402
+
+month_rows = st.lists(st.tuples(st.integers(0, 50), st.one_of(st.none(), st.dates(dt.date(2024, 1, 1), dt.date(2024, 6, 28))),
+                                st.sampled_from(["a", "b"])), max_size=10)
+
+
+def naive_replace(dest, sources):
+    table = list(dest)
+    for src in sources:
+        months = {(r[1].year, r[1].month) for r in src if r[1] is not None}
+        table = [r for r in table if r[1] is None or (r[1].year, r[1].month) not in months] + list(src)
+    return sorted(table, key=repr)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(month_rows, month_rows, month_rows, month_rows)
+def test_month_replace_three_sources(spark, dest, s1, s2, s3):
+    mk = lambda rows: spark.createDataFrame(rows, "id int, m date, v string")
+    got = Mg.month_replace(mk(dest), [(mk(s1), "m"), (mk(s2), "m"), (mk(s3), "m")], "m")
+    assert sorted(map(tuple, got.collect()), key=repr) == naive_replace(dest, [s1, s2, s3])
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 8)), st.text("xyz", max_size=2)), max_size=12),
+       st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 8)), st.text("xyz", max_size=2)), max_size=12))
+def test_upsert_matches_delete_then_insert(spark, old, new):
+    mk = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    got = Mg.upsert_by_key(mk(old), mk(new), ["k"])
+    new_keys = {k for k, _ in new if k is not None}
+    want = [r for r in old if r[0] is None or r[0] not in new_keys] + list(new)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
