@@ -112,3 +112,21 @@ def test_consume_landing_once(spark, tmp):
     n2 = consume_landing(spark, land, df.schema, f"{tmp}/sink", f"{tmp}/ckpt")
     assert (n1, n2) == (2, 0)
     assert spark.read.parquet(f"{tmp}/sink").count() == 2
+
+
+def test_process_domain_config_loop(spark, tmp):
+    for doc in (RAW_DOC, SQL_DOC):
+        with open(f"{tmp}/{doc.name}.input.schema", "w") as f:
+            f.write(doc.dumps())
+    spark.createDataFrame([("a", "2024-01-05", "3")], "identificador_unico string, Mes_Encuesta string, Score string") \
+        .write.parquet(f"{tmp}/raw_ds/BD_T")
+    spark.createDataFrame([("d", "2024-02-20", "5", "202402")],
+                          "IDENTIFICADOR_UNICO string, MES_ENCUESTA string, SCORE string, PERIODO_CARGA string") \
+        .write.parquet(f"{tmp}/raw_ds/BD_T_SQL")
+    config = spark.createDataFrame([("SURVEY", "T;BD_T;BD_T_SQL", "raw_ds", "prc_ds"),
+                                    ("OTHER", "X;BD_X;BD_X_SQL", "raw_ds", "prc_ds")],
+                                   "DOMINIO string, TABLA string, DATASET_STAGE string, DATASET_DESTINO string")
+    res = flows.process_domain(spark, config, "SURVEY", tmp, tmp, "tester", dt.datetime(2024, 3, 1),
+                               export_snapshots=False)
+    assert res == [{"table": "T", "rows_read": 2}]
+    assert sorted(r.identificador_unico for r in spark.read.parquet(f"{tmp}/prc_ds/T").collect()) == ["a", "d"]
