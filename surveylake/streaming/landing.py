@@ -48,3 +48,35 @@ def consume_landing(spark: SparkSession, path: str, schema: T.StructType, target
         n = p.get("numInputRows", 0) if isinstance(p, dict) else getattr(p, "numInputRows", 0)
         total += int(n or 0)
     return total
+
+
+def stream_documents(spark: SparkSession, landing: str, checkpoint: str,
+                     handle: Callable[[DataFrame, int], None], glob: str = "*.xml",
+                     clean_source: str = "off", archive_dir: str | None = None,
+                     max_files_per_trigger: int | None = None) -> int:
+    """K12 + C6 ("manual" load): every XML file landed under ``landing`` is
+    read whole (one row per file: ``doc_key`` = file path, ``payload`` = the
+    text, base64-wrapped like an API payload) and handed, one micro-batch at
+    a time, to ``handle(batch_df, batch_id)`` -- e.g. ``run_document_etl``.
+    ``availableNow`` processes what is there and stops; the checkpoint makes
+    each file count once across runs and restarts; ``clean_source`` deletes
+    or archives consumed files.  Returns the number of files read."""
+    from pyspark.sql import functions as F
+
+    from ..functions.cleanse import encode_base64_text
+    reader = (spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", glob)
+              .option("cleanSource", clean_source))
+    if archive_dir:
+        reader = reader.option("sourceArchiveDir", archive_dir)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    docs = reader.load(landing).select(F.col("_metadata.file_path").alias("doc_key"),
+                                       encode_base64_text("value").alias("payload"))
+    q = (docs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    total = 0
+    for p in q.recentProgress:
+        n = p.get("numInputRows", 0) if isinstance(p, dict) else getattr(p, "numInputRows", 0)
+        total += int(n or 0)
+    return total

@@ -130,3 +130,26 @@ def test_process_domain_config_loop(spark, tmp):
                                export_snapshots=False)
     assert res == [{"table": "T", "rows_read": 2}]
     assert sorted(r.identificador_unico for r in spark.read.parquet(f"{tmp}/prc_ds/T").collect()) == ["a", "d"]
+
+
+def test_stream_documents_runs_etl_once(spark, tmp):
+    from surveylake.streaming.landing import stream_documents
+    import os
+    os.makedirs(f"{tmp}/landing")
+    for i in range(3):
+        with open(f"{tmp}/landing/d{i}.xml", "w") as f:
+            f.write(f"<n0:R><n0:S><H><ID>{i}</ID></H><B><V>a{i}</V></B></n0:S></n0:R>")
+    layout = DocumentLayout("R", "S", ["H"], ["B"], [], T.StructType([
+        T.StructField("H", T.StructType([T.StructField("ID", T.StringType())])),
+        T.StructField("B", T.ArrayType(T.StructType([T.StructField("V", T.StringType())])))]))
+    tables = {"B": SchemaDocument("T_BODY", [Field("ID"), Field("V")])}
+    seen = []
+
+    def handle(batch, batch_id):
+        seen.append(flows.run_document_etl(batch, layout, tables, f"{tmp}/raw", f"{tmp}/exp", "MANUAL",
+                                           dt.datetime(2024, 1, 1, 0, 0, batch_id)))
+
+    n1 = stream_documents(spark, f"{tmp}/landing", f"{tmp}/ckpt", handle)
+    n2 = stream_documents(spark, f"{tmp}/landing", f"{tmp}/ckpt", handle)
+    assert (n1, n2) == (3, 0)
+    assert sorted(r.V for r in spark.read.parquet(f"{tmp}/raw/T_BODY").collect()) == ["a0", "a1", "a2"]
