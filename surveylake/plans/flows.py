@@ -205,3 +205,14 @@ def process_domain(spark: SparkSession, config: DataFrame, domain: str, base: st
                           f"{target}/{dest}", f"{target}/{dest}_HISTORY", f"{b}/export", f"{b}/log", domain)
         out.append(process_table(spark, cfg, user, load_ts or load_timestamp(), strict, export_snapshots))
     return out
+
+
+def ingest_workbooks(spark: SparkSession, folders: Mapping[str, str], raw_base: str, export_base: str,
+                     ts: dt.datetime | None = None, fmt: str = "csv") -> dict[str, int]:
+    """S2 + C1: every worksheet export folder (survey workbook and SQL-export
+    workbook alike) landed RAW with its Period and snapshots; returns the
+    row count per sheet."""
+    from ..sources.sheets import read_sheet_export
+    return {name: ingest_sheet(read_sheet_export(spark, path, fmt), f"{raw_base.rstrip('/')}/{name}",
+                               export_base, name, ts)
+            for name, path in folders.items()}

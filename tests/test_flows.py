@@ -153,3 +153,16 @@ def test_stream_documents_runs_etl_once(spark, tmp):
     n2 = stream_documents(spark, f"{tmp}/landing", f"{tmp}/ckpt", handle)
     assert (n1, n2) == (3, 0)
     assert sorted(r.V for r in spark.read.parquet(f"{tmp}/raw/T_BODY").collect()) == ["a0", "a1", "a2"]
+
+
+def test_ingest_workbooks(spark, tmp):
+    import os
+    for name, body in {"BD_P": "identificador_unico,Mes_Encuesta\n1,2024-01-05\n2,2024-02-05\n",
+                       "BD_P_SQL": "IDENTIFICADOR_UNICO,MES_ENCUESTA\n3,2024-03-01\n"}.items():
+        os.makedirs(f"{tmp}/in/{name}")
+        with open(f"{tmp}/in/{name}/x.csv", "w") as f:
+            f.write(body)
+    counts = flows.ingest_workbooks(spark, {n: f"{tmp}/in/{n}" for n in ("BD_P", "BD_P_SQL")},
+                                    f"{tmp}/raw", f"{tmp}/exp", dt.datetime(2024, 4, 1))
+    assert counts == {"BD_P": 2, "BD_P_SQL": 1}
+    assert [r.Period for r in spark.read.parquet(f"{tmp}/raw/BD_P_SQL").collect()] == ["202403"]
