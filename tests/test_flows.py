@@ -166,3 +166,27 @@ def test_ingest_workbooks(spark, tmp):
                                     f"{tmp}/raw", f"{tmp}/exp", dt.datetime(2024, 4, 1))
     assert counts == {"BD_P": 2, "BD_P_SQL": 1}
     assert [r.Period for r in spark.read.parquet(f"{tmp}/raw/BD_P_SQL").collect()] == ["202403"]
+
+
+def test_api_documents_window_and_cursor(spark, tmp):
+    import base64
+    import json
+    import os
+    import time as _time
+    os.makedirs(f"{tmp}/landing")
+    layout = DocumentLayout("R", "S", ["H"], [], [], T.StructType([
+        T.StructField("H", T.StructType([T.StructField("ID", T.StringType())]))]))
+    for name, ids, day in [("old", [1, 2], dt.datetime(2024, 1, 2, 12)), ("new", [3], dt.datetime(2024, 1, 20, 12))]:
+        p = f"{tmp}/landing/{name}.json"
+        with open(p, "w") as f:
+            json.dump({"data": [{"interfaceValue": base64.b64encode(f"<R><S><H><ID>{i}</ID></H></S></R>".encode()).decode()}
+                                for i in ids]}, f)
+        ts = _time.mktime(day.timetuple())
+        os.utime(p, (ts, ts))
+    tables = {"H": SchemaDocument("T_HEAD", [Field("ID")])}
+    defaults = {"fecinicio_query": "20240115", "fecfin_query": "20240125", "interfaz_query": "I"}
+    counts = flows.run_api_documents(spark, f"{tmp}/landing", layout, tables, f"{tmp}/raw", f"{tmp}/exp",
+                                     f"{tmp}/state", "API", defaults, today=dt.date(2024, 1, 26))
+    assert counts == {"T_HEAD": 1}                                        # only the response in the window
+    assert [r.ID for r in spark.read.parquet(f"{tmp}/raw/T_HEAD").collect()] == ["3"]
+    assert load_watermark(spark, f"{tmp}/state", "API")["fecinicio_query"] == "20240126"
