@@ -70,10 +70,12 @@ def spread(docs: DataFrame) -> DataFrame:
     than the cluster has cores (a few small files), spread the documents
     round-robin.  Large inputs already have many more splits than cores and
     are left alone, so this never adds a shuffle at scale."""
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    if docs.rdd.getNumPartitions() < cores:
-        return docs.repartition(cores)
-    return docs
+    try:
+        cores = docs.sparkSession.sparkContext.defaultParallelism
+        splits = docs.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
+        return docs
+    return docs.repartition(cores) if splits < cores else docs
 
 
 def parse_documents(docs: DataFrame, layout: DocumentLayout, payload: str = "payload",
