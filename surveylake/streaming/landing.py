@@ -5,6 +5,11 @@ file present at start (in bounded micro-batches) and stops; the checkpoint
 records which files were consumed, so a re-run -- or a run restarted after
 an executor or driver loss -- picks up only new files.  ``cleanSource``
 deletes or archives consumed files, replacing the "list then delete" step.
+Spark cleans a micro-batch's files when the *next* batch starts (measured:
+with three one-file batches the first two were archived in the run, the
+third only when a later run processed a new file; a run with nothing new
+cleans nothing), so cleanup lags one batch; the checkpoint, not the
+cleanup, is what guarantees each file is loaded exactly once.
 Stateless: no watermark or state store is needed.
 """
 
