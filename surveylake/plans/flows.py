@@ -12,10 +12,10 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.casts import apply_schema, project_to_fields
+from ..functions.casts import apply_schema, project_to_fields, reject_count_column
 from ..functions.cleanse import (add_period, decode_base64_text, load_timestamp, stringify_frame,
                                  strip_prefixes, with_audit)
 from ..operators.audit import dedup, observed
@@ -65,13 +65,24 @@ class TableConfig:
     domain: str = ""
 
 
-def typed_sources(spark: SparkSession, cfg: TableConfig, strict: bool = True) -> tuple[DataFrame, DataFrame, SchemaDocument]:
+def typed_sources(spark: SparkSession, cfg: TableConfig, strict: bool = True,
+                  rejects: list | None = None) -> tuple[DataFrame, DataFrame, SchemaDocument]:
     """P7 + U2: both RAW sources cast by their schema documents into the
-    union schema (first document wins a type, names case-insensitive)."""
+    union schema (first document wins a type, names case-insensitive).
+
+    In lenient mode (``strict=False``) malformed cells become NULL; pass a
+    list as ``rejects`` to receive one ``Observation`` per source counting
+    them (filled by the first action on the frames, no extra scan)."""
     union = union_documents(cfg.raw_schema, cfg.sql_schema, cfg.name)
-    raw = project_to_fields(apply_schema(spark.read.parquet(cfg.raw_path), cfg.raw_schema, strict), union.fields)
-    sql = project_to_fields(apply_schema(spark.read.parquet(cfg.sql_path), cfg.sql_schema, strict), union.fields)
-    return raw, sql, union
+    out = []
+    for path, schema in ((cfg.raw_path, cfg.raw_schema), (cfg.sql_path, cfg.sql_schema)):
+        text = spark.read.parquet(path)
+        if not strict and rejects is not None:
+            obs = Observation(f"{schema.name}_rejects")
+            text = text.observe(obs, F.coalesce(F.sum(reject_count_column(text, schema)), F.lit(0)).alias("rejects"))
+            rejects.append(obs)
+        out.append(project_to_fields(apply_schema(text, schema, strict), union.fields))
+    return out[0], out[1], union
 
 
 def append_history(raw: DataFrame, sql: DataFrame, path: str, user: str, load_ts: dt.datetime) -> None:
@@ -91,13 +102,17 @@ def process_table(spark: SparkSession, cfg: TableConfig, user: str,
     with the table, the rest of the load grows only with the sources).
     """
     load_ts = load_ts or load_timestamp()
-    raw, sql, union = typed_sources(spark, cfg, strict)
+    rejects: list = []
+    raw, sql, union = typed_sources(spark, cfg, strict, rejects)
     # the (incremental) sources are read by the history append and by both
     # month-replace writes: cast them once
     raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     sql = sql.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _process(spark, cfg, user, load_ts, raw, sql, union, export_snapshots)
+        result = _process(spark, cfg, user, load_ts, raw, sql, union, export_snapshots)
+        if rejects:
+            result["rejected_cells"] = sum(int(o.get["rejects"]) for o in rejects)
+        return result
     finally:
         raw.unpersist()
         sql.unpersist()

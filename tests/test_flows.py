@@ -190,3 +190,17 @@ def test_api_documents_window_and_cursor(spark, tmp):
     assert counts == {"T_HEAD": 1}                                        # only the response in the window
     assert [r.ID for r in spark.read.parquet(f"{tmp}/raw/T_HEAD").collect()] == ["3"]
     assert load_watermark(spark, f"{tmp}/state", "API")["fecinicio_query"] == "20240126"
+
+
+def test_lenient_load_counts_rejects(spark, tmp):
+    spark.createDataFrame([("a", "2024-01-05", "x3"), ("b", "2024-13-01", "4")],
+                          "identificador_unico string, Mes_Encuesta string, Score string").write.parquet(f"{tmp}/r")
+    spark.createDataFrame([("c", "2024-02-01", "5", "202402")],
+                          "IDENTIFICADOR_UNICO string, MES_ENCUESTA string, SCORE string, PERIODO_CARGA string") \
+        .write.parquet(f"{tmp}/s")
+    cfg = flows.TableConfig("T", f"{tmp}/r", f"{tmp}/s", RAW_DOC, SQL_DOC, f"{tmp}/p", f"{tmp}/h", f"{tmp}/e",
+                            f"{tmp}/l", "D")
+    res = flows.process_table(spark, cfg, "u", dt.datetime(2024, 3, 1), strict=False, export_snapshots=False)
+    assert res["rows_read"] == 3 and res["rejected_cells"] == 2     # 'x3' and month 13
+    prc = {r.identificador_unico: (r.Mes_Encuesta, r.Score) for r in spark.read.parquet(f"{tmp}/p").collect()}
+    assert prc["a"] == (dt.date(2024, 1, 5), None) and prc["b"] == (None, 4)
