@@ -37,7 +37,8 @@ ORDER_LAYOUT = DocumentLayout(
             T.StructField("LINENO", S), T.StructField("AMOUNT", S), T.StructField("WORKORDERNUMBER", S),
             T.StructField("ITEM", T.ArrayType(T.StructType([T.StructField("SEQ", S),
                                                             T.StructField("CODE", S)])))]))),
-    ]))
+    ]),
+    ignore_namespace=True)   # the schema uses no prefixed names
 
 HEADER_SPEC = SchemaDocument("ORDER_HEADER", [Field(n) for n in [
     "DOCUMENTE_XML_ID", "UUID", "ORDERKEY", "CUSTKEY", "STATUS", "TRANSMITDATE", "TRANSMITDATE_CT",
