@@ -55,9 +55,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
+def scratch_path(spark: SparkSession, name: str, keep: bool = False) -> str:
     """A fresh folder under the shared checkpoint location (never a
-    machine-local temp folder) for intermediate files of one run."""
+    machine-local temp folder) for intermediate files of one run.
+
+    Unless ``keep``, the folder is registered with the Hadoop filesystem's
+    delete-on-exit list, so it is removed when the session's JVM shuts down
+    (results stay readable for the whole session; repeated runs do not
+    accumulate on the shared disk)."""
     import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/surveylake-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/surveylake-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    if not keep:
+        try:
+            jvm = spark.sparkContext._jvm
+            hpath = jvm.org.apache.hadoop.fs.Path(path)
+            fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            fs.mkdirs(hpath)          # deleteOnExit only registers existing paths
+            fs.deleteOnExit(hpath)
+        except Exception:  # noqa: BLE001 - no JVM view (e.g. Spark Connect): keep the folder
+            pass
+    return path
