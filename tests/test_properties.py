@@ -102,3 +102,24 @@ def test_upsert_matches_delete_then_insert(spark, old, new):
     new_keys = {k for k, _ in new if k is not None}
     want = [r for r in old if r[0] is None or r[0] not in new_keys] + list(new)
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+from surveylake.operators.nested import explode_prefixed  # noqa: E402
+
+item_lists = st.one_of(st.none(), st.lists(st.tuples(st.integers(0, 9), st.one_of(st.none(), st.text("ab", max_size=2))),
+                                           max_size=3))
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(item_lists, max_size=8))
+def test_explode_prefixed_matches_python(spark, lists):
+    rows = [(i, v) for i, v in enumerate(lists)]
+    df = spark.createDataFrame(rows, "id int, it array<struct<k:int, v:string>>")
+    got = sorted((tuple(r) for r in explode_prefixed(df, "it").collect()), key=repr)
+    want = []
+    for i, items in rows:
+        if items is None:
+            want.append((i, None, None))          # NULL list: row kept
+        else:
+            want.extend((i, k, v) for k, v in items)   # empty list: row dropped
+    assert got == sorted(want, key=repr)
