@@ -123,3 +123,19 @@ def test_explode_prefixed_matches_python(spark, lists):
         else:
             want.extend((i, k, v) for k, v in items)   # empty list: row dropped
     assert got == sorted(want, key=repr)
+
+
+vals = st.tuples(st.one_of(st.none(), st.integers(-1, 1)), st.one_of(st.none(), st.sampled_from(["", "a"])))
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.integers(0, 6), vals, max_size=6), st.dictionaries(st.integers(0, 6), vals, max_size=6))
+def test_changed_rows_matches_python(spark, old, new):
+    mk = lambda d: spark.createDataFrame([(k, n, s) for k, (n, s) in d.items()], "k int, n bigint, s string")
+    types = {"n": "INT64", "s": "STRING"}
+    sentinel = lambda a, b: ((a[0] if a[0] is not None else 0) != (b[0] if b[0] is not None else 0)
+                             or (a[1] if a[1] is not None else "") != (b[1] if b[1] is not None else ""))
+    for mode, differs in (("sentinel", sentinel), ("null_safe", lambda a, b: a != b)):
+        got = sorted(r.k for r in Mg.changed_rows(mk(old), mk(new), ["k"], types, mode=mode).collect())
+        want = sorted(k for k in new if k in old and differs(old[k], new[k]))
+        assert got == want, mode
