@@ -93,12 +93,11 @@ def strip_prefixes(c: str | Column, prefixes: Iterable[str] = XML_PREFIXES) -> C
     """Remove namespace prefixes from XML tag names only.
 
     ``<n0:Root>`` -> ``<Root>``; text such as ``http://host`` is untouched.
-    Plain substring replaces of ``<pfx:`` / ``</pfx:`` (no regex engine).
+    One regex pass (chained plain replaces were measured no faster and
+    differ on a doubly-prefixed tag such as ``<n0:p:x>``).
     """
-    out = _c(c)
-    for pfx in prefixes:
-        out = F.replace(F.replace(out, F.lit(f"</{pfx}:"), F.lit("</")), F.lit(f"<{pfx}:"), F.lit("<"))
-    return out
+    alt = "|".join(prefixes)
+    return F.regexp_replace(_c(c), f"(</?)(?:{alt}):", "$1")
 
 
 def decode_base64_text(c: str | Column) -> Column:

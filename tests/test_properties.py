@@ -139,3 +139,20 @@ def test_changed_rows_matches_python(spark, old, new):
         got = sorted(r.k for r in Mg.changed_rows(mk(old), mk(new), ["k"], types, mode=mode).collect())
         want = sorted(k for k in new if k in old and differs(old[k], new[k]))
         assert got == want, mode
+
+
+from surveylake.functions import cleanse as X  # noqa: E402
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.text(alphabet="<>/:np0xh-1 2", max_size=16),
+                          st.sampled_from(["<n0:p:x>", "</n0:a>", "http://p:x", "<p:n0:y/>"])),
+                min_size=1, max_size=20))
+def test_text_cleansers_match_python(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "c string")
+    got = df.select(X.strip_prefixes("c"), X.strip_offset("c"), X.period("c")).collect()
+    for v, (a, b, c) in zip(values, got):
+        assert a == re.sub(r"(</?)(?:n0|p):", r"\1", v)
+        assert b == re.sub(r"-\d{2}:\d{2}$", "", v)
+        parts = v.split("-")
+        assert c == (parts[0] + parts[1] if len(parts) >= 3 else None)
