@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import decontam, langid, packing, simhash
 from .common import table
 
 
@@ -19,8 +20,27 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside a 10-word window of a benchmark item."""
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens packed into sequences of 2048."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                        capacity=2048, end_id=1)
+
+
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four of five folds."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash}
+    return {f.__name__: f for f in (op1_simhash, op3_decontam, op6_packing, op10_langid)}
 
 
 def oracle_sql() -> dict[str, str]:
