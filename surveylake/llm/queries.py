@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from surveylake.session import scratch_path
 
-from . import chat, decontam, langid, linededup, packing, simhash, urlfilter, warc
+from . import chat, decontam, langid, linededup, packing, quality, simhash, urlfilter, warc
 from .common import table
 
 
@@ -48,6 +48,13 @@ def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and log-likelihood ratio of every document against those
+    labelled good."""
+    good = table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0")
+    return quality.judge(table(spark, sf_dir, "documents"), good)
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back."""
     path = scratch_path(spark, "warc")
@@ -91,7 +98,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_chat, op3_decontam, op5_warc, op6_packing, op8_urlfilter,
+    return {f.__name__: f for f in (op1_simhash, op2_chat, op3_decontam, op4_quality, op5_warc, op6_packing, op8_urlfilter,
                                     op9_linededup, op10_langid)}
 
 
