@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from surveylake.session import scratch_path
 
-from . import chat, decontam, langid, linededup, packing, quality, simhash, urlfilter, warc
+from . import chat, decontam, langid, licenses, linededup, packing, quality, simhash, urlfilter, warc
 from .common import table
 
 
@@ -72,6 +72,20 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         capacity=2048, end_id=1)
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License of every document, as a file of a tree: 64 documents to a
+    directory, 64 directories to one above, by source; the first document of
+    each directory is its licence file."""
+    folder = F.concat_ws("/", "source", F.expr("concat('d', doc_id div 4096)"))
+    path = (F.when(F.expr("doc_id % 4096 = 0"), F.concat_ws("/", folder, F.lit("LICENSE")))
+            .when(F.expr("doc_id % 64 = 0"), F.concat_ws("/", folder, F.expr("concat('d', doc_id div 64)"), F.lit("LICENSE")))
+            .otherwise(F.concat_ws("/", folder, F.expr("concat('d', doc_id div 64)"), F.expr("concat(doc_id, '.txt')"))))
+    files = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    found = licenses.scan(files, "doc_id")
+    return found.select(F.col("id").alias("doc_id"), "path", "license", F.round("score", 9).alias("score"), "how",
+                        "licence_folder")
+
+
 RULES = [urlfilter.Rule.of(*r) for r in (
     ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
     ("com/de/", "block"))]
@@ -98,7 +112,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_chat, op3_decontam, op4_quality, op5_warc, op6_packing, op8_urlfilter,
+    return {f.__name__: f for f in (op1_simhash, op2_chat, op3_decontam, op4_quality, op5_warc, op6_packing, op7_licenses, op8_urlfilter,
                                     op9_linededup, op10_langid)}
 
 
