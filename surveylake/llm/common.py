@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from surveylake.session import scratch_path
@@ -34,3 +36,21 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
             yield fn(batch)
 
     return df.mapInArrow(run, schema)
+
+
+#: Latin-1 letters, then a full stop or comma or not.
+PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?$"
+
+
+def chunked(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Texts cut at every space and newline: (index of each chunk among the
+    distinct ones, the distinct chunks, where each text's chunks begin and the
+    last one's end).  A null text is cut like an empty one."""
+    lists = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+    coded = lists.flatten().dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary, lists.offsets.to_numpy()
+
+
+def strings(values: pa.Array) -> list[str]:
+    """A string column as a list, without a scalar object for each value."""
+    return values.to_numpy(zero_copy_only=False).tolist()

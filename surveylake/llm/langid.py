@@ -12,30 +12,43 @@ the input.
 
 from __future__ import annotations
 
-import math
-from collections import Counter
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import map_batches, materialise
+from .common import PLAIN, chunked, map_batches, materialise, strings
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_WORD_OR_END = regex.compile(WORD.pattern + r"|\n")
 UNKNOWN = "und"
 ORDERS = (4, 3, 2, 1)
 #: A word (gram) is kept if its mean share over the languages is at least this.
 WORD_SHARE, GRAM_SHARE = 1 / 200_000, 1 / 50_000
 BACKGROUND = 0.01  # weight of the mean over all languages in each language's share
-_MEMO = 200_000
+_MEMO, _SLICE = 400_000, 1024  # unknown words looked up; texts scored at a time
 
 
-def words_of(chunk: str) -> list[str]:
-    return WORD.findall(chunk.lower())
+def words_of_each(chunks: pa.Array) -> tuple[np.ndarray, pa.Array, list[list[str]]]:
+    """Lower-cased words of chunks that hold no newline: (which chunks are one
+    Latin-1 word, that word of each of these, the words of each of the rest)."""
+    plain = pc.match_substring_regex(chunks, PLAIN)
+    rest, found = [], []
+    for word in _WORD_OR_END.findall("\n".join(strings(chunks.filter(pc.invert(plain)))).lower() + "\n"):
+        if word == "\n":
+            found.append(rest)
+            rest = []
+        else:
+            rest.append(word)
+    is_plain = plain.to_numpy(zero_copy_only=False)
+    return is_plain, pc.utf8_lower(pc.utf8_rtrim(chunks.filter(plain), ".,")), found[:len(chunks) - int(is_plain.sum())]
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -47,15 +60,17 @@ def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     """(lang, word, n) over all texts, counted in each batch before the shuffle."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        by_lang: dict[str, Counter] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            by_lang.setdefault(lang, Counter()).update(text.split())
         langs, words, ns = [], [], []
-        for lang, chunks in by_lang.items():
-            counts: Counter = Counter()
-            for chunk, n in chunks.items():
-                for word in words_of(chunk):
-                    counts[word] += n
+        for lang in batch.column(0).unique().to_pylist():
+            each, distinct, _ = chunked(batch.column(1).filter(pc.equal(batch.column(0), lang)))
+            n = np.bincount(each, minlength=len(distinct))
+            is_plain, plain, rest = words_of_each(distinct)
+            coded = plain.dictionary_encode()
+            sums = np.bincount(coded.indices.to_numpy(), n[is_plain], len(coded.dictionary)).astype(np.int64)
+            counts = dict(zip(strings(coded.dictionary), sums.tolist()))
+            for found, k in zip(rest, n[~is_plain].tolist()):
+                for word in found:
+                    counts[word] = counts.get(word, 0) + k
             langs += [lang] * len(counts)
             words += counts.keys()
             ns += counts.values()
@@ -70,15 +85,17 @@ def gram_counts(words: DataFrame) -> DataFrame:
     """(lang, word: the gram, order, n) from the word counts."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts: Counter = Counter()
-        for lang, word, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        counts: dict[tuple[str, int], dict[str, int]] = {}
+        for lang, word, n in zip(*(batch.column(i).to_numpy(zero_copy_only=False).tolist() for i in range(3))):
             for order in ORDERS:
+                here = counts.setdefault((lang, order), {})
                 for gram in grams_of(word, order):
-                    counts[lang, gram, order] += n
-        langs, grams, orders = zip(*counts) if counts else ((), (), ())
+                    here[gram] = here.get(gram, 0) + n
+        flat = [(lang, gram, order, n) for (lang, order), here in counts.items() for gram, n in here.items()]
+        langs, grams, orders, ns = zip(*flat) if flat else ((),) * 4
         return pa.RecordBatch.from_arrays(
             [pa.array(langs, pa.string()), pa.array(grams, pa.string()), pa.array(orders, pa.int32()),
-             pa.array(counts.values(), pa.int64())], ["lang", "word", "order", "n"])
+             pa.array(ns, pa.int64())], ["lang", "word", "order", "n"])
 
     return (map_batches(words.select("lang", "word", "n"), run, "lang string, word string, order int, n long")
             .groupBy("lang", "word", "order").agg(F.sum("n").alias("n")))
@@ -88,18 +105,17 @@ def gram_counts(words: DataFrame) -> DataFrame:
 class Model:
     langs: list[str] = field(default_factory=list)
     #: by order (0: whole words), text -> row of ``logs``
-    rows: dict[int, dict[str, int]] = field(default_factory=dict)
+    rows: dict[int, dict[str, int]] = field(default_factory=lambda: {order: {} for order in (0, *ORDERS)})
     logs: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
 
-    def word(self, word: str) -> np.ndarray | None:
-        """Log frequency per language by word-first backoff; None if nothing is known."""
-        if (row := self.rows[0].get(word)) is not None:
-            return self.logs[row]
+    def gram_rows(self, word: str) -> list[int]:
+        """Rows of the known grams of an unknown word, at the first length of
+        which any is known."""
         for order in ORDERS:
             known = self.rows[order]
             if rows := [known[g] for g in grams_of(word, order) if g in known]:
-                return self.logs[rows].mean(axis=0)
-        return None
+                return rows
+        return []
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", word_share: float = WORD_SHARE,
@@ -112,7 +128,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", word_
     order, with a count per language.
     """
     words = materialise(word_counts(docs, text_col, lang_col), "langid-words")
-    model = Model(rows={order: {} for order in (0, *ORDERS)})
+    model = Model()
     found = words.select("lang", "word", F.lit(0).alias("order"), "n").unionByName(gram_counts(words))
     found = materialise(found, "langid-counts")
     totals = found.groupBy("lang", "order").agg(F.sum("n").alias("total"))  # five rows a language
@@ -137,59 +153,94 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", word_
 
 
 class Scorer:
-    """Scores texts chunk by chunk (white space); chunks seen before are looked up."""
+    """Scores texts by their distinct chunks; unknown words met before are
+    looked up."""
 
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
-        self.sums = np.zeros((1024, len(model.langs) + 1))  # log frequencies, words scored
-
-    def _row(self, chunk: str) -> int:
-        row = len(self.known)
-        if row == len(self.sums):
-            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
-        self.sums[row] = 0
-        for word in words_of(chunk):
-            if (logs := self.model.word(word)) is not None:
-                self.sums[row, :-1] += logs
-                self.sums[row, -1] += 1
-        self.known[chunk] = row
-        return row
-
-    def __call__(self, text: str | None) -> tuple[str, float]:
-        """(language, its posterior from the mean log frequency of a word)."""
-        chunks = Counter(text.split()) if text else {}
-        if not self.model.langs or not any(WORD.search(c) for c in chunks):
-            return UNKNOWN, 0.0
-        if len(self.known) + len(chunks) > _MEMO:
-            self.known.clear()
-        rows = [self.known[c] if c in self.known else self._row(c) for c in chunks]
-        total = np.fromiter(chunks.values(), float, len(chunks)) @ self.sums[rows]
-        if not total[-1]:  # letters, but none that was ever learned: all languages alike
-            return self.model.langs[0], 1 / len(self.model.langs)
-        mean = total[:-1] / total[-1]
-        best = int(mean.argmax())
-        return self.model.langs[best], 1 / sum(math.exp(x - mean[best]) for x in mean)
-
-
-def predict(docs: DataFrame, model: Model, columns: list[str], text_col: str = "text") -> DataFrame:
-    """``columns`` of every row, with lang_pred and score; one pass, no shuffle."""
+        self.model = model
+        self.forget()
+
+    def forget(self) -> None:
+        # a row of log frequencies, the number of words they stand for and that of all words; row 0: no word
+        n = len(self.model.langs)
+        self.table = np.zeros((len(self.model.logs) + 2, n + 2), np.float32)
+        self.table[2:, :n], self.table[2:, n:], self.table[1, -1] = self.model.logs, 1, 1  # row 1: a word of no language
+        self.used = len(self.table)
+        self.words = {w: r + 2 for w, r in self.model.rows[0].items()}
+
+    def _add(self, rows: np.ndarray) -> range:
+        if self.used + len(rows) > len(self.table):
+            grown = np.zeros((2 * (self.used + len(rows)), self.table.shape[1]), np.float32)
+            grown[:self.used] = self.table[:self.used]
+            self.table = grown
+        added = range(self.used, self.used + len(rows))
+        self.table[added.start:added.stop] = rows
+        self.used = added.stop
+        return added
+
+    def _sums(self, groups: list[list[int]]) -> np.ndarray:
+        """The sum of the table's rows of each (non-empty) group."""
+        flat = np.fromiter(itertools.chain.from_iterable(groups), np.int64)
+        sizes = np.fromiter(map(len, groups), np.int64, len(groups))
+        return np.add.reduceat(self.table[flat], np.cumsum(sizes) - sizes)
+
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """The row of each word; unknown ones get the mean of their grams."""
+        new = {w for w in words if w not in self.words}
+        grams = {w: [r + 2 for r in rows] for w in new if (rows := self.model.gram_rows(w))}
+        self.words.update(dict.fromkeys(new, 1))
+        if grams:
+            sums = self._sums(list(grams.values()))
+            self.words.update(zip(grams, self._add(sums / sums[:, -1:])))
+        return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+
+    def _slice(self, texts: pa.Array) -> Iterator[tuple[str, float]]:
+        if len(self.words) - len(self.model.rows[0]) > _MEMO:
+            self.forget()
+        each, distinct, cuts = chunked(texts)
+        is_plain, plain, rest = words_of_each(distinct)
+        coded = plain.dictionary_encode()
+        rows = self._rows(strings(coded.dictionary))
+        of_rest = self._rows(list(itertools.chain.from_iterable(rest)))
+        sums = np.zeros((len(distinct), self.table.shape[1]), np.float32)
+        sums[is_plain] = self.table[rows[coded.indices.to_numpy()]]
+        at = np.repeat(np.flatnonzero(~is_plain), np.fromiter(map(len, rest), np.int64, len(rest)))
+        np.add.at(sums, at, self.table[of_rest])
+        # every text has a chunk, an empty one at least
+        totals = np.add.reduceat(sums.astype(np.float64)[each], cuts[:-1]) if len(texts) else ()
+        langs = self.model.langs
+        for total in totals:
+            if not total[-1] or not langs:
+                yield UNKNOWN, 0.0
+            elif not total[-2]:  # letters, but none that was ever learned: all languages alike
+                yield langs[0], 1 / len(langs)
+            else:
+                mean = total[:-2] / total[-2]
+                best = int(mean.argmax())
+                yield langs[best], float(1 / np.exp(mean - mean[best]).sum())
+
+    def __call__(self, texts: pa.Array) -> Iterator[tuple[str, float]]:
+        """(language, its posterior from the mean log frequency of a word) of each."""
+        for at in range(0, len(texts), _SLICE):
+            yield from self._slice(texts.slice(at, _SLICE))
+
+
+def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` with __lang and __score; one pass, no shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.rows, model.logs))
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in columns) + ", lang_pred string, score double"
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(Model(*shared.value))
         for batch in batches:
-            langs, scores = [], []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
-                lang, p = score(text)
-                langs.append(lang)
-                scores.append(p)
+            found = list(score(batch.column(at)))
+            langs, scores = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                [*columns, "lang_pred", "score"])
+                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                [*batch.schema.names, "__lang", "__score"])
 
-    return docs.select(*columns, F.col(text_col).alias("__text")).mapInArrow(run, schema)
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__lang", T.StringType()),
+                                              T.StructField("__score", T.DoubleType())]))
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5):
@@ -208,4 +259,14 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """
     model = train(docs.filter(~held_out(id_col)), text_col, lang_col)
     rows = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
-    return predict(rows, model, [id_col, "held_out"])
+    return predict(rows, model).select(id_col, "held_out", F.col("__lang").alias("lang_pred"),
+                                       F.col("__score").alias("score"))
+
+
+def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+               min_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language, with a score of
+    ``min_score`` or more; all columns.  A null or letterless text goes."""
+    model = train(docs.filter(~held_out(id_col)), text_col, lang_col)
+    found = predict(docs, model, text_col)
+    return found.filter((F.col("__lang") != UNKNOWN) & (F.col("__score") >= min_score)).select(*docs.columns)
