@@ -13,13 +13,12 @@ these the fingerprints are all n-grams (a window of one n-gram).
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, map_batches, materialise
@@ -119,6 +118,11 @@ def _filter(prints: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
 
 
+def text_key(text_col: str) -> Column:
+    """128 bits of a text: equal texts are matched once."""
+    return F.unhex(F.md5(text_col))
+
+
 def _scan(docs: DataFrame, id_col: str, text_col: str, kinds: list[tuple[int, int]],
           bits: np.ndarray) -> DataFrame:
     """(id, text_key, n_words, found): one pass over the texts; ``found`` has
@@ -131,10 +135,9 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, kinds: list[tuple[int, in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(shared.value).view(bool)
         for batch in batches:
-            keys, sizes, found = [], [], []
-            for text in batch.column(1).to_pylist():
+            sizes, found = [], []
+            for text in batch.column(2).to_pylist():
                 words = words_of(text)
-                keys.append(hashlib.blake2b(text, digest_size=16).digest() if words else None)
                 sizes.append(len(words))
                 here: dict[tuple, list[int]] = {}
                 for gram, reach, at, hashes in fingerprints(words, kinds):
@@ -146,10 +149,11 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, kinds: list[tuple[int, in
                 found.append([{"hash": h, "gram": g, "at": a, "words": [w.decode() for w in ws], "pos": pos}
                               for (h, g, a, ws), pos in here.items()])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(found, found_type)],
+                [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(found, found_type)],
                 ["id", "text_key", "n_words", "found"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("text_key"),
+                       F.col(text_col).cast("binary").alias("text"))
     return rows.mapInArrow(run, f"id {id_type}, text_key binary, n_words long, found array<{_CONTEXT}>")
 
 
@@ -200,6 +204,22 @@ def _covered(runs: DataFrame) -> DataFrame:
     return map_batches(spans, run, "text_key binary, n_hit long")
 
 
+def _runs(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id: str, item_text: str, window: int,
+          gram: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(scanned rows, benchmark fingerprints with their context's name, runs)."""
+    prints = materialise(item_fingerprints(items, item_id, item_text, window, gram), "decontam-items")
+    # at most `window` rows: each kind of fingerprint that the benchmark needs
+    kinds = sorted((r.gram, 1 if r.need < window else window - gram + 1)
+                   for r in prints.select("gram", "need").distinct().collect())
+    rows = materialise(_scan(docs, id_col, text_col, kinds, _filter(prints)), "decontam-scan")
+    named = prints.withColumn("context", F.md5(F.to_json(F.struct("hash", "at", "words", "need"))))
+    contexts = named.select("context", "need", "hash", "gram", F.col("at").alias("item_at"),
+                            F.col("words").alias("item_words")).dropDuplicates(["context"])
+    found = rows.filter(F.size("found") > 0).select("text_key", F.explode("found").alias("f")).select(
+        "text_key", "f.*").distinct()
+    return rows, named, materialise(_extend(found.join(contexts, ["hash", "gram"])), "decontam-runs")
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
                   gram: int = GRAM) -> DataFrame:
@@ -212,18 +232,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     their rows (documents) or count once (items).  Equal texts are matched once
     and joined back.  Empty tables give no rows, or rows without hits.
     """
-    prints = materialise(item_fingerprints(items, item_id, item_text, window, gram), "decontam-items")
-    # at most `window` rows: each kind of fingerprint that the benchmark needs
-    kinds = sorted((r.gram, 1 if r.need < window else window - gram + 1)
-                   for r in prints.select("gram", "need").distinct().collect())
-    rows = materialise(_scan(docs, id_col, text_col, kinds, _filter(prints)), "decontam-scan")
-    context = F.md5(F.to_json(F.struct("hash", "at", "words", "need")))
-    named = prints.withColumn("context", context)
-    contexts = named.select("context", "need", "hash", "gram", F.col("at").alias("item_at"),
-                            F.col("words").alias("item_words")).dropDuplicates(["context"])
-    found = rows.filter(F.size("found") > 0).select("text_key", F.explode("found").alias("f")).select(
-        "text_key", "f.*").distinct()
-    runs = materialise(_extend(found.join(contexts, ["hash", "gram"])), "decontam-runs")
+    rows, named, runs = _runs(docs, items, id_col, text_col, item_id, item_text, window, gram)
     listed = (runs.select("text_key", "context").distinct()
               .join(named.select("context", "item").distinct(), "context")
               .groupBy("text_key").agg(F.sort_array(F.collect_set("item")).alias("items")))
@@ -231,3 +240,13 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     return rows.select("id", "text_key", "n_words").join(hits, "text_key", "left").select(
         "id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
+                   gram: int = GRAM) -> DataFrame:
+    """The rows of ``docs`` in which no window of an item occurs, all columns;
+    rows with a null text stay."""
+    _, _, runs = _runs(docs, items, id_col, text_col, item_id, item_text, window, gram)
+    hit = runs.select(F.col("text_key").alias("__text_key")).distinct()
+    return docs.withColumn("__text_key", text_key(text_col)).join(hit, "__text_key", "left_anti").select(*docs.columns)

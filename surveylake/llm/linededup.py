@@ -9,7 +9,7 @@ fingerprints that occur more than once; from these a match is extended both
 ways, by the windows that open or close in it and equal an earlier window as a
 whole.  Lines covered by such a window are deleted.
 
-Put differently: a line goes if it is part of a run of consecutive lines, of
+Put differently: a line with a word goes if it is part of a run of consecutive lines, of
 ``min_words`` words or more, that equals a run at an earlier place.
 """
 
@@ -85,7 +85,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Places are ordered by id (null first), then by a hash of the text, then by
     line.  Rows equal in id and text are one document: all lose the same lines.
     Lines are compared whole, with case and white space; lines without a word
-    neither count nor break a run, and go with a run around them.  A run may
+    neither count nor break a run, and go where they lie inside a window.  A run may
     overlap the earlier one it repeats (a line repeated on and on stays once).
     A null text stays null and has 0 lines, an empty one has one line; an empty
     table gives an empty one; other columns are carried along.
@@ -108,3 +108,15 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
           for c in docs.columns),
         F.when(F.col(text_col).isNull(), 0).otherwise(F.size("__all")).cast("long").alias("__lines"),
         F.coalesce(gone, F.lit(0)).cast("long").alias("__deleted"))
+
+
+def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                           min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with repeated runs of lines deleted; a document of which no word
+    is left goes (it was copied from earlier ones as a whole).  All columns;
+    ``n_chars``, if there, follows the text."""
+    found = drop_repeated_lines(docs, id_col, text_col, min_words)
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.when(F.col("__deleted") > 0, F.length(text_col).cast(
+            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return found.filter((F.col("__deleted") == 0) | F.col(text_col).rlike(WORD)).select(*docs.columns)

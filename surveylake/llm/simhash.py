@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, map_batches, materialise
@@ -46,14 +46,20 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, fp long) of every row, one pass, no shuffle."""
+    """(id, row_key, fp long) of every row, one pass, no shuffle; row_key is a
+    128-bit hash of id and text."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = np.fromiter((fingerprint(t, shingle) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+        fps = np.fromiter((fingerprint(t, shingle) for t in batch.column(2).to_pylist()), np.uint64, batch.num_rows)
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fps.view(np.int64))], ["id", "row_key", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return map_batches(rows, run, "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), row_key(id_col, text_col).alias("row_key"),
+                       F.col(text_col).cast("binary").alias("text"))
+    return map_batches(rows, run, "id long, row_key binary, fp long")
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), text_col)))
 
 
 def _tiles(fps: DataFrame, radius: int, tile_rows: int) -> DataFrame:
@@ -140,19 +146,35 @@ def links(fps: DataFrame, radius: int = 3, tile_rows: int = 1024) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     radius: int = 3, tile_rows: int = 1024) -> DataFrame:
-    """One row per row of ``docs``: (id, fp, component_id), component_id being
-    the smallest id reachable over links of at most ``radius`` differing bits.
-
-    Copies share a fingerprint and are folded before any comparison; only
-    distinct fingerprints meet.  A null or wordless text has fingerprint zero
-    and links like any other.  A null id stays null and is never a
-    component_id, unless its whole component has none.  Repeated ids keep their
-    rows.  An empty table gives an empty one; other columns are not read.
+    """One row per row of ``docs``: (id, row_key, fp, component_id, root).
+
+    component_id is the smallest id reachable over links of at most ``radius``
+    differing bits, root the smallest fingerprint of the component.  Copies
+    share a fingerprint and are folded before any comparison; only distinct
+    fingerprints meet.  A null or wordless text has fingerprint zero and links
+    like any other.  A null id stays null and is never a component_id, unless
+    its whole component has none.  Repeated ids keep their rows.  An empty table
+    gives an empty one; other columns are not read.
     """
     rows = materialise(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     fps = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     roots = connected_components(links(fps.select("fp"), radius, tile_rows))
     linked = roots.join(fps.withColumnRenamed("fp", "node"), "node")
     least = linked.groupBy("root").agg(F.min("least").alias("of_component"))
-    named = fps.join(linked.join(least, "root").select(F.col("node").alias("fp"), "of_component"), "fp", "left")
-    return rows.join(named.select("fp", F.coalesce("of_component", "least").alias("component_id")), "fp")
+    linked = linked.join(least, "root").select(F.col("node").alias("fp"), "root", "of_component")
+    named = fps.join(linked, "fp", "left").select(
+        "fp", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("of_component")).alias("component_id"),
+        F.coalesce("root", "fp").alias("root"))
+    # written, so that the join below is of two plain exchanges and AQE may split a hot fingerprint
+    return rows.join(materialise(named, "simhash-components"), "fp")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                    radius: int = 3) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each component: that with the
+    smallest id (a null id last), of rows alike in id one of them; all columns."""
+    found = near_duplicates(docs, id_col, text_col, shingle, radius)
+    stays = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_key")).alias("best"))
+    keyed = docs.withColumn("__row_key", row_key(id_col, text_col))
+    return (keyed.join(stays.select(F.col("best.row_key").alias("__row_key")), "__row_key", "left_semi")
+            .dropDuplicates(["__row_key"]).select(*docs.columns))
