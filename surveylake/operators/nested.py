@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,33 +69,49 @@ def row_id(*parts: Column | str) -> Column:
     return F.sha2(F.concat_ws("|", *[c.cast("string") for c in cols]), 256)
 
 
-def spread(docs: DataFrame) -> DataFrame:
-    """Parsing is CPU-bound per document: when the input has fewer splits
-    than the cluster has cores (a few small files), spread the documents
-    round-robin.  Large inputs already have many more splits than cores and
-    are left alone, so this never adds a shuffle at scale."""
-    try:
-        cores = docs.sparkSession.sparkContext.defaultParallelism
-        splits = docs.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
-        return docs
-    return docs.repartition(cores) if splits < cores else docs
-
-
 def parse_documents(docs: DataFrame, layout: DocumentLayout, payload: str = "payload",
-                    base64: bool = True, key: str = "doc_key") -> DataFrame:
+                    base64: bool = True, key: str = "doc_key", repartition: int | None = None,
+                    strict: bool = False) -> DataFrame:
     """N1 + P21 + P24: (doc_key, payload) -> (doc_key, DOC_ID, parsed struct).
 
-    Malformed base64 gives a NULL text and so no rows (it is not an error).
+    A document that does not decode (bad base64, broken XML, another root or no
+    child) has no rows in the tables: ``rejected_documents`` lists it, ``strict``
+    raises at it.  ``repartition`` spreads the documents of a few small files
+    over so many tasks, as parsing is bound by the CPU.
     """
-    docs = spread(docs)
+    if repartition:
+        docs = docs.repartition(repartition)
     text = decode_base64_text(payload) if base64 else F.col(payload)
     if layout.ignore_namespace:
         parsed = F.from_xml(text, layout.document_schema(), {"ignoreNamespace": "true"})
     else:
         parsed = F.from_xml(strip_prefixes(text), layout.document_schema())
-    return docs.select(F.col(key).alias("doc_key"),
-                       F.sha2(F.col(key).cast("string"), 256).alias(DOC_ID), parsed.alias("doc"))
+    out = docs.select(F.col(key).alias("doc_key"),
+                      F.sha2(F.col(key).cast("string"), 256).alias(DOC_ID), parsed.alias("doc"))
+    if strict:
+        out = out.withColumn("doc", F.when(~_undecoded(layout), F.col("doc")).otherwise(
+            F.raise_error(F.concat(F.lit("document does not decode: "), F.col("doc_key").cast("string")))))
+    return out
+
+
+def _undecoded(layout: DocumentLayout) -> Column:
+    kids = F.col("doc").getField(layout.sub_element)
+    return kids.isNull() | (F.size(kids) == 0)
+
+
+def rejected_documents(docs: DataFrame, layout: DocumentLayout, payload: str = "payload", base64: bool = True,
+                       key: str = "doc_key") -> DataFrame:
+    """(doc_key, payload, reason): documents that give no row, with the step
+    that failed -- ``base64`` or ``xml`` (broken, another root, or no child)."""
+    text = decode_base64_text(payload) if base64 else F.col(payload)
+    header_only = pruned(layout, layout.tables_header or None)
+    shape = header_only.document_schema()
+    options = {"ignoreNamespace": "true"} if layout.ignore_namespace else {}
+    parsed = F.from_xml(text if layout.ignore_namespace else strip_prefixes(text), shape, options)
+    tried = docs.select(F.col(key).alias("doc_key"), F.col(payload).alias("payload"), text.isNull().alias("no_text"),
+                        parsed.alias("doc"))
+    return tried.where(_undecoded(layout)).select(
+        "doc_key", "payload", F.when(F.col("no_text"), F.lit("base64")).otherwise(F.lit("xml")).alias("reason"))
 
 
 def _flatten(struct: Column, dtype: T.StructType, prefix: str = "",
@@ -180,6 +196,8 @@ def header_rows(parsed: DataFrame, layout: DocumentLayout, subs: DataFrame | Non
     if INVOICE in cols:
         cols[INVOICE + CT_SUFFIX] = cols[INVOICE]
         cols[INVOICE] = strip_offset(cols[INVOICE])
+    if WORK_ORDER in cols:
+        cols[WORK_ORDER_HEADER] = cols[WORK_ORDER]
     return subs.select("doc_key", "sub_pos", "sub", DOC_ID,
                        row_id("doc_key", "sub_pos").alias(ROW_ID),
                        *[c.alias(n) for n, c in cols.items()])
@@ -209,11 +227,9 @@ def body_rows(header: DataFrame, layout: DocumentLayout, body: str) -> DataFrame
         cols[h] = F.col(f"`{h}`")
     if WORK_ORDER in bcols and WORK_ORDER in hnames:
         cols[WORK_ORDER] = F.coalesce(bcols[WORK_ORDER], F.col(WORK_ORDER))
-        cols[WORK_ORDER_HEADER] = F.col(WORK_ORDER)
-    elif WORK_ORDER in hnames:
-        cols[WORK_ORDER_HEADER] = F.col(WORK_ORDER)
     cols[HEAD_ID] = F.col(ROW_ID)
-    cols[ROW_ID] = row_id("doc_key", "sub_pos", "body_pos")
+    # the element's name keeps rows of two body tables at one position apart
+    cols[ROW_ID] = row_id("doc_key", "sub_pos", F.lit(body), "body_pos")
     return e.select("doc_key", "sub_pos", "body_pos", "body", *[c.alias(n) for n, c in cols.items()])
 
 
@@ -239,7 +255,7 @@ def sub_body_rows(body_df: DataFrame, layout: DocumentLayout, body: str, sub_bod
         cols[b] = F.col(f"`{b}`")
     cols[sub_body] = F.lit("")
     cols[BODY_ID] = F.col(ROW_ID)
-    cols[ROW_ID] = row_id("doc_key", "sub_pos", "body_pos", "sb_pos")
+    cols[ROW_ID] = row_id(ROW_ID, F.lit(sub_body), "sb_pos")
     return e.select(*[c.alias(n) for n, c in cols.items()])
 
 
@@ -257,7 +273,8 @@ def pruned(layout: DocumentLayout, tables: Sequence[str] | None) -> DocumentLayo
 def decode_documents(docs: DataFrame, layout: DocumentLayout, payload: str = "payload",
                      base64: bool = True, key: str = "doc_key",
                      tables: Sequence[str] | None = None,
-                     persist_parsed: bool = False) -> dict[str, DataFrame]:
+                     persist_parsed: bool = False, repartition: int | None = None,
+                     strict: bool = False) -> dict[str, DataFrame]:
     """Every header, body and sub-body table of the layout (or only
     ``tables``, parsing only the elements those need).
 
@@ -267,7 +284,7 @@ def decode_documents(docs: DataFrame, layout: DocumentLayout, payload: str = "pa
     caller unpersists ``result["__parsed"]`` when done).
     """
     layout = pruned(layout, tables)
-    parsed = parse_documents(docs, layout, payload, base64, key)
+    parsed = parse_documents(docs, layout, payload, base64, key, repartition, strict)
     if persist_parsed:
         from pyspark import StorageLevel
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
@@ -278,15 +295,18 @@ def read_xml_children(spark, path: str, layout: DocumentLayout, glob: str = "*.x
     """S5 for large files: Spark's XML reader with ``rowTag`` = the child
     element splits big files and yields one row per child, namespaces
     ignored (the prefix strip of P21).  A child's position is not known on
-    this path, so its id part is a hash of the file path and its content:
-    byte-identical children of one file share an id (every row is kept)."""
+    this path, so its id part is a hash of its content and its number among
+    the equal children of its file: unique, and the same however the file is
+    split."""
     df = (spark.read.format("xml").option("rowTag", layout.sub_element).option("ignoreNamespace", True)
           .option("pathGlobFilter", glob).option("recursiveFileLookup", True)
           .schema(layout.schema).load(path))
     sub = F.struct(*[F.col(f"`{f.name}`") for f in layout.schema.fields])
-    return df.select(F.col("_metadata.file_path").alias("doc_key"),
-                     F.sha2(F.col("_metadata.file_path"), 256).alias(DOC_ID),
-                     F.sha2(F.to_json(sub), 256).alias("sub_pos"), sub.alias("sub"))
+    keyed = df.select(F.col("_metadata.file_path").alias("doc_key"),
+                      F.sha2(F.col("_metadata.file_path"), 256).alias(DOC_ID),
+                      F.sha2(F.to_json(sub), 256).alias("content"), sub.alias("sub"))
+    number = F.row_number().over(Window.partitionBy("doc_key", "content").orderBy(F.lit(0))) - 1
+    return keyed.select("doc_key", DOC_ID, F.concat_ws("#", "content", number.cast("string")).alias("sub_pos"), "sub")
 
 
 def decode_children(subs: DataFrame, layout: DocumentLayout,
@@ -309,7 +329,8 @@ def _tables(parsed: DataFrame, layout: DocumentLayout, header: DataFrame) -> dic
         for s in layout.tables_sub_body:
             sdf = sub_body_rows(bdf, layout, b, s)
             if sdf is not None:
-                out[s] = sdf
+                # a sub-body element may hang below several body elements
+                out[s] = out[s].unionByName(sdf, allowMissingColumns=True) if s in out else sdf
     return out
 
 

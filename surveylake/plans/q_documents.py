@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cleanse import encode_base64_text
-from ..operators.nested import DocumentLayout, conform_to_schema, decode_documents, spread
+from ..operators.nested import DocumentLayout, conform_to_schema, decode_documents
 from ..schema import Field, SchemaDocument
 from .catalog import register, table
 
@@ -42,7 +42,7 @@ ORDER_LAYOUT = DocumentLayout(
 
 HEADER_SPEC = SchemaDocument("ORDER_HEADER", [Field(n) for n in [
     "DOCUMENTE_XML_ID", "UUID", "ORDERKEY", "CUSTKEY", "STATUS", "TRANSMITDATE", "TRANSMITDATE_CT",
-    "INVOICEDATE", "INVOICEDATE_CT", "WORKORDERNUMBER", "SOURCEURL", "LEVEL"]])
+    "INVOICEDATE", "INVOICEDATE_CT", "WORKORDERNUMBER", "WORKORDERNUMBER_HEADER", "SOURCEURL", "LEVEL"]])
 BODY_SPEC = SchemaDocument("ORDER_LINE", [Field(n) for n in [
     "UUID", "UUID_HEAD", "DOCUMENTE_XML_ID", "ORDERKEY", "STATUS", "TRANSMITDATE", "LEVEL", "LINENO", "AMOUNT",
     "WORKORDERNUMBER", "WORKORDERNUMBER_HEADER", "ITEMSEQ", "ITEMCODE"]])
@@ -97,7 +97,7 @@ ROOT_CLOSE = "</n0:Orders>"
 
 def order_documents(spark, sf_dir):
     """(doc_key, payload, o_orderkey): one base64 XML document per order."""
-    o = spread(table(spark, sf_dir, "orders"))
+    o = table(spark, sf_dir, "orders").repartition(spark.sparkContext.defaultParallelism)
     xml = F.concat(F.lit(ROOT_OPEN), order_children(o), F.lit(ROOT_CLOSE))
     return o.select(F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")).alias("doc_key"),
                     encode_base64_text(xml).alias("payload"), "o_orderkey")
@@ -128,7 +128,7 @@ hh AS (
     regexp_replace(INVOICEDATE_CT, '-\\d{2}:\\d{2}$', '') AS INVOICEDATE
   FROM h),
 b AS (
-  SELECT hh.*, g.i AS line_no, sha256(doc_key || '|' || sub_pos || '|' || (g.i - 1)) AS BUUID,
+  SELECT hh.*, g.i AS line_no, sha256(doc_key || '|' || sub_pos || '|LINE|' || (g.i - 1)) AS BUUID,
     CASE WHEN g.i = 2 THEN 'WO-' || ORDERKEY || '-2' END AS BODY_WO
   FROM hh, generate_series(1, n_lines) AS g(i) WHERE n_lines > 0)"""
 
@@ -136,7 +136,7 @@ b AS (
 @register("decode_header", f"""
 WITH {_DOCS_SQL}
 SELECT DOCUMENTE_XML_ID, HUUID AS UUID, ORDERKEY, CUSTKEY, STATUS, TRANSMITDATE, TRANSMITDATE_CT,
-       INVOICEDATE, INVOICEDATE_CT, WORKORDERNUMBER, SOURCEURL, LEVEL
+       INVOICEDATE, INVOICEDATE_CT, WORKORDERNUMBER, WORKORDERNUMBER AS WORKORDERNUMBER_HEADER, SOURCEURL, LEVEL
 FROM hh""")
 def q_decode_header(spark, sf_dir):
     """N6 (+S6/P20/P21/P24/N1/N2/N10): header rows, one per child element."""
@@ -158,7 +158,7 @@ def q_decode_body(spark, sf_dir):
 
 @register("decode_sub_body", f"""
 WITH {_DOCS_SQL}
-SELECT sha256(doc_key || '|' || sub_pos || '|' || (line_no - 1) || '|' || (s.j - 1)) AS UUID,
+SELECT sha256(BUUID || '|ITEM|' || (s.j - 1)) AS UUID,
        BUUID AS UUID_BODY, ORDERKEY, CAST(line_no AS VARCHAR) AS LINENO,
        CAST(s.j AS VARCHAR) AS SEQ, CUSTKEY || '-' || s.j AS CODE,
        COALESCE(BODY_WO, WORKORDERNUMBER) AS WORKORDERNUMBER, '' AS ITEM

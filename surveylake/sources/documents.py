@@ -8,11 +8,13 @@ of the decoded rows hang on.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.cleanse import encode_base64_text
+from ..functions.cleanse import encode_base64_text, ts_lit
 
 ENVELOPE_SCHEMA = T.StructType([T.StructField("data", T.ArrayType(T.StructType([
     T.StructField("interfaceValue", T.StringType())])))])
@@ -32,17 +34,28 @@ def read_xml_folder(spark: SparkSession, path: str, glob: str = "*.xml",
 
 
 def read_envelope(spark: SparkSession, path: str, glob: str = "*.json",
-                  multi_line: bool = True) -> DataFrame:
-    """JSON responses ``{"data": [{"interfaceValue": <base64 XML>}, ...]}``.
-
-    One row per document; the key is the response file plus the document's
-    position in its ``data`` list.  ``multi_line=False`` reads files that
-    hold one response per line (JSON lines), which Spark can split.
+                  multi_line: bool = True, modified_from: dt.datetime | None = None,
+                  modified_until: dt.datetime | None = None) -> DataFrame:
+    """JSON responses ``{"data": [{"interfaceValue": <base64 XML>}, ...]}``
+    of files modified in ``[modified_from, modified_until)``.
+
+    One row per document.  With one response per file the key is the file and
+    the document's position in its ``data`` list.  ``multi_line=False`` reads
+    files that hold one response per line (JSON lines), which Spark can split;
+    there the key is the file, a hash of the response, its number among equal
+    responses of the file, and the position: the same however files are split.
     """
     df = (spark.read.schema(ENVELOPE_SCHEMA).option("multiLine", multi_line)
           .option("pathGlobFilter", glob).option("recursiveFileLookup", True).json(path))
-    e = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("blk"),
-                  F.monotonically_increasing_id().alias("rec"), F.posexplode("data").alias("pos", "d"))
-    rec = F.col("rec") if not multi_line else F.lit(0)
-    return e.select(F.concat_ws("#", "file", rec.cast("string"), F.col("pos").cast("string")).alias("doc_key"),
-                    F.col("d.interfaceValue").alias("payload"))
+    if modified_from is not None:
+        df = df.where(F.col("_metadata.file_modification_time") >= ts_lit(modified_from))
+    if modified_until is not None:
+        df = df.where(F.col("_metadata.file_modification_time") < ts_lit(modified_until))
+    rows = df.select(F.col("_metadata.file_path").alias("file"), "data")
+    if not multi_line:
+        rows = rows.withColumn("response", F.sha2(F.to_json("data"), 256))
+        number = F.row_number().over(Window.partitionBy("file", "response").orderBy(F.lit(0))) - 1
+        rows = rows.select(F.concat_ws("#", "file", "response", number.cast("string")).alias("file"), "data")
+    return rows.select("file", F.posexplode("data").alias("pos", "d")).select(
+        F.concat_ws("#", "file", F.col("pos").cast("string")).alias("doc_key"),
+        F.col("d.interfaceValue").alias("payload"))

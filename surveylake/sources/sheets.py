@@ -9,20 +9,21 @@ from pyspark.sql import functions as F
 
 
 def read_sheet_export(spark: SparkSession, path: str, fmt: str = "csv",
-                      blank_as_empty: bool = True) -> DataFrame:
+                      blank_as_empty: bool = True, multi_line: bool = True) -> DataFrame:
     """A worksheet export: first row = header, every cell text.
 
     No schema inference (a sheet column is text until its schema document
     says otherwise).  Spark's CSV reader gives NULL for an empty cell; with
-    ``blank_as_empty`` it becomes '' as in the sheet.  Quoted cells may span
-    lines.  Splittable input is read in parallel by Spark.
+    ``blank_as_empty`` it becomes '' as in the sheet.  With ``multi_line``
+    quoted cells may span lines, and a file is one task; without it Spark
+    splits large files.
     """
     if fmt == "parquet":
         df = spark.read.parquet(path)
         df = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     else:
         df = (spark.read.option("header", True).option("inferSchema", False)
-              .option("multiLine", True).option("escape", '"').csv(path))
+              .option("multiLine", multi_line).option("escape", '"').csv(path))
     return df.fillna("") if blank_as_empty else df
 
 

@@ -1,9 +1,10 @@
 import base64
 
+import pytest
 from pyspark.sql import types as T
 
-from surveylake.operators.nested import (DocumentLayout, conform_to_schema, decode_documents,
-                                         explode_prefixed, flatten_struct)
+from surveylake.operators.nested import (DocumentLayout, conform_to_schema, decode_children, decode_documents,
+                                         explode_prefixed, flatten_struct, read_xml_children, rejected_documents)
 from surveylake.schema import Field
 
 S = T.StringType()
@@ -45,7 +46,45 @@ def test_header_rows(spark):
     assert h[1]["INVOICEDATE"] == "2024-01-04T00:00:00" and h[0]["INVOICEDATE"] is None
     assert h[0]["X"] == "h2"          # later header element wins a clash
     assert h[0]["URL"] == "http://a/p:b"
-    assert "WORKORDERNUMBER_HEADER" not in h[0].asDict()
+    assert h[0]["WORKORDERNUMBER_HEADER"] == h[0]["WORKORDERNUMBER"] == "W1"
+
+
+TWO = DocumentLayout("R", "S", ["H"], ["B1", "B2"], ["I"], T.StructType([
+    T.StructField("H", T.StructType([T.StructField("ID", T.StringType())])),
+    *(T.StructField(b, T.ArrayType(T.StructType([
+        T.StructField("V", T.StringType()),
+        T.StructField("I", T.ArrayType(T.StructType([T.StructField("C", T.StringType())])))]))) for b in ("B1", "B2"))]))
+TWO_DOC = ("<R><S><H><ID>1</ID></H><B1><V>a</V><I><C>x</C></I></B1>"
+           "<B2><V>b</V><I><C>y</C></I><I><C>z</C></I></B2></S></R>")
+
+
+def test_two_body_tables_share_a_sub_body(spark):
+    """Rows of every body table come in, each linked to its own body row."""
+    d = decode_documents(spark.createDataFrame([("d", b64(TWO_DOC))], "doc_key string, payload string"), TWO)
+    bodies = {r["UUID"]: r["V"] for b in ("B1", "B2") for r in d[b].collect()}
+    assert sorted(bodies.values()) == ["a", "b"]
+    items = d["I"].collect()
+    assert sorted((bodies[r["UUID_BODY"]], r["C"]) for r in items) == [("a", "x"), ("b", "y"), ("b", "z")]
+    assert len({r["UUID"] for r in items}) == 3
+
+
+def test_rejected_documents(spark):
+    rows = [("good", b64(TWO_DOC)), ("cut", b64(TWO_DOC[:60])), ("base64", "%%%"), ("root", b64("<Q><Z>1</Z></Q>")),
+            ("null", None)]
+    docs = spark.createDataFrame(rows, "doc_key string, payload string")
+    assert {r.doc_key: r.reason for r in rejected_documents(docs, TWO).collect()} == {
+        "cut": "xml", "base64": "base64", "root": "xml", "null": "base64"}
+    assert decode_documents(docs, TWO)["H"].count() == 1
+    with pytest.raises(Exception, match="does not decode"):
+        decode_documents(docs, TWO, strict=True)["H"].collect()
+
+
+def test_equal_children_have_their_own_ids(spark, tmp):
+    with open(f"{tmp}/a.xml", "w") as f:
+        f.write("<R>" + TWO_DOC[3:-4] * 3 + "</R>")
+    d = decode_children(read_xml_children(spark, tmp, TWO), TWO)
+    assert len({r["UUID"] for r in d["H"].collect()}) == 3
+    assert d["B1"].join(d["H"].withColumnRenamed("UUID", "UUID_HEAD"), "UUID_HEAD").count() == 3
 
 
 def test_body_rows_header_wins_and_work_order(spark):
