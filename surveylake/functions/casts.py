@@ -28,7 +28,9 @@ DATETIME_SHAPES = (
     r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$",
     r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}Z$",
 )
-DATE_FORMAT = "yyyy-MM-dd"
+DATE_FORMAT = "yyyy-M-d"   # one- or two-digit month and day
+FLOAT_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+BLANK = r"(?U)^[\s\u00A0\u2007\u202F\uFEFF]*$"
 INT_TEXT = r"^\s*[+-]?\d+\s*$"
 BOOL_TEXT = ("true", "false")
 # ----------------------------------------------------------------------------
@@ -41,8 +43,9 @@ def _c(c: str | Column) -> Column:
 
 
 def is_blank(c: str | Column) -> Column:
-    """TRIM(c) = '' (a NULL is not blank; it stays NULL on its own)."""
-    return F.trim(_c(c)) == ""
+    """Nothing but white space, tabs and no-break spaces included (a NULL is
+    not blank; it stays NULL on its own)."""
+    return _c(c).rlike(BLANK)
 
 
 def _fail(kind: str, c: Column) -> Column:
@@ -68,20 +71,21 @@ def cast_int(c: str | Column, strict: bool = True) -> Column:
 
 
 def cast_float(c: str | Column) -> Column:
-    """P2 FLOAT64: blank -> NULL, else safe cast (malformed -> NULL)."""
+    """P2 FLOAT64: blank -> NULL, else safe cast (malformed -> NULL).  Text is
+    checked first: a bare Spark cast would take Java suffixes (``1.5d``)."""
     c = _c(c)
-    return F.when(is_blank(c), F.lit(None).cast("double")).otherwise(c.try_cast("double"))
+    return F.when(c.rlike(FLOAT_TEXT), c.try_cast("double"))
 
 
 def cast_numeric(c: str | Column) -> Column:
     """P13 NUMERIC: decimal(38,9) (rounds to 9 places); malformed -> NULL."""
     c = _c(c)
-    return F.when(is_blank(c), F.lit(None).cast(T.DecimalType(38, 9))).otherwise(
-        c.try_cast(T.DecimalType(38, 9)))
+    return F.when(c.rlike(FLOAT_TEXT), c.try_cast(T.DecimalType(38, 9)))
 
 
 def cast_date(c: str | Column, strict: bool = True) -> Column:
-    """P3 DATE: blank -> NULL, else ``yyyy-MM-dd`` (strict raises on junk)."""
+    """P3 DATE: blank -> NULL, else year-month-day, month and day of one or two
+    digits (strict raises on junk)."""
     c = _c(c)
     return F.when(is_blank(c), F.lit(None).cast("date")).otherwise(
         _guard(F.try_to_date(c, DATE_FORMAT), c, "DATE", strict))
@@ -146,14 +150,15 @@ def apply_schema(df: DataFrame, schema: SchemaDocument | list[Field], strict: bo
     """Cast every field of the schema, by name (case-insensitive).
 
     Output columns follow the schema's order and spelling.  A field the frame
-    lacks becomes a typed NULL (``missing_as_null``) or raises.
+    lacks becomes a typed NULL (``missing_as_null``) or raises; a primary-key
+    field must be there (without its month column a load would replace nothing).
     """
     fields = schema.fields if isinstance(schema, SchemaDocument) else schema
     cols = []
     for f in fields:
         src = resolve(df.columns, f.name)
         if src is None:
-            if not missing_as_null:
+            if f.primary_key or not missing_as_null:
                 raise KeyError(f"column {f.name!r} not in frame")
             cols.append(F.lit(None).cast(f.spark_type).alias(f.name))
             continue

@@ -31,9 +31,26 @@ def test_cast_float_is_safe(spark):
 
 def test_cast_date(spark):
     assert one(spark, ["2023-01-05", ""], C.cast_date) == [dt.date(2023, 1, 5), None]
-    assert one(spark, ["2023-1-5", "05/01/2023"], lambda c: C.cast_date(c, strict=False)) == [None, None]
+    assert one(spark, ["2023-1-5", "05/01/2023"], lambda c: C.cast_date(c, strict=False)) == [dt.date(2023, 1, 5), None]
     with pytest.raises(Exception):
-        one(spark, ["2023-1-5"], C.cast_date)
+        one(spark, ["2023-13-5"], C.cast_date)
+
+
+def test_white_space_cells_are_blank(spark):
+    """A tab or no-break space alone is no malformed value in a strict load."""
+    for fn in (C.cast_int, C.cast_float, C.cast_date, C.cast_bool):
+        assert one(spark, ["\t", "\u00a0", " \n\u2007"], fn) == [None, None, None]
+
+
+def test_float_takes_no_java_suffixes(spark):
+    assert one(spark, ["1.5d", "2f", "0x1p3", "1e3", " -.5 ", "5."], C.cast_float) == [None, None, None, 1000.0, -0.5, 5.0]
+
+
+def test_key_columns_are_required(spark):
+    doc = SchemaDocument("T", [Field("id", "STRING", True), Field("mes", "DATE", True), Field("v", "INT64")])
+    with pytest.raises(KeyError):
+        C.apply_schema(spark.createDataFrame([("a", "1")], "id string, v string"), doc)
+    assert C.apply_schema(spark.createDataFrame([("a", "2024-1-5")], "ID string, MES string"), doc).collect()[0].v is None
 
 
 def test_cast_datetime_all_shapes(spark):
