@@ -166,28 +166,41 @@ def change_predicate(a: str, b: str, fields: Mapping[str, str],
         if mode == "null_safe":
             terms.append(~ca.eqNullSafe(cb))
         else:
-            s = CHANGE_SENTINELS.get(master.upper(), CHANGE_SENTINEL_OTHER)
-            lit = F.lit(s)
-            if master.upper() == "DATE":
-                lit = lit.cast("date")
-            elif master.upper() == "DATETIME":
-                lit = lit.cast(T.TimestampNTZType())
-            terms.append(F.coalesce(ca, lit) != F.coalesce(cb, lit))
+            terms.append(comparable(ca, master, mode) != comparable(cb, master, mode))
     return reduce(lambda x, y: x | y, terms) if terms else F.lit(False)
 
 
+def comparable(c: Column, master: str, mode: str) -> Column:
+    """A compared value: NULL stands for the type's sentinel, or for itself."""
+    if mode == "null_safe":
+        return c
+    s = F.lit(CHANGE_SENTINELS.get(master.upper(), CHANGE_SENTINEL_OTHER))
+    if master.upper() == "DATE":
+        s = s.cast("date")
+    elif master.upper() == "DATETIME":
+        s = s.cast(T.TimestampNTZType())
+    return F.coalesce(c, s)
+
+
 def changed_rows(old: DataFrame, new: DataFrame, keys: Sequence[str], fields: Mapping[str, str],
                  mode: str = "sentinel") -> DataFrame:
     """J4+J5: rows of ``new`` whose key exists in ``old`` with different values.
 
-    Written as a LeftSemi join (key equality + change predicate) against the
-    *distinct* old versions (keys + compared columns): each new row is
-    returned at most once and identical old copies collapse before the
-    shuffle, so a key repeated across a third of the table never produces
-    all pairs of its group.  With unique keys this is exactly the
-    ``A JOIN B ON keys WHERE <change>`` of the source system.
+    The old side is reduced to one row per key before the join, with partial
+    aggregation: the smallest and the largest of its versions (compared
+    columns, with the mode's stand-ins for NULL).  A new row differs from some
+    version if it differs from the smallest or the largest -- if these are not
+    the same, every row does.  So no key ever brings more than one old row,
+    each new row is returned at most once, and each side is exchanged once.
+    With unique keys this is exactly the ``A JOIN B ON keys WHERE <change>`` of
+    the source system.
     """
-    cols = list(dict.fromkeys(list(keys) + list(fields)))
-    versions = old.select(*[F.col(f"`{c}`") for c in cols]).dropDuplicates()
-    cond = key_condition("__new", "__old", keys) & change_predicate("__old", "__new", fields, mode)
-    return new.alias("__new").join(versions.alias("__old"), cond, "left_semi")
+    if not fields:
+        return new.where(F.lit(False))
+    version = F.struct(*[comparable(F.col(f"`{c}`"), t, mode).alias(f"v{i}") for i, (c, t) in enumerate(fields.items())])
+    versions = old.groupBy(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
+        F.min(version).alias("__lo"), F.max(version).alias("__hi"))
+    own = F.struct(*[comparable(F.col(f"__new.`{c}`"), t, mode).alias(f"v{i}") for i, (c, t) in enumerate(fields.items())])
+    cond = reduce(lambda a, b: a & b, [F.col(f"__new.`{k}`") == F.col(f"__old.__k{i}") for i, k in enumerate(keys)])
+    differs = ~own.eqNullSafe(F.col("__old.__lo")) | ~own.eqNullSafe(F.col("__old.__hi"))
+    return new.alias("__new").join(versions.alias("__old"), cond & differs, "left_semi")
