@@ -12,15 +12,18 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import apply_schema, project_to_fields, reject_count_column
 from ..functions.cleanse import (add_period, decode_base64_text, load_timestamp, stringify_frame,
                                  strip_prefixes, with_audit)
-from ..operators.audit import dedup, observed
-from ..operators.nested import DocumentLayout, conform_to_schema, decode_documents
+from ..operators.audit import dedup, observed, observed_rows
+from ..operators.nested import (ROW_ID, DocumentLayout, conform_to_schema, decode_documents,
+                               rejected_documents)
 from ..schema import SchemaDocument, find_column, union_documents
+from ..session import is_missing_path, scratch_path
 from ..sinks import writers as W
 from .models import TARGET_COLUMNS, build_model
 
@@ -40,10 +43,10 @@ def ingest_sheet(df: DataFrame, raw_path: str, export_base: str, name: str,
     out = out.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counted, obs = observed(out)
-        W.write_raw(counted, raw_path)
+        W.write_raw(counted, raw_path, stringify=False)   # a sheet's cells are loaded as they are
         W.export_current(out, export_base, name)
         W.export_history(out, export_base, name, ts)
-        return int(obs.get["rows"])
+        return observed_rows(obs)
     finally:
         out.unpersist()
 
@@ -92,14 +95,14 @@ def append_history(raw: DataFrame, sql: DataFrame, path: str, user: str, load_ts
 
 def process_table(spark: SparkSession, cfg: TableConfig, user: str,
                   load_ts: dt.datetime | None = None, strict: bool = True,
-                  export_snapshots: bool = True) -> dict:
+                  export_snapshots: bool = False) -> dict:
     """History append, month replacement into PROCESSED, exports, log.
 
     The log count is the number of rows *read* from both sources (A2).
-    ``export_snapshots`` copies the whole PROCESSED and history tables to the
-    export area each run, as the source system did; on a very large table
-    turn it off and read table versions instead (a full copy per load grows
-    with the table, the rest of the load grows only with the sources).
+    ``export_snapshots`` also copies the whole PROCESSED and history tables to
+    the export area, as the source system did each run: off by default, as a
+    full copy per load grows with the table while the rest of the load grows
+    only with the sources.
     """
     load_ts = load_ts or load_timestamp()
     rejects: list = []
@@ -111,7 +114,7 @@ def process_table(spark: SparkSession, cfg: TableConfig, user: str,
     try:
         result = _process(spark, cfg, user, load_ts, raw, sql, union, export_snapshots)
         if rejects:
-            result["rejected_cells"] = sum(int(o.get["rejects"]) for o in rejects)
+            result["rejected_cells"] = sum(observed_rows(o, "rejects") for o in rejects)
         return result
     finally:
         raw.unpersist()
@@ -123,10 +126,10 @@ def _process(spark, cfg, user, load_ts, raw, sql, union, export_snapshots):
     raw_c, raw_obs = observed(raw, f"{cfg.name}_raw")
     sql_c, sql_obs = observed(sql, f"{cfg.name}_sql")
     append_history(raw_c, sql_c, cfg.history_path, user, load_ts)
-    rows = int(raw_obs.get["rows"]) + int(sql_obs.get["rows"])
+    rows = observed_rows(raw_obs) + observed_rows(sql_obs)
     W.log_load(spark, cfg.log_path, cfg.domain, cfg.name, f"{cfg.name}_RawToProcessedHistory", rows, user, load_ts)
     W.replace_months(cfg.processed_path, [(with_audit(raw, user, load_ts), month),
-                                          (with_audit(sql, user, load_ts), month)])
+                                          (with_audit(sql, user, load_ts), month)], load_ts)
     if export_snapshots:
         W.export_current(spark.read.parquet(cfg.processed_path), cfg.export_base, cfg.name)
         W.export_history(spark.read.parquet(cfg.history_path), cfg.export_base, cfg.name, load_ts)
@@ -138,35 +141,47 @@ def _process(spark, cfg, user, load_ts, raw, sql, union, export_snapshots):
 
 def run_document_etl(docs: DataFrame, layout: DocumentLayout, tables: Mapping[str, SchemaDocument],
                      raw_base: str, export_base: str, archive_name: str,
-                     ts: dt.datetime | None = None) -> dict[str, int]:
+                     ts: dt.datetime | None = None, batch_id: int | None = None,
+                     strict: bool = False) -> dict[str, int]:
     """Decode once (persisted), then per output table conform to its field
     list (P19), stringify (P10), drop full-row duplicates (A3) and load RAW
     (K1), export CSV (K9); archive the payloads (K10) and the decoded XML
-    (K11).  The returned count is the records decoded (before de-duplication).
+    (K11).  The returned counts are the records decoded (before
+    de-duplication) per table, and under ``__rejected`` the documents that did
+    not decode, which are kept as ``<raw_base>/<archive_name>_REJECTS``
+    (``strict`` raises at the first of them).
 
     ``tables`` maps an element name of the layout (header / body / sub-body)
-    to the schema document of its RAW table.
+    to the schema document of its RAW table.  Rows that carry their own row id
+    cannot repeat, so only tables without it are de-duplicated.  A micro-batch
+    passes its ``batch_id``: every output then has its own partition or folder
+    of that batch, which a retry replaces.
     """
+    ts = ts or load_timestamp()
     docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
     counts: dict[str, int] = {}
     decoded: dict[str, DataFrame] = {}
+    raw = raw_base.rstrip("/")
+    own = "" if batch_id is None else f"/{W.BATCH_PARTITION}={batch_id}"
     try:
-        decoded = decode_documents(docs, layout, persist_parsed=True)
+        decoded = decode_documents(docs, layout, persist_parsed=True, strict=strict)
         for element, spec in tables.items():
             if element not in decoded:
                 continue
             out = stringify_frame(conform_to_schema(decoded[element], spec))
             counted, obs = observed(out, f"{spec.name}_rows")
-            # RAW and the CSV export both hold the de-duplicated rows: one
-            # shuffle for the RAW write (AQE sizes its partitions), then the
-            # CSV is exported from the written table (lineage cut, no cache)
-            raw_path = f"{raw_base.rstrip('/')}/{spec.name}"
-            W.write_raw(dedup(counted), raw_path, stringify=False)
-            counts[spec.name] = int(obs.get["rows"])
-            W.export_csv(docs.sparkSession.read.parquet(raw_path), export_base, spec.name, ts, distinct=False)
-        W.archive_json(docs.select(F.col("payload").alias("interfaceValue")), export_base, archive_name, ts)
+            has_id = any(f.name.upper() == ROW_ID for f in spec.fields)
+            W.write_raw(counted if has_id else dedup(counted), f"{raw}/{spec.name}", stringify=False, batch_id=batch_id)
+            counts[spec.name] = observed_rows(obs)
+            # the CSV is exported from the written table (lineage cut, no cache)
+            W.export_csv(docs.sparkSession.read.parquet(f"{raw}/{spec.name}{own}"), export_base, spec.name, ts,
+                         distinct=False, batch_id=batch_id)
+        W.archive_json(docs.select(F.col("payload").alias("interfaceValue")), export_base, archive_name, ts, batch_id)
         xml = docs.select("doc_key", strip_prefixes(decode_base64_text("payload")).alias("xml"))
-        W.archive_xml(xml, export_base, layout.sub_element)
+        W.archive_xml(xml, export_base, layout.sub_element, load=W.load_key(ts) if batch_id is None else f"batch_{batch_id}")
+        bad, bad_rows = observed(rejected_documents(docs, layout), f"{archive_name}_rejects")
+        W.write_raw(bad, f"{raw}/{archive_name}_REJECTS", stringify=False, batch_id=batch_id)
+        counts["__rejected"] = observed_rows(bad_rows)
     finally:
         if "__parsed" in decoded:
             decoded["__parsed"].unpersist()
@@ -174,13 +189,35 @@ def run_document_etl(docs: DataFrame, layout: DocumentLayout, tables: Mapping[st
     return counts
 
 
+def stream_document_etl(spark: SparkSession, landing: str, checkpoint: str, layout: DocumentLayout,
+                        tables: Mapping[str, SchemaDocument], raw_base: str, export_base: str, archive_name: str,
+                        glob: str = "*.xml", max_files_per_trigger: int | None = None, **options) -> int:
+    """K12 + C6: every XML file not yet consumed goes through the document ETL,
+    one micro-batch at a time; returns the number of files read.  RAW holds one
+    partition per batch, so batches add up, and a batch that is run again after
+    a crash replaces what it wrote."""
+    from ..streaming.landing import stream_documents
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        run_document_etl(batch, layout, tables, raw_base, export_base, archive_name, batch_id=batch_id)
+
+    return stream_documents(spark, landing, checkpoint, handle, glob, max_files_per_trigger=max_files_per_trigger, **options)
+
+
 # --- C7: publish the common data model ------------------------------------------
 
 def publish_models(sources: Mapping[tuple[str, str], DataFrame], target: str, path: str,
                    org_codes: Mapping[str, str]) -> None:
-    """C7, idempotent: the mapped rows replace the partitions of their
-    (Domain, origin, survey month) -- a re-run replaces instead of appending
-    the same rows a second time."""
+    """C7, idempotent and incremental: the mapped rows replace the partitions of
+    their (Domain, origin, survey month); other months stay, so a publish may
+    carry the whole model or only the months that changed.
+
+    Rows without a month belong to no month that could be replaced.  They are
+    merged with those published before: a row (all columns) is then held as
+    often as it was, or as often as the publish brings it, whichever is more --
+    so a re-run adds nothing and an incremental publish loses nothing.
+    """
+    spark = next(iter(sources.values())).sparkSession
     out = build_model(sources, target, org_codes, origin_column="origin")
     if "SurveyDate" in TARGET_COLUMNS[target]:
         month = F.col("SurveyDate")
@@ -188,15 +225,29 @@ def publish_models(sources: Mapping[tuple[str, str], DataFrame], target: str, pa
         p = F.col("Period")
         month = F.coalesce(F.try_to_date(F.substring(p, 1, 10), "yyyy-MM-dd"), F.try_to_date(p, "yyyyMM"))
     out = out.withColumn("survey_month", F.trunc(month, "MM"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("Domain", "origin", "survey_month").parquet(path))
+    keys = ["Domain", "origin", "survey_month"]
+    undated = out.where(F.col("survey_month").isNull())
+    try:
+        held = spark.read.schema(out.schema).parquet(path).where(F.col("survey_month").isNull())
+        names = [f"`{c}`" for c in out.columns]
+        count = lambda df: df.groupBy(*names).agg(F.count("*").alias("__n"))
+        merged = (count(undated).unionByName(count(held)).groupBy(*names).agg(F.max("__n").alias("__n"))
+                  .withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n", "__i"))
+        # written aside first: the partitions it comes from are about to be replaced
+        aside = scratch_path(spark, "publish-undated")
+        merged.write.mode("overwrite").parquet(aside)
+        undated = spark.read.schema(out.schema).parquet(aside)
+    except AnalysisException as e:
+        if not is_missing_path(e):
+            raise
+    W.replace_partitions(out.where(F.col("survey_month").isNotNull()).unionByName(undated), path, *keys)
 
 
 # --- C5 over a domain: the config-driven loop -------------------------------------
 
 def process_domain(spark: SparkSession, config: DataFrame, domain: str, base: str, schema_dir: str,
                    user: str, load_ts: dt.datetime | None = None, strict: bool = True,
-                   export_snapshots: bool = True) -> list[dict]:
+                   export_snapshots: bool = False) -> list[dict]:
     """Every config row of ``domain`` (ordered by TABLA) loaded RAW ->
     PROCESSED.  ``TABLA`` is ``"<dest>;<raw>;<sql>"``; RAW tables live under
     ``<base>/<DATASET_STAGE>/``, PROCESSED under ``<base>/<DATASET_DESTINO>/``;
@@ -238,26 +289,15 @@ def run_api_documents(spark: SparkSession, landing: str, layout: DocumentLayout,
                       state_path: str, source: str, defaults: Mapping[str, str] | None = None,
                       today: dt.date | None = None, multi_line: bool = True) -> dict[str, int]:
     """C8 + C6 + C9 + K13 ("api" load): the request window comes from the
-    saved cursor (or ``defaults``); the API responses landed under
-    ``landing`` inside that window are selected at file listing
-    (``modifiedAfter`` / ``modifiedBefore``, nothing outside is opened),
-    decoded and loaded RAW; on success the cursor advances to today and is
-    saved (one key, so it really advances)."""
-    from ..sources.documents import ENVELOPE_SCHEMA
+    saved cursor (or ``defaults``); the API responses landed under ``landing``
+    with ``start <= modification time < end`` are decoded and loaded RAW; on
+    success the cursor moves to the window's end and is saved, so the next
+    window starts there: no file is between two windows or in both."""
+    from ..sources.documents import read_envelope
     from .incremental import advance_watermark, load_watermark, request_window, save_watermark
-    try:
-        state = load_watermark(spark, state_path, source)
-    except Exception:  # noqa: BLE001 - first run: no state table yet
-        state = {}
-    cfg = {**(defaults or {}), **state}
+    cfg = {**(defaults or {}), **load_watermark(spark, state_path, source)}
     w = request_window(cfg, today)
-    env = (spark.read.schema(ENVELOPE_SCHEMA).option("multiLine", multi_line)
-           .option("modifiedAfter", w.start.isoformat(timespec="seconds"))
-           .option("modifiedBefore", w.end.isoformat(timespec="seconds"))
-           .option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).json(landing))
-    docs = (env.select(F.col("_metadata.file_path").alias("file"), F.posexplode("data").alias("pos", "d"))
-            .select(F.concat_ws("#", "file", F.col("pos").cast("string")).alias("doc_key"),
-                    F.col("d.interfaceValue").alias("payload")))
+    docs = read_envelope(spark, landing, multi_line=multi_line, modified_from=w.start, modified_until=w.end)
     counts = run_document_etl(docs, layout, tables, raw_base, export_base, source)
-    save_watermark(spark, state_path, source, advance_watermark(cfg, today))
+    save_watermark(spark, state_path, source, advance_watermark(cfg, w, today))
     return counts

@@ -2,8 +2,8 @@
 
 The source system asked an HTTP API for a date window.  Here the same window
 is a predicate on a table or stream (it reaches the parquet scan as a pushed
-filter), and the watermark is a row in a small state table that is upserted
-after a successful load (one key, so the cursor really advances).
+filter), and the cursor is kept in a small state table after a successful load:
+the next window starts where the last one ended.
 """
 
 from __future__ import annotations
@@ -11,10 +11,12 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.cleanse import ntz_lit
+from ..functions.cleanse import load_timestamp, ntz_lit
+from ..session import is_missing_path
 
 # --- fixed values -----------------------------------------------------------
 START_KEY = "fecinicio_query"
@@ -25,6 +27,7 @@ INTERFACE_KEY = "interfaz_query"
 DATE_FMT = "%Y%m%d"
 DEFAULT_LOOKBACK_DAYS = 30
 RESTART_LOOKBACK_DAYS = 1
+CURSOR_KEY = "cursor"   # end of the last loaded window, ISO time
 # ----------------------------------------------------------------------------
 
 
@@ -42,8 +45,14 @@ def _at(day: dt.date, hour: str | None) -> dt.datetime:
 
 def request_window(cfg: dict, today: dt.date | None = None) -> Window:
     """Configured [start, end); a start equal to today moves back one
-    day; with no configured window, the last 30 days up to today."""
-    today = today or dt.date.today()
+    day; with no configured window, the last 30 days up to today.  Once a load
+    has saved its cursor the window runs from there up to today."""
+    today = today or load_timestamp().date()
+    if cfg.get(CURSOR_KEY):
+        start, end = dt.datetime.fromisoformat(cfg[CURSOR_KEY]), _at(today, None)
+        if start >= end:
+            start = end - dt.timedelta(days=RESTART_LOOKBACK_DAYS)
+        return Window(start, end, cfg.get(INTERFACE_KEY))
     if cfg.get(START_KEY) and cfg.get(END_KEY) and cfg.get(INTERFACE_KEY):
         start = dt.datetime.strptime(cfg[START_KEY], DATE_FMT).date()
         if start == today:
@@ -61,12 +70,12 @@ def incremental_window(df: DataFrame, ts_column: str, window: Window) -> DataFra
     return df.where((c >= lo) & (c < hi))
 
 
-def advance_watermark(cfg: dict, today: dt.date | None = None) -> dict:
-    """After a successful load the next window starts today."""
-    today = today or dt.date.today()
+def advance_watermark(cfg: dict, window: Window, today: dt.date | None = None) -> dict:
+    """After a successful load the next window starts where this one ended."""
     out = dict(cfg)
-    out[START_KEY] = today.strftime(DATE_FMT)
-    out["actual_load_date"] = today.strftime(DATE_FMT)
+    out[CURSOR_KEY] = window.end.isoformat()
+    out[START_KEY] = window.end.strftime(DATE_FMT)
+    out["actual_load_date"] = (today or load_timestamp().date()).strftime(DATE_FMT)
     return out
 
 
@@ -74,24 +83,31 @@ WATERMARK_SCHEMA = "source STRING, key STRING, value STRING, updated_at TIMESTAM
 
 
 def save_watermark(spark: SparkSession, path: str, source: str, cfg: dict) -> DataFrame:
-    """Upsert the (source, key) -> value rows of ``cfg`` into the state
-    table at ``path`` (parquet), replacing the source's previous values."""
-    from ..operators.merge import upsert_by_key
+    """Add the (source, key) -> value rows of ``cfg`` to the state table at
+    ``path``; the latest row of a key counts.  One file is added per save and
+    nothing is ever rewritten, so a save that fails leaves the state as it was.
+    Returns the state."""
     now = dt.datetime.now(dt.timezone.utc)
     new = spark.createDataFrame([(source, k, None if v is None else str(v), now) for k, v in cfg.items()],
                                 WATERMARK_SCHEMA)
-    try:
-        old = spark.read.schema(WATERMARK_SCHEMA).parquet(path)
-        # the state table holds one row per (source, config key): a bounded
-        # read, materialised before the same path is overwritten
-        rows = upsert_by_key(old, new, ["source", "key"]).collect()
-        out = spark.createDataFrame(rows, WATERMARK_SCHEMA)
-    except Exception:  # noqa: BLE001 - first run: no state yet
-        out = new
-    out.coalesce(1).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    new.coalesce(1).write.mode("append").parquet(path)
+    return read_state(spark, path)
+
+
+def read_state(spark: SparkSession, path: str) -> DataFrame:
+    """(source, key, value, updated_at): the latest row of each key.  A table
+    that is there but cannot be read is an error."""
+    latest = F.max_by(F.struct("value", "updated_at"), "updated_at").alias("s")
+    return (spark.read.schema(WATERMARK_SCHEMA).parquet(path).groupBy("source", "key").agg(latest)
+            .select("source", "key", "s.value", "s.updated_at"))
 
 
 def load_watermark(spark: SparkSession, path: str, source: str) -> dict:
-    rows = spark.read.parquet(path).where(F.col("source") == source).select("key", "value").collect()
+    """The saved keys of ``source``; none if there is no state table yet."""
+    try:
+        rows = read_state(spark, path).where(F.col("source") == source).select("key", "value").collect()
+    except AnalysisException as e:
+        if not is_missing_path(e):
+            raise
+        return {}
     return {r["key"]: r["value"] for r in rows}

@@ -221,7 +221,7 @@ def q_replace_months_table(spark, sf_dir):
     """K6/C4 through the storage writer: the PROCESSED table is written
     month-partitioned, then the two sources replace their months with a
     dynamic partition overwrite (untouched months are not rewritten) and the
-    NULL-month rows are appended; the table is read back."""
+    NULL-month rows are kept in partitions of their load; the table is read back."""
     from ..session import scratch_path
     from ..sinks.writers import replace_months
     src = _survey_orders(spark, sf_dir)
@@ -232,5 +232,5 @@ def q_replace_months_table(spark, sf_dir):
     path = scratch_path(spark, "processed")
     replace_months(path, [(d, "survey_month")])
     replace_months(path, [(r, "survey_month"), (s, "survey_month")])
-    out = spark.read.parquet(path)
+    out = spark.read.parquet(path).drop("load_key")
     return out.withColumn("month_key", F.col("month_key").cast("date"))

@@ -12,10 +12,13 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .session import is_missing_path
+
 # --- fixed values (must equal the source system's conventions) -------------
 # Master type names and the Spark type each one lands as.
 MASTER_TYPES: dict[str, T.DataType] = {
@@ -126,7 +129,9 @@ def load_schema(spark: SparkSession, path: str, fallback: str | None = None) ->
             continue
         try:
             raw = spark.read.option("multiLine", True).json(p)
-        except Exception:  # noqa: BLE001 - missing path -> try the fallback
+        except AnalysisException as e:  # a missing path -> try the fallback; all else is an error
+            if not is_missing_path(e):
+                raise
             continue
         if "fields" not in raw.columns:
             continue

@@ -76,3 +76,9 @@ def scratch_path(spark: SparkSession, name: str, keep: bool = False) -> str:
         except Exception:  # noqa: BLE001 - no JVM view (e.g. Spark Connect): keep the folder
             pass
     return path
+
+
+def is_missing_path(error: Exception) -> bool:
+    """True for "there is no such path", and for nothing else."""
+    from pyspark.errors import AnalysisException
+    return isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND"

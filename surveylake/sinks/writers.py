@@ -20,13 +20,35 @@ from ..operators.merge import month_key, month_replace
 from ..sources.config import LOG_COLUMNS
 
 MONTH_PARTITION = "month_key"
+LOAD_PARTITION = "load_key"
+BATCH_PARTITION = "batch_id"
+EVERY_LOAD = "all"   # load key of rows that any later load of their month replaces
 
 
-def write_raw(df: DataFrame, path: str, stringify: bool = True) -> None:
-    """K1: truncate-and-load a RAW table, every column text ('None' -> NULL)."""
+def load_key(load_ts: dt.datetime | None = None) -> str:
+    """The partition value of one load: its time, to the microsecond."""
+    return (load_ts or dt.datetime.now(dt.timezone.utc)).strftime("%Y%m%d_%H%M%S_%f")
+
+
+def replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
+    """Overwrite the partitions that ``df`` holds and no other.  Rows are
+    gathered by partition first (AQE splits one that is large), else every task
+    would write a file into every partition."""
+    (df.hint("rebalance", *columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*columns).parquet(path))
+
+
+def write_raw(df: DataFrame, path: str, stringify: bool = True, batch_id: int | None = None) -> None:
+    """K1: truncate-and-load a RAW table, every column text ('None' -> NULL).
+
+    With a ``batch_id`` only that batch's partition is replaced, so the batches
+    of one streaming load add up and a retried one counts once."""
     out = stringify_frame(df) if stringify else df.select(
         *[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    out.write.mode("overwrite").parquet(path)
+    if batch_id is None:
+        out.write.mode("overwrite").parquet(path)
+    else:
+        out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_PARTITION}={batch_id}")
 
 
 def export_current(df: DataFrame, base: str, name: str) -> str:
@@ -62,12 +84,12 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
 
 def append_audited(df: DataFrame, path: str, user: str, load_ts: dt.datetime,
                    partition_by: Sequence[str] = ()) -> None:
-    """``INSERT ... SELECT cols, user, load time`` (append; by name)."""
-    out = with_audit(df, user, load_ts)
-    w = out.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    """``INSERT ... SELECT cols, user, load time`` (by name).  Each
+    load has its own ``load_key`` partition: earlier loads stay, a retried load
+    replaces itself."""
+    out = with_audit(df, user, load_ts).withColumn(LOAD_PARTITION, F.lit(load_key(load_ts)))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(LOAD_PARTITION, *partition_by).parquet(path))
 
 
 def with_month_partition(df: DataFrame, month_column: str) -> DataFrame:
@@ -75,24 +97,23 @@ def with_month_partition(df: DataFrame, month_column: str) -> DataFrame:
 
 
 def replace_months(dest_path: str, sources: Sequence[tuple[DataFrame, str]],
-                   partition_by_month: bool = True) -> None:
+                   load_ts: dt.datetime | None = None) -> None:
     """K6 + C4 at scale: replace whole calendar months of a month-partitioned
     PROCESSED dataset by the sources (the last source wins a shared month).
 
     Only the incoming rows are written: ``raw |> months(sql) U sql`` is
-    computed in one plan and written with dynamic partition overwrite, which
-    replaces exactly the months present in the sources and leaves every
-    other month untouched -- the table is never rewritten as a whole.  Rows
-    with a NULL month are never deleted, so they are appended separately
-    (dynamic overwrite would otherwise replace the NULL-month partition).
+    computed in one plan and written, in one job, with dynamic partition
+    overwrite over (month, load): the months in the sources are replaced, every
+    other month is left untouched -- the table is never rewritten as a whole.
+    Rows with a NULL month are never deleted by another load: they lie in a
+    partition of their own load, which only a retry of that load (the same
+    ``load_ts``) replaces.
     """
     incoming = month_replace(None, list(sources))
-    col = sources[-1][1]
-    inc = with_month_partition(incoming, col)
-    (inc.where(F.col(MONTH_PARTITION).isNotNull()).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH_PARTITION).parquet(dest_path))
-    (inc.where(F.col(MONTH_PARTITION).isNull()).write.mode("append")
-     .partitionBy(MONTH_PARTITION).parquet(dest_path))
+    inc = with_month_partition(incoming, sources[-1][1])
+    inc = inc.withColumn(LOAD_PARTITION, F.when(F.col(MONTH_PARTITION).isNull(), F.lit(load_key(load_ts)))
+                         .otherwise(F.lit(EVERY_LOAD)))
+    replace_partitions(inc, dest_path, MONTH_PARTITION, LOAD_PARTITION)
 
 
 def log_load(spark: SparkSession, path: str, domain: str, table: str, process_type: str,
@@ -105,28 +126,36 @@ def log_load(spark: SparkSession, path: str, domain: str, table: str, process_ty
     df.coalesce(1).write.mode("append").parquet(path)
 
 
+def _stamped(name: str, ts: dt.datetime | None, batch_id: int | None) -> str:
+    return f"{name}-{snapshot_stamp(ts)}" + ("" if batch_id is None else f"-{batch_id}")
+
+
 def export_csv(df: DataFrame, base: str, name: str, ts: dt.datetime | None = None,
-               distinct: bool = True) -> str:
+               distinct: bool = True, batch_id: int | None = None) -> str:
     """K9: de-duplicated CSV export with a stamped folder name
     (``distinct=False`` when the caller already de-duplicated)."""
-    path = f"{base.rstrip('/')}/CSV/{name}/{name}-{snapshot_stamp(ts)}"
+    path = f"{base.rstrip('/')}/CSV/{name}/{_stamped(name, ts, batch_id)}"
     (df.dropDuplicates() if distinct else df).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
-def archive_json(df: DataFrame, base: str, name: str, ts: dt.datetime | None = None) -> str:
+def archive_json(df: DataFrame, base: str, name: str, ts: dt.datetime | None = None,
+                 batch_id: int | None = None) -> str:
     """Archive the original payload rows as JSON lines."""
-    path = f"{base.rstrip('/')}/JSON/{name}/{name}-{snapshot_stamp(ts)}"
+    path = f"{base.rstrip('/')}/JSON/{name}/{_stamped(name, ts, batch_id)}"
     df.write.mode("overwrite").json(path)
     return path
 
 
 def archive_xml(docs: DataFrame, base: str, table_name: str, key: str = "doc_key",
-                text: str = "xml") -> str:
+                text: str = "xml", load: str | None = None) -> str:
     """Decoded XML kept as a table ``(id, table_name, data)`` partitioned
-    by table name -- one row per document, not one tiny file per document."""
+    by table name and load -- one row per document, not one tiny file per
+    document; a retried load (the same ``load``) replaces itself."""
     path = f"{base.rstrip('/')}/XML"
     out = docs.select(F.sha2(F.col(key).cast("string"), 256).alias("id"),
-                      F.lit(table_name).alias("table_name"), F.col(text).alias("data"))
-    out.write.mode("append").partitionBy("table_name").parquet(path)
+                      F.lit(table_name).alias("table_name"), F.col(text).alias("data"),
+                      F.lit(load or load_key()).alias(LOAD_PARTITION))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("table_name", LOAD_PARTITION).parquet(path))
     return path

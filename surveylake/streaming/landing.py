@@ -15,10 +15,12 @@ Stateless: no watermark or state store is needed.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 
 def landing_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -44,15 +46,45 @@ def consume_landing(spark: SparkSession, path: str, schema: T.StructType, target
     stream = landing_stream(spark, path, schema, fmt, glob, clean_source, archive_dir, max_files_per_trigger)
     if transform is not None:
         stream = transform(stream)
-    q = (stream.writeStream.format("parquet").option("path", target)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    total = 0
-    for p in q.recentProgress:
-        n = p.get("numInputRows", 0) if isinstance(p, dict) else getattr(p, "numInputRows", 0)
-        total += int(n or 0)
-    return total
+    count = _RowCount()
+    spark.streams.addListener(count)
+    try:
+        q = (stream.writeStream.format("parquet").option("path", target)
+             .option("checkpointLocation", checkpoint).outputMode("append")
+             .trigger(availableNow=True).start())
+        count.query = q
+        q.awaitTermination()
+        return count.total()
+    finally:
+        spark.streams.removeListener(count)
+
+
+class _RowCount(StreamingQueryListener):
+    """Rows read by every batch of one query.  (``recentProgress`` keeps only
+    the last batches, so it cannot be summed.)"""
+
+    def __init__(self):
+        self.rows, self.query, self.ended = {}, None, threading.Event()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.rows[str(event.progress.runId), event.progress.batchId] = event.progress.numInputRows
+
+    def onQueryTerminated(self, event):
+        if self.query is None or str(event.runId) == str(self.query.runId):
+            self.ended.set()
+
+    def total(self, timeout: float = 60) -> int:
+        """Waits until the events of the ended query have come in."""
+        if not self.ended.wait(timeout):
+            raise RuntimeError("the streaming query's last progress was not delivered")
+        run = str(self.query.runId)
+        return sum(n for (r, _), n in self.rows.items() if r == run)
 
 
 def stream_documents(spark: SparkSession, landing: str, checkpoint: str,
@@ -77,11 +109,13 @@ def stream_documents(spark: SparkSession, landing: str, checkpoint: str,
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     docs = reader.load(landing).select(F.col("_metadata.file_path").alias("doc_key"),
                                        encode_base64_text("value").alias("payload"))
-    q = (docs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    counts: dict[int, int] = {}
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        handle(batch, batch_id)
+        counts[batch_id] = batch.select("doc_key").count()
+
+    q = (docs.writeStream.foreachBatch(counted).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    total = 0
-    for p in q.recentProgress:
-        n = p.get("numInputRows", 0) if isinstance(p, dict) else getattr(p, "numInputRows", 0)
-        total += int(n or 0)
-    return total
+    return sum(counts.values())

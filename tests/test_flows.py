@@ -1,5 +1,7 @@
 import base64
 import datetime as dt
+
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,13 +42,15 @@ def test_ingest_sheet_and_process_table(spark, tmp):
     # February: the SQL export replaces the sheet; the blank-month row is kept.
     assert sorted(r.identificador_unico for r in prc.collect()) == ["a", "c", "d"]
     assert set(prc.columns) >= {"USUARIO", "FECHA_CARGA", "PERIODO_CARGA", "month_key"}
-    # a second run replaces its months again; a blank-month row is never
-    # deleted, so (as with DELETE ... WHERE EXISTS + INSERT) it is appended again
+    # a retry of the load changes nothing; a later load replaces the months again,
+    # and a blank-month row, which is never deleted, comes in once more
     flows.process_table(spark, cfg, "tester", ts)
+    assert sorted(r.identificador_unico for r in spark.read.parquet(f"{tmp}/prc/BD_T").collect()) == ["a", "c", "d"]
+    flows.process_table(spark, cfg, "tester", ts + dt.timedelta(hours=1))
     prc2 = spark.read.parquet(f"{tmp}/prc/BD_T")
     assert sorted(r.identificador_unico for r in prc2.collect()) == ["a", "c", "c", "d"]
     assert spark.read.parquet(f"{tmp}/prc/BD_T_HISTORY").count() == 8
-    assert spark.read.parquet(f"{tmp}/log").count() == 4
+    assert spark.read.parquet(f"{tmp}/log").count() == 6
 
 
 def test_document_etl(spark, tmp):
@@ -58,7 +62,7 @@ def test_document_etl(spark, tmp):
     tables = {"H": SchemaDocument("T_HEAD", [Field("ID", primary_key=True, default="X0"), Field("UUID")]),
               "B": SchemaDocument("T_BODY", [Field("ID"), Field("V"), Field("UUID_HEAD")])}
     counts = flows.run_document_etl(docs, layout, tables, f"{tmp}/raw", f"{tmp}/exp", "API", dt.datetime(2024, 1, 1))
-    assert counts == {"T_HEAD": 1, "T_BODY": 2}
+    assert counts == {"T_HEAD": 1, "T_BODY": 2, "__rejected": 0}
     # the two identical bodies differ in nothing the RAW table keeps -> one row
     assert spark.read.parquet(f"{tmp}/raw/T_BODY").count() == 1
     assert spark.read.parquet(f"{tmp}/exp/XML").count() == 1
@@ -73,6 +77,22 @@ def test_publish_models_idempotent(spark, tmp):
     assert spark.read.parquet(f"{tmp}/model").count() == o.count()
 
 
+def test_incremental_publish_keeps_undated_rows(spark, tmp):
+    from surveylake.plans.q_models import ORG_CODES, model_sources
+    every = model_sources(spark, SF, "ReasonDissatisfaction")
+    key = next(iter(every))
+    undated = every[key].select(*(F.lit(None).cast(t).alias(c) if t == "date" or c.upper().startswith("PERIOD") else c
+                                  for c, t in every[key].dtypes)).cache()
+    n = undated.count()
+    cut = undated.where(F.xxhash64(*undated.columns) % 2 == 0)
+    half = [cut, undated.where(F.xxhash64(*undated.columns) % 2 != 0)]
+    for part in (half[0], half[1], half[1], every[key]):
+        flows.publish_models({key: part}, "ReasonDissatisfaction", f"{tmp}/model", ORG_CODES)
+    out = spark.read.parquet(f"{tmp}/model")
+    assert out.where("survey_month IS NULL").count() == n > 0
+    assert out.where("survey_month IS NOT NULL").count() == every[key].count()
+
+
 def test_mapping_shapes():
     counts = {(d, o): len(M.survey_mapping(d, o)) for d in M.DOMAINS for o in M.ORIGINS}
     assert counts[("PRIME", "sheet")] == 59 and counts[("SERVICE", "sql")] == 79
@@ -88,13 +108,32 @@ def test_incremental_window_rules():
     assert w.start == dt.datetime(2024, 5, 9) and w.end == dt.datetime(2024, 5, 11)
     w = request_window({}, today)
     assert w.start == dt.datetime(2024, 4, 10) and w.end == dt.datetime(2024, 5, 10)
-    assert advance_watermark({"fecinicio_query": "x"}, today)["fecinicio_query"] == "20240510"
+    saved = advance_watermark({"fecinicio_query": "x", "fecfin_query": "20240511", "interfaz_query": "I"}, w, today)
+    assert saved["fecinicio_query"] == "20240510"
+    # the next window starts where this one ended, whatever end is configured
+    for day in (12, 13):
+        nxt = request_window(saved, dt.date(2024, 5, day))
+        assert nxt.start == w.end and nxt.end == dt.datetime(2024, 5, day)
+        saved, w = advance_watermark(saved, nxt), nxt
+    assert request_window(saved, dt.date(2024, 5, 13)).start == dt.datetime(2024, 5, 12)
 
 
 def test_watermark_state(spark, tmp):
     save_watermark(spark, f"{tmp}/wm", "api", {"fecinicio_query": "20240101"})
     save_watermark(spark, f"{tmp}/wm", "api", {"fecinicio_query": "20240102"})
     assert load_watermark(spark, f"{tmp}/wm", "api") == {"fecinicio_query": "20240102"}
+    assert load_watermark(spark, f"{tmp}/wm", "other") == {} and load_watermark(spark, f"{tmp}/none", "api") == {}
+
+
+def test_unreadable_state_is_an_error_and_stays(spark, tmp):
+    import os
+    save_watermark(spark, f"{tmp}/wm", "api", {"fecinicio_query": "20240101"})
+    with open(f"{tmp}/wm/bad.parquet", "wb") as f:
+        f.write(b"not parquet at all")
+    with pytest.raises(Exception):
+        load_watermark(spark, f"{tmp}/wm", "api")
+    os.rename(f"{tmp}/wm/bad.parquet", f"{tmp}/wm/_bad")
+    assert load_watermark(spark, f"{tmp}/wm", "api") == {"fecinicio_query": "20240101"}
 
 
 def test_incremental_window_pushdown(spark):
@@ -114,6 +153,14 @@ def test_consume_landing_once(spark, tmp):
     assert spark.read.parquet(f"{tmp}/sink").count() == 2
 
 
+def test_consume_landing_counts_every_batch(spark, tmp):
+    """More batches than the query keeps progress of."""
+    land = f"{tmp}/landing"
+    spark.range(120).repartition(120).write.parquet(land)
+    n = consume_landing(spark, land, spark.range(1).schema, f"{tmp}/sink", f"{tmp}/ckpt", max_files_per_trigger=1)
+    assert n == spark.read.parquet(f"{tmp}/sink").count() == 120
+
+
 def test_process_domain_config_loop(spark, tmp):
     for doc in (RAW_DOC, SQL_DOC):
         with open(f"{tmp}/{doc.name}.input.schema", "w") as f:
@@ -153,6 +200,13 @@ def test_stream_documents_runs_etl_once(spark, tmp):
     n2 = stream_documents(spark, f"{tmp}/landing", f"{tmp}/ckpt", handle)
     assert (n1, n2) == (3, 0)
     assert sorted(r.V for r in spark.read.parquet(f"{tmp}/raw/T_BODY").collect()) == ["a0", "a1", "a2"]
+    # one batch per file: batches add up, exports too, and the count is whole
+    run = lambda: flows.stream_document_etl(spark, f"{tmp}/landing", f"{tmp}/ckpt2", layout, tables, f"{tmp}/raw2",
+                                            f"{tmp}/exp2", "MANUAL", max_files_per_trigger=1)
+    assert (run(), run()) == (3, 0)
+    assert sorted(r.V for r in spark.read.parquet(f"{tmp}/raw2/T_BODY").collect()) == ["a0", "a1", "a2"]
+    assert spark.read.option("recursiveFileLookup", True).option("header", True).csv(f"{tmp}/exp2/CSV").count() == 3
+    assert spark.read.parquet(f"{tmp}/exp2/XML").count() == 3
 
 
 def test_ingest_workbooks(spark, tmp):
@@ -187,9 +241,18 @@ def test_api_documents_window_and_cursor(spark, tmp):
     defaults = {"fecinicio_query": "20240115", "fecfin_query": "20240125", "interfaz_query": "I"}
     counts = flows.run_api_documents(spark, f"{tmp}/landing", layout, tables, f"{tmp}/raw", f"{tmp}/exp",
                                      f"{tmp}/state", "API", defaults, today=dt.date(2024, 1, 26))
-    assert counts == {"T_HEAD": 1}                                        # only the response in the window
+    assert counts == {"T_HEAD": 1, "__rejected": 0}                       # only the response in the window
     assert [r.ID for r in spark.read.parquet(f"{tmp}/raw/T_HEAD").collect()] == ["3"]
-    assert load_watermark(spark, f"{tmp}/state", "API")["fecinicio_query"] == "20240126"
+    assert load_watermark(spark, f"{tmp}/state", "API")["fecinicio_query"] == "20240125"
+    # a file at the edge is in the window that starts there, and in no other
+    edge = _time.mktime(dt.datetime(2024, 1, 25).timetuple())
+    os.utime(f"{tmp}/landing/old.json", (edge, edge))
+    ids = []
+    for day in (26, 27):
+        flows.run_api_documents(spark, f"{tmp}/landing", layout, tables, f"{tmp}/raw", f"{tmp}/exp", f"{tmp}/state", "API",
+                                defaults, today=dt.date(2024, 1, day))
+        ids.append(sorted(r.ID for r in spark.read.parquet(f"{tmp}/raw/T_HEAD").collect()))
+    assert ids == [["1", "2"], []]
 
 
 def test_lenient_load_counts_rejects(spark, tmp):

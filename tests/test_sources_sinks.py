@@ -67,6 +67,24 @@ def test_xml_folder_and_envelope(spark, tmp):
     assert len(env) == 2 and len({r.doc_key for r in env}) == 2
 
 
+def test_envelope_keys_do_not_depend_on_splits(spark, tmp):
+    """JSON lines, equal responses among them: one key per document, the same
+    however the file is split."""
+    with open(os.path.join(tmp, "r.json"), "w") as f:
+        for i in range(600):
+            data = [{"interfaceValue": f"doc{i % 200}-{j}" + "x" * 50} for j in range(3)]
+            f.write(json.dumps({"data": data}) + "\n")
+    keys = []
+    for size in ("1m", "8k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = read_envelope(spark, tmp, multi_line=False).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        keys.append(sorted((r.doc_key, r.payload) for r in rows))
+    assert keys[0] == keys[1] and len({k for k, _ in keys[0]}) == 1800
+
+
 def test_replace_months_partition_overwrite(spark, tmp):
     dest = os.path.join(tmp, "processed")
     mk = lambda rows: spark.createDataFrame(rows, "id int, m date, src string")
@@ -78,6 +96,26 @@ def test_replace_months_partition_overwrite(spark, tmp):
     assert got == [(1, "a"), (3, "a"), (4, "raw"), (6, "sql"), (7, "sql")]
 
 
+def test_replace_months_retry_and_files(spark, tmp):
+    """A retried load adds nothing; a month is not one file per task."""
+    dest = os.path.join(tmp, "processed")
+    df = spark.range(4000).selectExpr("id", "if(id % 40 = 0, null, add_months(date'2024-01-01', int(id % 12))) AS m")
+    for ts in (dt.datetime(2024, 5, 1), dt.datetime(2024, 5, 2), dt.datetime(2024, 5, 2)):
+        W.replace_months(dest, [(df.repartition(16), "m")], ts)
+    out = spark.read.parquet(dest)
+    assert out.where("m IS NOT NULL").count() == 3900 and out.where("m IS NULL").count() == 200
+    assert len(out.inputFiles()) <= 2 * 14
+
+
+def test_history_retry_counts_once(spark, tmp):
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    for ts in (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2)):
+        W.append_audited(df, f"{tmp}/h", "u", ts)
+    assert spark.read.parquet(f"{tmp}/h").count() == 2
+
+
+
+
 def test_exports_archives_log(spark, tmp):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "None")], "k int, v string")
     W.write_raw(df, os.path.join(tmp, "raw"))
