@@ -80,6 +80,11 @@ def period(c: str | Column) -> Column:
     return F.when(F.size(parts) >= 3, F.concat(F.get(parts, 0), F.get(parts, 1)))
 
 
+def malformed_period(c: str | Column) -> Column:
+    """True for a month cell that holds text but gives no period (P17's reject)."""
+    return _c(c).isNotNull() & (F.trim(_c(c).cast("string")) != "") & period(c).isNull()
+
+
 def add_period(df: DataFrame, month_column: str, name: str = "Period") -> DataFrame:
     return df.withColumn(name, period(F.col(f"`{month_column}`")))
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import apply_schema, project_to_fields, reject_count_column
-from ..functions.cleanse import (add_period, decode_base64_text, load_timestamp, stringify_frame,
+from ..functions.cleanse import (add_period, decode_base64_text, load_timestamp, malformed_period, stringify_frame,
                                  strip_prefixes, with_audit)
 from ..operators.audit import dedup, observed, observed_rows
 from ..operators.nested import (ROW_ID, DocumentLayout, conform_to_schema, decode_documents,
@@ -31,21 +31,27 @@ from .models import TARGET_COLUMNS, build_model
 # --- C1: sheet -> RAW --------------------------------------------------------
 
 def ingest_sheet(df: DataFrame, raw_path: str, export_base: str, name: str,
-                 ts: dt.datetime | None = None) -> int:
+                 ts: dt.datetime | None = None, rejects: list | None = None) -> int:
     """Add ``Period`` (yyyyMM of the survey month), load RAW as text,
     and export the current and a timestamped history snapshot.
 
     The frame is persisted once so the three writes read the source once;
-    returns the row count observed during the RAW write.
+    returns the row count observed during the RAW write.  The number of month
+    cells that hold text but give no period is appended to ``rejects``.
     """
     month = find_column(df.columns)
     out = add_period(df, month) if month in df.columns else df.withColumn("Period", F.lit(None).cast("string"))
     out = out.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counted, obs = observed(out)
+        if rejects is not None and month in df.columns:
+            bad = Observation(f"{name}_periods")
+            counted = counted.observe(bad, F.count_if(malformed_period(F.col(f"`{month}`"))).alias("rejects"))
         W.write_raw(counted, raw_path, stringify=False)   # a sheet's cells are loaded as they are
         W.export_current(out, export_base, name)
         W.export_history(out, export_base, name, ts)
+        if rejects is not None and month in df.columns:
+            rejects.append(observed_rows(bad, "rejects"))
         return observed_rows(obs)
     finally:
         out.unpersist()

@@ -222,6 +222,16 @@ def test_ingest_workbooks(spark, tmp):
     assert [r.Period for r in spark.read.parquet(f"{tmp}/raw/BD_P_SQL").collect()] == ["202403"]
 
 
+def test_malformed_months_are_counted(spark, tmp):
+    sheet = spark.createDataFrame([("a", "2024-01-05"), ("b", "enero"), ("c", ""), ("d", None), ("e", "2024-02")],
+                                  "id string, Mes_Encuesta string")
+    rejects = []
+    assert flows.ingest_sheet(sheet, f"{tmp}/raw", f"{tmp}/exp", "S", dt.datetime(2024, 4, 1), rejects) == 5
+    assert rejects == [2]
+    cells = {r.id: r.Mes_Encuesta for r in spark.read.parquet(f"{tmp}/raw").collect()}
+    assert cells["b"] == "enero" and cells["c"] == ""
+
+
 def test_api_documents_window_and_cursor(spark, tmp):
     import base64
     import json
