@@ -13,79 +13,133 @@ from __future__ import annotations
 
 import itertools
 import math
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import PLAIN, chunked, materialise, strings
 
 CAPACITY = 2048
 END_ID = 1
-_MEMO, _MEMO_CHARS, _JOINED = 400_000, 64, 100
+#: Token ids kept of chunks met before; chunks to a string; texts at a time.
+_MEMO_IDS, _JOINED, _SLICE = 1_500_000, 100, 192
 
 
 class Encoder:
-    """Token ids of whole texts as little-endian unsigned 32-bit bytes.
+    """Token ids of whole texts, as little-endian unsigned 32-bit integers.
 
     The tokenizer's pre-tokens and added tokens never hold or cross a space or
     newline, and neither normalisation looks across one, so a text's ids are
-    those of its space- or newline-separated chunks, joined.  Chunks seen
-    before are looked up; new ones are encoded many to a string and told apart
-    by their offsets.  ``tests/llm`` compares with encoding whole texts.
+    those of its space- or newline-separated chunks, joined.  A chunk of Latin-1
+    letters, with a full stop or comma or not, is the lower-case word and the
+    mark: normalising and splitting it is skipped.  Only distinct chunks are
+    looked at, only new ones encoded, many to a string and told apart by their
+    offsets.  ``tests/llm`` compares with encoding whole texts.
     """
 
     def __init__(self, tokenizer_path: str):
-        from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_file(tokenizer_path), {"": b""}
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer, pre_tokenizers
+        self.whole = Tokenizer.from_file(tokenizer_path)
+        self.word = Tokenizer(self.whole.model)
+        self.word.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix, vocabulary = self.whole.model.end_of_word_suffix, self.whole.get_vocab(with_added_tokens=False)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.closes[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        self._forget()
 
-    def _learn(self, new: list[str]) -> None:
+    def _forget(self) -> None:
+        # entry e has the ids [ends[e - 1], ends[e]) of self.ids
+        self.words: dict[str, int] = {}
+        self.others: dict[str, int] = {}
+        self.ids, self.ends = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+
+    def _entries(self, known: dict[str, int], tokenizer, chunks: list[str]) -> np.ndarray:
+        """The entry of each chunk; new ones are encoded, many to a string.  A
+        word ends at an id that closes a word, any other chunk where the next
+        one begins in the string."""
+        new = list({c for c in chunks if c not in known})
+        ids, ends, base = [self.ids], [self.ends], len(self.ids)
         groups = [new[i:i + _JOINED] for i in range(0, len(new), _JOINED)]
-        for group, coded in zip(groups, self.tokenizer.encode_batch(
-                [" ".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(coded.ids, "<u4").tobytes()
-            begins = np.fromiter(itertools.chain.from_iterable(coded.offsets), np.int64, 2 * len(coded))[::2]
-            sizes = np.fromiter(map(len, group), np.int64, len(group)) + 1
-            cuts = (4 * np.searchsorted(begins, np.cumsum(sizes) - sizes)).tolist() + [len(ids)]
-            self.known.update(zip(group, map(ids.__getitem__, map(slice, cuts, cuts[1:]))))
-
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 256):
-            chunked = [(t or "").replace("\n", " ").split(" ") for t in texts[at:at + 256]]
-            if len(self.known) > _MEMO:
-                self.known = {"": b""}
-            new = [c for c in set().union(*chunked) if c not in self.known]
-            self._learn(new)
-            for chunks in chunked:
-                yield b"".join(map(self.known.__getitem__, chunks))
-            for c in new:  # long chunks are not kept
-                if len(c) > _MEMO_CHARS:
-                    del self.known[c]
+        words = tokenizer is self.word
+        encode = tokenizer.encode_batch_fast if words else tokenizer.encode_batch
+        for group, coded in zip(groups, encode([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids.append(np.array(coded.ids, "<u4"))
+            if words:
+                cuts = np.flatnonzero(self.closes[ids[-1]]) + 1
+                if len(cuts) != len(group):
+                    raise ValueError("the tokenizer's words do not end in ids that close a word")
+            else:
+                begins = np.fromiter(itertools.chain.from_iterable(coded.offsets), np.int64, 2 * len(coded))[::2]
+                cuts = np.searchsorted(begins, np.cumsum(np.fromiter(map(len, group), np.int64, len(group)) + 1) - 1)
+            ends.append(base + cuts)
+            base += len(ids[-1])
+        known.update(zip(new, range(len(self.ends), len(self.ends) + len(new))))
+        self.ids, self.ends = np.concatenate(ids), np.concatenate(ends)
+        return np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+
+    def _gather(self, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        ends = np.cumsum(sizes)
+        return ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)]
+
+    def _slice(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        if len(self.ids) > _MEMO_IDS:
+            self._forget()
+        each, distinct, cuts = chunked(texts)
+        plain = pc.match_substring_regex(distinct, PLAIN)
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        entry = np.zeros(len(distinct), np.int64)
+        marked = distinct.filter(plain)
+        words = pc.utf8_rtrim(marked, ".,")
+        entry[is_plain] = self._entries(self.words, self.word, strings(pc.utf8_lower(words)))
+        entry[~is_plain] = self._entries(self.others, self.whole, strings(distinct.filter(pc.invert(plain))))
+        # the mark of a plain chunk follows its word
+        stop, comma = self._entries(self.others, self.whole, [".", ","])
+        last = np.full(len(distinct), -1)
+        last[is_plain] = np.where(pc.ends_with(marked, ".").to_numpy(zero_copy_only=False), stop, np.where(
+            pc.ends_with(marked, ",").to_numpy(zero_copy_only=False), comma, -1))
+        begins = np.concatenate([[0], self.ends])[:-1]
+        size, more = (self.ends - begins)[entry], np.where(last < 0, 0, (self.ends - begins)[last])
+        pair = lambda x, y: np.stack([x, y], axis=1).ravel()
+        ids = self._gather(self.ids, pair(begins[entry], begins[last]), pair(size, more))
+        sizes = size + more
+        starts = np.cumsum(sizes) - sizes
+        found = self._gather(ids, starts[each], sizes[each])
+        ends = np.concatenate([[0], np.cumsum(sizes[each])])[cuts]
+        yield from (found[a:b] for a, b in zip(ends, ends[1:]))
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        for at in range(0, len(texts), _SLICE):
+            yield from self._slice(texts.slice(at, _SLICE))
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
            capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): every document's ids and
     ``end_id``, cut into windows of ``capacity`` and one remainder."""
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(tokenizer_path)
         for batch in batches:
             rows, starts, lengths, crcs, totals = [], [], [], [], []
-            for i, ids in enumerate(encode(batch.column(1).to_pylist())):
-                ids += end
-                n = len(ids) // 4
+            for i, ids in enumerate(encode(batch.column(1))):
+                ids = np.append(ids, end)
+                n = len(ids)
                 for start in range(0, n, capacity):
-                    cut = ids[4 * start:4 * (start + capacity)]
+                    cut = ids[start:start + capacity]
                     rows.append(i)
                     starts.append(start)
-                    lengths.append(len(cut) // 4)
+                    lengths.append(len(cut))
                     crcs.append(zlib.crc32(cut))
                     totals.append(n)
             yield pa.RecordBatch.from_arrays(
