@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import map_batches, materialise
 
 SEGMENT_BYTES, CHUNK_BYTES = 16 << 10, 4 << 10
 RECORDS_A_FILE = 2000  # with the segment size, this bounds an archive at about 34 MB
@@ -95,7 +95,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("payload"))
     keyed = rows.withColumn("digest", sha1_base32(F.col("payload")))
-    first = keyed.groupBy("digest").agg(F.min("page_id").alias("first_id"))
+    # written, so that the join is of two plain exchanges and AQE may split a payload that many pages share
+    first = materialise(keyed.groupBy("digest").agg(F.min("page_id").alias("first_id")), "warc-first")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = [r.decode() for row in zip(*(c.to_pylist() for c in batch.columns)) for r in records_of(*row, segment_bytes)]
