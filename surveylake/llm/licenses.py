@@ -156,7 +156,8 @@ def scan(files: DataFrame, id_col: str = "id", path_col: str = "path", text_col:
     nearest = (folders.withColumn("parts", parts).select("folder", F.posexplode(above).alias("depth", "licence_folder"))
                .join(given, "licence_folder").groupBy("folder")
                .agg(F.max_by(F.struct("licence_folder", "given"), "depth").alias("by")))
-    found = own.join(nearest, "folder", "left")
+    # written, so that the join is of two plain exchanges and AQE may split a directory with many files
+    found = own.join(materialise(nearest, "licenses-nearest"), "folder", "left")
     inherits = F.col("license").isNull() & F.col("by").isNotNull()
     return found.select(
         "id", "path", F.coalesce("license", "by.given").alias("license"), "score",
