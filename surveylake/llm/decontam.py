@@ -213,8 +213,8 @@ def _runs(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id
                    for r in prints.select("gram", "need").distinct().collect())
     rows = materialise(_scan(docs, id_col, text_col, kinds, _filter(prints)), "decontam-scan")
     named = prints.withColumn("context", F.md5(F.to_json(F.struct("hash", "at", "words", "need"))))
-    contexts = named.select("context", "need", "hash", "gram", F.col("at").alias("item_at"),
-                            F.col("words").alias("item_words")).dropDuplicates(["context"])
+    contexts = materialise(named.select("context", "need", "hash", "gram", F.col("at").alias("item_at"), F.col(
+        "words").alias("item_words")).dropDuplicates(["context"]), "decontam-contexts")
     found = rows.filter(F.size("found") > 0).select("text_key", F.explode("found").alias("f")).select(
         "text_key", "f.*").distinct()
     return rows, named, materialise(_extend(found.join(contexts, ["hash", "gram"])), "decontam-runs")
@@ -236,7 +236,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     listed = (runs.select("text_key", "context").distinct()
               .join(named.select("context", "item").distinct(), "context")
               .groupBy("text_key").agg(F.sort_array(F.collect_set("item")).alias("items")))
-    hits = _covered(runs).join(listed, "text_key")
+    # written, so that the join below is of two plain exchanges and AQE may split a text with many copies
+    hits = materialise(_covered(runs).join(listed, "text_key"), "decontam-hits")
     return rows.select("id", "text_key", "n_words").join(hits, "text_key", "left").select(
         "id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
