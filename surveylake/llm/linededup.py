@@ -66,7 +66,9 @@ def repeated_runs(docs: DataFrame, id_col: str, text_col: str, min_words: int =
         "content_1", "content_2", "last", F.struct("__id", "__text", "first").alias("at"))
     earliest = matched.groupBy("content_1", "content_2").agg(
         F.min("at").alias("origin"), F.max("at").alias("latest")).filter(~F.col("origin").eqNullSafe(F.col("latest")))
-    later = (matched.join(earliest.drop("latest"), ["content_1", "content_2"])
+    # written, so that the join is of two plain exchanges and AQE may split a window with many places
+    earliest = materialise(earliest.drop("latest"), "linededup-earliest")
+    later = (matched.join(earliest, ["content_1", "content_2"])
              .filter(~F.col("at").eqNullSafe(F.col("origin"))).select("at.*", "last"))
     # windows that overlap or touch make one run
     in_doc = Window.partitionBy("__id", "__text").orderBy("first", "last")
