@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER
 
-#: Bits of all levels that an expression may carry (16 MB); beyond, ``judge``
+#: Bits of all levels that an expression may carry (4 MB); beyond, ``judge``
 #: looks listed keys up by a join instead.
-MAX_BITS = 1 << 27
+MAX_BITS = 1 << 25
 FIRST_RATE, NEXT_RATE = 0.01, 0.5
 
 
