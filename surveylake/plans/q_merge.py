@@ -234,3 +234,30 @@ def q_replace_months_table(spark, sf_dir):
     replace_months(path, [(r, "survey_month"), (s, "survey_month")])
     out = spark.read.parquet(path).drop("load_key")
     return out.withColumn("month_key", F.col("month_key").cast("date"))
+
+
+@register("upsert_orders", """
+WITH new AS (
+  SELECT o_orderkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL SELECT o_orderkey + 1000000000, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'P')
+SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.o_orderkey = o.o_orderkey)
+UNION ALL SELECT * FROM new""")
+def q_upsert_orders(spark, sf_dir):
+    """K7: finished orders re-priced, pending ones added under new keys."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    status = F.col("o_orderstatus")
+    new = o.where(status == "F").withColumn("o_totalprice", F.col("o_totalprice") + 1.0).unionByName(
+        o.where(status == "P").withColumn("o_orderkey", F.col("o_orderkey") + 1_000_000_000))
+    return upsert_by_key(o, new, ["o_orderkey"])
+
+
+@register("changed_versions", """
+SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem n
+WHERE EXISTS (SELECT 1 FROM lineitem a WHERE a.l_orderkey = n.l_orderkey
+              AND (a.l_quantity IS DISTINCT FROM n.l_quantity OR a.l_returnflag IS DISTINCT FROM n.l_returnflag))""")
+def q_changed_versions(spark, sf_dir):
+    """J4+J5: every key holds several old versions; a new row that differs from
+    any of them is changed."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    return changed_rows(lines, lines, ["l_orderkey"], {"l_quantity": "FLOAT64", "l_returnflag": "STRING"}, mode="null_safe")
