@@ -14,6 +14,8 @@ from __future__ import annotations
 import itertools
 import math
 import os
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,12 +26,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import PLAIN, chunked, materialise, strings
+from .common import PLAIN, chunked, materialise, release, strings
 
 CAPACITY = 2048
 END_ID = 1
 #: Token ids kept of chunks met before; chunks to a string; texts at a time.
-_MEMO_IDS, _JOINED, _SLICE = 1_500_000, 100, 192
+_MEMO_IDS, _JOINED, _SLICE = 1_500_000, 100, 128
 
 
 class Encoder:
@@ -57,33 +59,40 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        # entry e has the ids [ends[e - 1], ends[e]) of self.ids
+        # entry e has self.ids[self.ends[e]:self.ends[e + 1]]; both arrays have room to grow
         self.words: dict[str, int] = {}
         self.others: dict[str, int] = {}
-        self.ids, self.ends = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        self.ids, self.ends = np.zeros(1024, "<u4"), np.zeros(1024, np.int64)
+        self.entries = self.used = 0
+
+    def _keep(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        if (need := self.used + len(ids)) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(need, "<u4")])
+        if (want := self.entries + len(sizes) + 1) > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros(want, np.int64)])
+        self.ids[self.used:need] = ids
+        self.ends[self.entries + 1:want] = self.used + np.cumsum(sizes)
+        self.used, self.entries = need, want - 1
 
     def _entries(self, known: dict[str, int], tokenizer, chunks: list[str]) -> np.ndarray:
-        """The entry of each chunk; new ones are encoded, many to a string.  A
-        word ends at an id that closes a word, any other chunk where the next
-        one begins in the string."""
-        new = list({c for c in chunks if c not in known})
-        ids, ends, base = [self.ids], [self.ends], len(self.ids)
+        """The entry of each (distinct) chunk; new ones are encoded, many to a
+        string.  A word ends at an id that closes a word, any other chunk where
+        the next one begins in the string."""
+        new = [c for c in chunks if c not in known]
+        known.update(zip(new, range(self.entries, self.entries + len(new))))
         groups = [new[i:i + _JOINED] for i in range(0, len(new), _JOINED)]
         words = tokenizer is self.word
         encode = tokenizer.encode_batch_fast if words else tokenizer.encode_batch
         for group, coded in zip(groups, encode([" ".join(g) for g in groups], add_special_tokens=False)):
-            ids.append(np.array(coded.ids, "<u4"))
+            ids = np.array(coded.ids, "<u4")
             if words:
-                cuts = np.flatnonzero(self.closes[ids[-1]]) + 1
+                cuts = np.flatnonzero(self.closes[ids]) + 1
                 if len(cuts) != len(group):
                     raise ValueError("the tokenizer's words do not end in ids that close a word")
             else:
                 begins = np.fromiter(itertools.chain.from_iterable(coded.offsets), np.int64, 2 * len(coded))[::2]
                 cuts = np.searchsorted(begins, np.cumsum(np.fromiter(map(len, group), np.int64, len(group)) + 1) - 1)
-            ends.append(base + cuts)
-            base += len(ids[-1])
-        known.update(zip(new, range(len(self.ends), len(self.ends) + len(new))))
-        self.ids, self.ends = np.concatenate(ids), np.concatenate(ends)
+            self._keep(ids, np.diff(cuts, prepend=0))
         return np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
 
     def _gather(self, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -91,7 +100,7 @@ class Encoder:
         return ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)]
 
     def _slice(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        if len(self.ids) > _MEMO_IDS:
+        if self.used > _MEMO_IDS:
             self._forget()
         each, distinct, cuts = chunked(texts)
         plain = pc.match_substring_regex(distinct, PLAIN)
@@ -99,15 +108,16 @@ class Encoder:
         entry = np.zeros(len(distinct), np.int64)
         marked = distinct.filter(plain)
         words = pc.utf8_rtrim(marked, ".,")
-        entry[is_plain] = self._entries(self.words, self.word, strings(pc.utf8_lower(words)))
+        lower = pc.utf8_lower(words).dictionary_encode()
+        entry[is_plain] = self._entries(self.words, self.word, strings(lower.dictionary))[lower.indices.to_numpy()]
         entry[~is_plain] = self._entries(self.others, self.whole, strings(distinct.filter(pc.invert(plain))))
         # the mark of a plain chunk follows its word
         stop, comma = self._entries(self.others, self.whole, [".", ","])
         last = np.full(len(distinct), -1)
         last[is_plain] = np.where(pc.ends_with(marked, ".").to_numpy(zero_copy_only=False), stop, np.where(
             pc.ends_with(marked, ",").to_numpy(zero_copy_only=False), comma, -1))
-        begins = np.concatenate([[0], self.ends])[:-1]
-        size, more = (self.ends - begins)[entry], np.where(last < 0, 0, (self.ends - begins)[last])
+        begins = self.ends[:self.entries + 1]
+        size, more = begins[entry + 1] - begins[entry], np.where(last < 0, 0, begins[last + 1] - begins[last])
         pair = lambda x, y: np.stack([x, y], axis=1).ravel()
         ids = self._gather(self.ids, pair(begins[entry], begins[last]), pair(size, more))
         sizes = size + more
@@ -121,6 +131,16 @@ class Encoder:
             yield from self._slice(texts.slice(at, _SLICE))
 
 
+def worker_encoder(tokenizer_path: str) -> Encoder:
+    """The encoder of this Python worker.  Spark reuses workers, so a task
+    starts with the words that earlier tasks have met."""
+    kept = sys.modules.setdefault("_surveylake_llm_worker", types.ModuleType("_surveylake_llm_worker"))
+    encoders = vars(kept).setdefault("encoders", {})
+    if tokenizer_path not in encoders:
+        encoders[tokenizer_path] = Encoder(tokenizer_path)
+    return encoders[tokenizer_path]
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
            capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): every document's ids and
@@ -129,7 +149,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer_path)
+        encode = worker_encoder(tokenizer_path)
         for batch in batches:
             rows, starts, lengths, crcs, totals = [], [], [], [], []
             for i, ids in enumerate(encode(batch.column(1))):
@@ -145,6 +165,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows, pa.int64())), *(pa.array(x, pa.int64()) for x in (
                     starts, lengths, crcs, totals))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            release()
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long")
