@@ -28,12 +28,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give Arrow's freed memory back: a Python worker shares its executor's
+    memory with the JVM and outlives the task."""
+    pa.default_memory_pool().release_unused()
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``mapInArrow`` for a function of one record batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield fn(batch)
+            release()
 
     return df.mapInArrow(run, schema)
 

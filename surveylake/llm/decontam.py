@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, map_batches, materialise
+from .common import LOWER, UPPER, map_batches, materialise, release
 
 WINDOW, GRAM = 10, 5
 #: Words are runs of anything but ASCII other than digits and letters, A-Z lower-cased.
@@ -151,6 +151,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, kinds: list[tuple[int, in
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(found, found_type)],
                 ["id", "text_key", "n_words", "found"])
+            release()
 
     rows = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("text_key"),
                        F.col(text_col).cast("binary").alias("text"))

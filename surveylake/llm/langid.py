@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import PLAIN, chunked, map_batches, materialise, strings
+from .common import PLAIN, chunked, map_batches, materialise, release, strings
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _WORD_OR_END = regex.compile(WORD.pattern + r"|\n")
@@ -33,7 +33,7 @@ ORDERS = (4, 3, 2, 1)
 #: A word (gram) is kept if its mean share over the languages is at least this.
 WORD_SHARE, GRAM_SHARE = 1 / 200_000, 1 / 50_000
 BACKGROUND = 0.01  # weight of the mean over all languages in each language's share
-_MEMO, _SLICE = 400_000, 1024  # unknown words looked up; texts scored at a time
+_MEMO, _SLICE = 200_000, 256  # unknown words looked up; texts taken at a time
 
 
 def words_of_each(chunks: pa.Array) -> tuple[np.ndarray, pa.Array, list[list[str]]]:
@@ -62,15 +62,18 @@ def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         langs, words, ns = [], [], []
         for lang in batch.column(0).unique().to_pylist():
-            each, distinct, _ = chunked(batch.column(1).filter(pc.equal(batch.column(0), lang)))
-            n = np.bincount(each, minlength=len(distinct))
-            is_plain, plain, rest = words_of_each(distinct)
-            coded = plain.dictionary_encode()
-            sums = np.bincount(coded.indices.to_numpy(), n[is_plain], len(coded.dictionary)).astype(np.int64)
-            counts = dict(zip(strings(coded.dictionary), sums.tolist()))
-            for found, k in zip(rest, n[~is_plain].tolist()):
-                for word in found:
+            texts, counts = batch.column(1).filter(pc.equal(batch.column(0), lang)), {}
+            for at in range(0, len(texts), 4 * _SLICE):
+                each, distinct, _ = chunked(texts.slice(at, 4 * _SLICE))
+                n = np.bincount(each, minlength=len(distinct))
+                is_plain, plain, rest = words_of_each(distinct)
+                coded = plain.dictionary_encode()
+                sums = np.bincount(coded.indices.to_numpy(), n[is_plain], len(coded.dictionary)).astype(np.int64)
+                for word, k in zip(strings(coded.dictionary), sums.tolist()):
                     counts[word] = counts.get(word, 0) + k
+                for found, k in zip(rest, n[~is_plain].tolist()):
+                    for word in found:
+                        counts[word] = counts.get(word, 0) + k
             langs += [lang] * len(counts)
             words += counts.keys()
             ns += counts.values()
@@ -238,6 +241,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 [*batch.schema.names, "__lang", "__score"])
+            release()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__lang", T.StringType()),
                                               T.StructField("__score", T.DoubleType())]))
