@@ -117,7 +117,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": OP2_SQL, "op5_warc": OP5_SQL, "op8_urlfilter": OP8_SQL, "op9_linededup": OP9_SQL}
+    return {"op2_chat": OP2_SQL, "op3_decontam": OP3_SQL, "op5_warc": OP5_SQL, "op8_urlfilter": OP8_SQL, "op9_linededup": OP9_SQL}
 
 
 OP2_SQL = r"""
@@ -141,6 +141,34 @@ SELECT conv_id, count(*) AS n_turns,
 FROM runs GROUP BY conv_id
 """
 
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), iw AS (  -- every window of 10 words; a shorter item is one window
+  SELECT DISTINCT item_id, size, array_to_string(w[k:k + size - 1], ' ') AS g
+  FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS k
+        FROM (SELECT *, least(10, len(w)) AS size FROM i WHERE len(w) > 0))
+), dw AS (
+  SELECT doc_id, k, size, array_to_string(w[k:k + size - 1], ' ') AS g
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS k
+        FROM d, (SELECT DISTINCT size FROM iw) WHERE len(w) >= size)
+), hit AS (
+  SELECT doc_id, k, size, item_id FROM dw JOIN iw USING (size, g)
+), n AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + size)) AS p FROM hit) GROUP BY 1
+), m AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(name, ',' ORDER BY name)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM hit) GROUP BY 1
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
 OP5_SQL = r"""
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
