@@ -49,10 +49,11 @@ def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base rules and log-likelihood ratio of every document against those
-    labelled good."""
-    good = table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0")
-    return quality.judge(table(spark, sf_dir, "documents"), good)
+    """Base rules and log-likelihood ratios of every document against those
+    labelled good, and those labelled toxic."""
+    labels = table(spark, sf_dir, "labels")
+    return quality.judge_apart(table(spark, sf_dir, "documents"), labels.filter("quality = 1 AND toxic = 0"),
+                               labels.filter("toxic = 1"))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
