@@ -1,7 +1,9 @@
 """License scan: TF-IDF cosine to templates, then inheritance by directory.
 
-Every line of a file (a header or notice), and the whole text of a licence
-file, is compared with the templates as sparse TF-IDF vectors.  Files without a
+Every line of a file (a header or notice), every run of as many adjacent words
+as a template has (a header wrapped over lines, or with more on its line), and
+the whole text of a licence file, is compared with the templates as sparse
+TF-IDF vectors; a licence file also with whole licence texts.  Files without a
 match of their own take the licence of the licence file in the nearest
 directory above, found by joins on paths.
 """
@@ -12,6 +14,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -41,7 +44,12 @@ TEMPLATES = (
             "associated documentation files (the \"Software\"), to deal in the Software without restriction"),
     ("MIT", "SPDX-License-Identifier: MIT"),
 )
+#: Whole licence texts, for licence files.
+TEXTS = tuple((p.stem, p.read_text("utf-8")) for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")))
 THRESHOLD = 0.75
+#: A run of words must equal a template of fewer words than this, in any order:
+#: two short notices may differ in nothing but the licence's name.
+SHORT = 10
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying)(\..*)?$"
 _WORD = re.compile(r"[^\W_]+")
 
@@ -76,6 +84,7 @@ class Matcher:
         self.weights = {w: math.log((1 + n_files) / (1 + frequencies.get(w, 0))) + 1
                         for _, t in templates for w in words_of(t)}
         self.names = [name for name, _ in templates]
+        self.sizes = [len(words_of(t)) for _, t in templates]
         #: word -> (template, its normalised weight there)
         self.postings: dict[str, list[tuple[int, float]]] = {}
         for i, (_, text) in enumerate(templates):
@@ -98,6 +107,42 @@ class Matcher:
         best = max(range(len(dots)), key=lambda i: (dots[i], -i))
         return dots[best] / math.sqrt(square), self.names[best]
 
+    def _run(self, words: list[str], i: int) -> float:
+        """The best cosine of template ``i`` and as many adjacent words (all, of fewer)."""
+        mine = {w: x for w, xs in self.postings.items() for at, x in xs if at == i}
+        counts: Counter = Counter()
+        best = square = dot = 0.0
+        size = self.sizes[i]
+        for at, w in enumerate(words):
+            weight = self.weights.get(w, self.unseen)
+            square += weight * weight * (2 * counts[w] + 1)
+            dot += weight * mine.get(w, 0.0)
+            counts[w] += 1
+            if at >= size:
+                old = words[at - size]
+                weight = self.weights.get(old, self.unseen)
+                counts[old] -= 1
+                square -= weight * weight * (2 * counts[old] + 1)
+                dot -= weight * mine.get(old, 0.0)
+            if at >= size - 1 or at == len(words) - 1:
+                best = max(best, dot / math.sqrt(square))
+        return min(best, 1.0)
+
+    def runs(self, words: list[str], threshold: float) -> tuple[float, str | None]:
+        """(cosine, name) of the closest template to any run of as many adjacent
+        words, (0, None) below ``threshold``."""
+        held = [0.0] * len(self.names)
+        for w in self.postings.keys() & set(words):
+            for i, x in self.postings[w]:
+                held[i] += x * x
+        found: tuple[float, str | None] = (0.0, None)
+        for i, name in enumerate(self.names):
+            least = threshold if self.sizes[i] >= SHORT else max(threshold, 1 - 1e-9)
+            # no run has a greater cosine than the norm of the template's words in the text
+            if held[i] >= least * least - 1e-9 and (score := self._run(words, i)) >= least and score > found[0]:
+                found = score, name
+        return found
+
 
 def _name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
@@ -107,22 +152,27 @@ def _folder(path: Column) -> Column:
     return F.regexp_replace(path, r"/?[^/]*$", "")
 
 
-def _direct(files: DataFrame, id_col: str, path_col: str, text_col: str, threshold: float, templates) -> DataFrame:
+def _direct(files: DataFrame, id_col: str, path_col: str, text_col: str, threshold: float, templates, texts) -> DataFrame:
     """(id, path, licence_file, license, score): each file's own best match."""
-    shared = files.sparkSession.sparkContext.broadcast(document_frequencies(files, text_col, templates))
+    shared = files.sparkSession.sparkContext.broadcast(document_frequencies(files, text_col, (*templates, *texts)))
     id_type = files.schema[id_col].dataType.simpleString()
     rows = files.select(F.col(id_col).alias("id"), F.col(path_col).alias("path"),
                         F.coalesce(_name(F.col(path_col)).rlike(LICENCE_FILE), F.lit(False)).alias("licence_file"),
                         F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        match = Matcher(*shared.value, templates)
+        match, match_text = Matcher(*shared.value, templates), Matcher(*shared.value, texts)
         for batch in batches:
             names, scores = [], []
             for is_file, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 lines = [words_of(x) for x in text.split("\n")] if text else []
-                units = lines + [[w for x in lines for w in x]] if is_file else lines
+                whole = [w for x in lines for w in x]
+                units = lines + [whole] if is_file else lines
                 score, name = max(map(match, units), key=lambda x: x[0], default=(0.0, None))
+                more = [match.runs(whole, threshold), *([match_text(whole)] if is_file else [])]
+                best = max(more, key=lambda x: x[0])
+                if best[0] >= threshold and best[0] > score + 1e-9:
+                    score, name = best
                 names.append(name if score >= threshold else None)
                 scores.append(score)
             yield pa.RecordBatch.from_arrays(
@@ -133,19 +183,20 @@ def _direct(files: DataFrame, id_col: str, path_col: str, text_col: str, thresho
 
 
 def scan(files: DataFrame, id_col: str = "id", path_col: str = "path", text_col: str = "text",
-         threshold: float = THRESHOLD, templates=TEMPLATES) -> DataFrame:
+         threshold: float = THRESHOLD, templates=TEMPLATES, texts=TEXTS) -> DataFrame:
     """One row per file: (id, path, license, score, how, licence_folder).
 
     ``how`` is ``own`` for a match of the file itself, ``inherited`` for that of
     the licence file in ``licence_folder``, the nearest directory at or above
     the file's, else null with a null license; ``score`` is the file's own best
-    cosine.  Of several licence files in a directory the best score counts, then
+    cosine, in which runs of words and whole licence texts count from ``threshold``
+    on (a template of fewer than SHORT words only with all its words).  Of several licence files in a directory the best score counts, then
     the licence that sorts first.  A null or empty text matches nothing; a file
     with a null path inherits nothing.  Repeated rows stay; an empty table gives
     an empty one; other columns are not read.  Inheritance is worked out for
     distinct directories, so one that holds most files is one row there.
     """
-    own = materialise(_direct(files, id_col, path_col, text_col, threshold, templates), "licenses-own")
+    own = materialise(_direct(files, id_col, path_col, text_col, threshold, templates, texts), "licenses-own")
     own = own.withColumn("folder", _folder(F.col("path")))
     given = (own.filter("licence_file AND license IS NOT NULL").groupBy("folder", "license").agg(F.max("score").alias("s"))
              .groupBy(F.col("folder").alias("licence_folder"))

@@ -1,7 +1,9 @@
 """License scan against plain TF-IDF and a walk up the directories."""
 
 import math
+import random
 import re
+import textwrap
 from collections import Counter
 
 from helpers import SF, nasty
@@ -83,3 +85,40 @@ def test_documents(spark):
     got = {r.doc_id: r for r in op7_licenses(spark, SF).collect()}
     for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
         assert (got[r.doc_id].how == "own") == bool(re.search("^(Licensed|Released|This work is lic)", r.text, re.M))
+
+
+def test_headers_over_lines_and_whole_licences(spark):
+    texts = dict(licenses.TEXTS)
+    wrap = lambda name, mark, at: "import x\n" + "\n".join(
+        f"{mark} {line}" for line in textwrap.wrap([t for n, t in licenses.TEMPLATES if n == name][at], 60)) + "\nx = 1\n" * 50
+    cut = texts["Apache-2.0"].split("END OF TERMS AND CONDITIONS")[0]
+    prose = ["the sun goes down behind the hills and the fox sleeps in a den"] * 40
+    rows = [(1, "a.py", wrap("MIT", "#", 1), "MIT"), (2, "b.c", wrap("BSD-3-Clause", "//", 0), "BSD-3-Clause"),
+            (3, "c.c", wrap("GPL-3.0", " *", 1), "GPL-3.0"), (4, "d.js", wrap("Apache-2.0", "//", 1), "Apache-2.0"),
+            (5, "e.js", "x\n// Released under the MIT License. Copyright (c) 2019 A. Body and others\ny", "MIT"),
+            (6, "f/LICENSE", "The MIT License\n\nCopyright (c) 2019 A. Body\n\n" + texts["MIT"], "MIT"),
+            (7, "g/COPYING", texts["GPL-3.0"].split("END OF TERMS")[0], "GPL-3.0"), (8, "h/LICENSE", cut, "Apache-2.0"),
+            (9, "i/LICENSE.txt", "Copyright 2019 A. Body\n" + texts["BSD-3-Clause"], "BSD-3-Clause"),
+            (10, "f/x.py", "x = 1", "MIT"), (11, "h/x/y.py", "y = 1", "Apache-2.0"), (12, "j.py", "z = 1", None),
+            (13, "k.py", "# Released under the terms of\n# the Other\n# License.", None),
+            *((20 + i, f"z/{i}.txt", t, None) for i, t in enumerate(prose))]
+    files = spark.createDataFrame([r[:3] for r in rows], "id long, path string, text string")
+    got = {r.id: r for r in licenses.scan(files).collect()}
+    assert {i: r.license for i, r in got.items()} == {r[0]: r[3] for r in rows}
+    assert [got[i].how for i in (1, 5, 6, 8, 10, 11)] == ["own"] * 4 + ["inherited"] * 2
+
+
+def test_runs_against_every_window(spark):
+    rng = random.Random(3)
+    match = licenses.Matcher(1000, {"the": 900, "of": 800, "license": 30})
+    words = [w for _, t in licenses.TEMPLATES for w in licenses.words_of(t)]
+    for n in (0, 3, 30, 200):
+        text = rng.choices(words, k=n)
+        at = rng.randrange(n + 1)
+        text = text[:at] + licenses.words_of(licenses.TEMPLATES[-2][1])[2:] + text[at:]
+        for i, (name, template) in enumerate(licenses.TEMPLATES):
+            weigh = lambda x: {w: c * match.weights.get(w, match.unseen) for w, c in Counter(x).items()}
+            size = len(licenses.words_of(template))
+            want = max(cosine(weigh(text[k:k + size]), weigh(licenses.words_of(template)))
+                       for k in range(max(1, len(text) - size + 1)))
+            assert math.isclose(match._run(text, i), want, abs_tol=1e-9)
