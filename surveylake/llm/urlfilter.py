@@ -78,9 +78,14 @@ class Level:
         return found
 
 
-def _level(keys: DataFrame, n: int, rate: float, seed: int) -> Level:
+def _size(n: int, rate: float) -> tuple[int, int]:
+    """(bits, hashes) of a level of ``n`` keys."""
     hashes = max(1, round(-math.log2(rate)))
-    level = Level(64 * math.ceil(max(64, n * hashes / math.log(2)) / 64), hashes, seed, [])
+    return 64 * math.ceil(max(64, n * hashes / math.log(2)) / 64), hashes
+
+
+def _level(keys: DataFrame, n: int, rate: float, seed: int) -> Level:
+    level = Level(*_size(n, rate), seed, [])
     spots = keys.select(F.explode(F.array(*level._spots(F.col("key")))).alias("spot"))
     found = (spots.groupBy(F.shiftright("spot", 6).alias("at"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(spot & 63 AS INT))")).alias("word")).toArrow())
@@ -113,13 +118,12 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_bits: int = MAX_BI
     sides = [universe.join(listed, "key", "left_semi"), universe.join(listed, "key", "left_anti")]
     levels: list[Level] = []
     left = max_bits
-    while (n := sides[len(levels) % 2].count()) and left > 0:
-        turn = len(levels) % 2
-        bits = n * 10 if not levels else n * 2
-        if bits > left:
+    while n := sides[len(levels) % 2].count():  # a cascade is exact only when no key is left
+        turn, rate = len(levels) % 2, NEXT_RATE if levels else FIRST_RATE
+        if _size(n, rate)[0] > left:
             universe.unpersist()
             return None
-        levels.append(_level(sides[turn], n, NEXT_RATE if levels else FIRST_RATE, len(levels)))
+        levels.append(_level(sides[turn], n, rate, len(levels)))
         left -= levels[-1].bits
         # the other side's keys that this level wrongly holds come next
         sides[1 - turn] = sides[1 - turn].filter(levels[-1].holds(F.col("key")))

@@ -35,6 +35,22 @@ def test_too_many_keys_fall_back_to_a_join(spark):
                                                                                    "block"]
 
 
+def test_a_cascade_that_does_not_fit_whole_is_none(spark):
+    """Room for the first level by ten bits a key, not by the bits it has."""
+    rng = random.Random(9)
+    universe = [f"{rng.getrandbits(40):x}.example.org" for _ in range(6000)]
+    listed = set(universe[:1000])
+    first = urlfilter._size(1000, urlfilter.FIRST_RATE)[0]
+    assert first > 10_000
+    for bits in (10_000, first - 1, first, first + 63, first + 64, 1 << 20):
+        cascade = urlfilter.build_cascade(keys(spark, listed), keys(spark, universe), bits)
+        assert (cascade is None) == (bits < 1 << 20)
+        if cascade is not None:
+            assert sum(x.bits for x in cascade.levels) <= bits
+            found = keys(spark, universe).select("key", cascade.holds(F.col("key")).alias("hit")).collect()
+            assert {r.key for r in found if r.hit} == listed
+
+
 def test_hosts_paths_and_rules(spark):
     rows = [("http://Example.ORG/es/x?q#f", "example.org", "/es/x", "example.org/es/", "block"),
             ("http://a.example.org/en/12", "a.example.org", "/en/12", "example.org/en/1", "block"),
