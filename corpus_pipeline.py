@@ -15,7 +15,7 @@ from surveylake.llm.common import materialise, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or in no learned language, go."""
+    """Documents without letters go (all, if no language could be learned)."""
     return langid.recognised(docs)
 
 

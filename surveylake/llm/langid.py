@@ -267,10 +267,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
                                        F.col("__score").alias("score"))
 
 
-def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-               min_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose text is in a learned language, with a score of
-    ``min_score`` or more; all columns.  A null or letterless text goes."""
+def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language, however low its
+    score; all columns.  Only what is ``und`` goes: a null or letterless text, or
+    every one if nothing could be learned."""
     model = train(docs.filter(~held_out(id_col)), text_col, lang_col)
-    found = predict(docs, model, text_col)
-    return found.filter((F.col("__lang") != UNKNOWN) & (F.col("__score") >= min_score)).select(*docs.columns)
+    return predict(docs, model, text_col).filter(F.col("__lang") != UNKNOWN).select(*docs.columns)

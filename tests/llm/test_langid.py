@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from helpers import SF, empty, nasty
+from helpers import SF, documents, empty, nasty
 
 from surveylake.llm import langid
 
@@ -73,3 +73,13 @@ def test_nasty_rows(spark):
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert [tuple(r)[2:] for r in langid.identify(docs).collect()] == [("und", 0.0)]
+
+
+def test_recognised_rejects_only_und(spark):
+    """A text of words that three languages share has a third of the posterior each."""
+    rows = [(i, f"shared words {lang}a {lang}b", lang) for i, lang in enumerate(["de", "en", "fr"] * 40)]
+    docs = documents(spark, [*rows, (200, "shared words", "en"), (201, "1 2 ...", "en"), (202, None, "en")])
+    found = langid.predict(docs, langid.train(docs.filter(~langid.held_out()))).filter("doc_id = 200").first()
+    assert found["__lang"] != langid.UNKNOWN and found["__score"] < 0.5
+    kept = {r.doc_id for r in langid.recognised(docs).collect()}
+    assert kept == {*range(120), 200}
