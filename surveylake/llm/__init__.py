@@ -1,7 +1,7 @@
 """Operators of a training-data pipeline, as Spark jobs.
 
 simhash, chat, decontam, quality, warc, packing, licenses, urlfilter,
-linededup and langid hold one operator each; ``queries`` registers one query
+linededup, langid, vectorcodes, tokenspans and vectordedup hold one operator each; ``queries`` registers one query
 per operator.  Nothing outside this folder, save ``corpus_pipeline.py`` and
 the guarded import in ``__spark_entry__.py``, imports it.
 """

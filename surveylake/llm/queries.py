@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from surveylake.session import scratch_path
 
-from . import chat, decontam, langid, licenses, linededup, packing, quality, simhash, urlfilter, warc
+from . import (
+    chat, decontam, langid, licenses, linededup, packing, quality, simhash, tokenspans, urlfilter, vectorcodes, vectordedup,
+    warc,
+)
 from .common import table
 
 
@@ -112,13 +115,35 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_vectorcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of every vector, its error, and the codebooks' digest."""
+    coded, codebooks = vectorcodes.compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+    return vectorcodes.with_label_error(coded).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error",
+        F.lit(vectorcodes.digest(codebooks)).alias("codebooks_sha256"))
+
+
+def op12_tokenspans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of two tokenizers, aligned."""
+    found = tokenspans.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"),
+                             keep=lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256)))
+    return found.withColumnsRenamed({"id": "doc_id", "groups": "groups_sha256"})
+
+
+def op13_vectordedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at a cosine of 0.95."""
+    return vectordedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95).withColumnRenamed("id", "vec_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_chat, op3_decontam, op4_quality, op5_warc, op6_packing, op7_licenses, op8_urlfilter,
-                                    op9_linededup, op10_langid)}
+                                    op9_linededup, op10_langid, op11_vectorcodes, op12_tokenspans, op13_vectordedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": OP2_SQL, "op3_decontam": OP3_SQL, "op5_warc": OP5_SQL, "op8_urlfilter": OP8_SQL, "op9_linededup": OP9_SQL}
+    return {"op2_chat": OP2_SQL, "op3_decontam": OP3_SQL, "op5_warc": OP5_SQL, "op8_urlfilter": OP8_SQL, "op9_linededup": OP9_SQL,
+            "op11_vectorcodes": OP11_SQL}
 
 
 OP2_SQL = r"""
@@ -239,3 +264,32 @@ WITH l AS (
 SELECT d.doc_id, kept.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted
 FROM documents d LEFT JOIN kept USING (doc_id)
 """
+
+_OP11_ROUND = """
+, n{k} AS (
+  SELECT vec_id, p, min(dist * 64 + e) AS best FROM (
+    SELECT vec_id, p, e, sum((x - c) * (x - c))::BIGINT AS dist FROM x JOIN c{k} USING (p, d) GROUP BY ALL) GROUP BY ALL
+), c{next} AS (
+  SELECT p, e, d, coalesce(m, c)::BIGINT AS c FROM c{k} LEFT JOIN (
+    SELECT p, best % 64 AS e, d, floor(sum(x) / count(*))::BIGINT AS m FROM x JOIN n{k} USING (vec_id, p) GROUP BY ALL)
+    USING (p, e, d)
+)
+"""
+OP11_SQL = """
+WITH k AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda v: floor(256 * v)::BIGINT) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+), x AS MATERIALIZED (
+  SELECT vec_id, i // (len(v) // 16) AS p, i % (len(v) // 16) AS d, v[i + 1] AS x FROM (SELECT *, unnest(range(len(v))) AS i FROM k)
+), c0 AS (
+  SELECT p, e, d, x AS c FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k) USING (vec_id)
+  WHERE e < 64
+)""" + "".join(_OP11_ROUND.format(k=k, next=k + 1) for k in range(3)) + """
+, coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best % 64), '' ORDER BY p) AS code, sum(best // 64)::BIGINT AS error
+  FROM n2 GROUP BY vec_id
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, d)) FROM c2) AS codebooks_sha256
+FROM coded JOIN k USING (vec_id)
+"""

@@ -16,7 +16,7 @@ def test_query_matches_its_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 14)]
 
 
 def stages(spark, docs, keep=lambda df, name: df):
