@@ -15,10 +15,11 @@ executor is lost and its partitions are rebuilt from lineage.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +38,7 @@ CT_SUFFIX = "_CT"
 WORK_ORDER = "WORKORDERNUMBER"
 WORK_ORDER_HEADER = "WORKORDERNUMBER_HEADER"
 # ----------------------------------------------------------------------------
+CORRUPT = "_corrupt_record"   # where the XML parser puts a document that is broken anywhere
 
 
 @dataclass
@@ -72,46 +74,57 @@ def row_id(*parts: Column | str) -> Column:
 def parse_documents(docs: DataFrame, layout: DocumentLayout, payload: str = "payload",
                     base64: bool = True, key: str = "doc_key", repartition: int | None = None,
                     strict: bool = False) -> DataFrame:
-    """N1 + P21 + P24: (doc_key, payload) -> (doc_key, DOC_ID, parsed struct).
-
-    A document that does not decode (bad base64, broken XML, another root or no
-    child) has no rows in the tables: ``rejected_documents`` lists it, ``strict``
-    raises at it.  ``repartition`` spreads the documents of a few small files
-    over so many tasks, as parsing is bound by the CPU.
+    """N1 + P21 + P24: (doc_key, payload) -> (doc_key, DOC_ID, parsed struct,
+    reason, rejected payload).
+
+    A document counts as a whole or not at all: one that does not decode (bad
+    base64, XML that is broken anywhere, text after the root, no child) has no
+    rows in the tables; ``reason`` names the step that failed (``base64``,
+    ``xml``, or what the reader of ``docs`` put into its own column ``reason``)
+    and ``rejected`` keeps the payload.  ``strict`` raises at it.
+    ``repartition`` spreads the documents of a few small files over so many
+    tasks, as parsing is bound by the CPU.
     """
     if repartition:
         docs = docs.repartition(repartition)
     text = decode_base64_text(payload) if base64 else F.col(payload)
+    shape = layout.document_schema().add(CORRUPT, T.StringType())
     if layout.ignore_namespace:
-        parsed = F.from_xml(text, layout.document_schema(), {"ignoreNamespace": "true"})
+        parsed = F.from_xml("text", shape, {"ignoreNamespace": "true", "columnNameOfCorruptRecord": CORRUPT})
     else:
-        parsed = F.from_xml(strip_prefixes(text), layout.document_schema())
-    out = docs.select(F.col(key).alias("doc_key"),
-                      F.sha2(F.col(key).cast("string"), 256).alias(DOC_ID), parsed.alias("doc"))
+        parsed = F.from_xml(strip_prefixes("text"), shape, {"columnNameOfCorruptRecord": CORRUPT})
+    known = F.col("reason") if "reason" in docs.columns else F.lit(None).cast("string")
+    tried = docs.select(F.col(key).alias("doc_key"), F.col(payload).alias("payload"), known.alias("known"), text.alias("text"))
+    tried = tried.select("doc_key", "payload", "known", _after_root("text", layout).alias("more"),
+                         F.col("text").isNull().alias("no_text"), parsed.alias("doc"))
+    kids = F.col("doc").getField(layout.sub_element)
+    broken = F.col("doc").getField(CORRUPT).isNotNull() | F.col("more") | kids.isNull() | (F.size(kids) == 0)
+    reason = F.coalesce("known", F.when(F.col("no_text"), "base64").when(broken, "xml"))
+    out = tried.select("doc_key", "payload", "doc", reason.alias("reason"))
+    whole = F.when(F.col("reason").isNull(), F.col("doc"))
     if strict:
-        out = out.withColumn("doc", F.when(~_undecoded(layout), F.col("doc")).otherwise(
-            F.raise_error(F.concat(F.lit("document does not decode: "), F.col("doc_key").cast("string")))))
-    return out
+        whole = whole.otherwise(F.raise_error(F.concat(F.lit("document does not decode: "), F.col("doc_key").cast("string"))))
+    return out.select("doc_key", F.sha2(F.col("doc_key").cast("string"), 256).alias(DOC_ID), whole.alias("doc"), "reason",
+                      F.when(F.col("reason").isNotNull(), F.col("payload")).alias("rejected"))
 
 
-def _undecoded(layout: DocumentLayout) -> Column:
-    kids = F.col("doc").getField(layout.sub_element)
-    return kids.isNull() | (F.size(kids) == 0)
+def _after_root(text: str, layout: DocumentLayout) -> Column:
+    """Whether anything but comments and processing instructions follows the
+    root's end: the parser stops there and would not see it."""
+    rest = F.regexp_extract(text, rf"(?s)</(?:[\w.-]+:)?{re.escape(layout.element_name)}\s*>\s*(\S.*)$", 1)
+    return F.coalesce(F.regexp_replace(rest, r"(?s)<!--.*?-->|<\?.*?\?>|\s+", "") != "", F.lit(False))
+
+
+def rejected_rows(parsed: DataFrame) -> DataFrame:
+    """(doc_key, payload, reason) of the documents that ``parse_documents`` rejected."""
+    return parsed.where(F.col("reason").isNotNull()).select("doc_key", F.col("rejected").alias("payload"), "reason")
 
 
 def rejected_documents(docs: DataFrame, layout: DocumentLayout, payload: str = "payload", base64: bool = True,
                        key: str = "doc_key") -> DataFrame:
     """(doc_key, payload, reason): documents that give no row, with the step
-    that failed -- ``base64`` or ``xml`` (broken, another root, or no child)."""
-    text = decode_base64_text(payload) if base64 else F.col(payload)
-    header_only = pruned(layout, layout.tables_header or None)
-    shape = header_only.document_schema()
-    options = {"ignoreNamespace": "true"} if layout.ignore_namespace else {}
-    parsed = F.from_xml(text if layout.ignore_namespace else strip_prefixes(text), shape, options)
-    tried = docs.select(F.col(key).alias("doc_key"), F.col(payload).alias("payload"), text.isNull().alias("no_text"),
-                        parsed.alias("doc"))
-    return tried.where(_undecoded(layout)).select(
-        "doc_key", "payload", F.when(F.col("no_text"), F.lit("base64")).otherwise(F.lit("xml")).alias("reason"))
+    that failed."""
+    return rejected_rows(parse_documents(docs, pruned(layout, layout.tables_header or None), payload, base64, key))
 
 
 def _flatten(struct: Column, dtype: T.StructType, prefix: str = "",
@@ -291,28 +304,34 @@ def decode_documents(docs: DataFrame, layout: DocumentLayout, payload: str = "pa
     return _tables(parsed, layout, header_rows(parsed, layout))
 
 
-def read_xml_children(spark, path: str, layout: DocumentLayout, glob: str = "*.xml") -> DataFrame:
+def read_xml_children(spark, path: str, layout: DocumentLayout, glob: str = "*.xml", strict: bool = False) -> DataFrame:
     """S5 for large files: Spark's XML reader with ``rowTag`` = the child
     element splits big files and yields one row per child, namespaces
     ignored (the prefix strip of P21).  A child's position is not known on
     this path, so its id part is a hash of its content and its number among
-    the equal children of its file: unique, and the same however the file is
-    split."""
+    the equal children of its file: no two children share an id.  A broken
+    child has its text in ``rejected`` and gives no rows (``strict`` raises)."""
+    from ..sources.documents import with_number
     df = (spark.read.format("xml").option("rowTag", layout.sub_element).option("ignoreNamespace", True)
           .option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-          .schema(layout.schema).load(path))
+          .schema(T.StructType([*layout.schema.fields, T.StructField(CORRUPT, T.StringType())]))
+          .option("columnNameOfCorruptRecord", CORRUPT).load(path))
     sub = F.struct(*[F.col(f"`{f.name}`") for f in layout.schema.fields])
-    keyed = df.select(F.col("_metadata.file_path").alias("doc_key"),
-                      F.sha2(F.col("_metadata.file_path"), 256).alias(DOC_ID),
-                      F.sha2(F.to_json(sub), 256).alias("content"), sub.alias("sub"))
-    number = F.row_number().over(Window.partitionBy("doc_key", "content").orderBy(F.lit(0))) - 1
-    return keyed.select("doc_key", DOC_ID, F.concat_ws("#", "content", number.cast("string")).alias("sub_pos"), "sub")
+    sub = F.when(F.col(CORRUPT).isNull(), sub)
+    if strict:
+        sub = sub.otherwise(F.raise_error(F.concat(F.lit("broken child: "), F.col(CORRUPT))))
+    rows = df.select(F.col("_metadata.file_path").alias("doc_key"), F.sha2(F.col("_metadata.file_path"), 256).alias(DOC_ID),
+                     F.col(CORRUPT).alias("rejected"), sub.alias("sub"))
+    keyed = with_number(rows, "doc_key", F.sha2(F.coalesce(F.to_json("sub"), "rejected"), 256))
+    return keyed.select("doc_key", DOC_ID, F.concat_ws("#", "content", F.col("number").cast("string")).alias("sub_pos"),
+                        "sub", "rejected")
 
 
 def decode_children(subs: DataFrame, layout: DocumentLayout,
                     tables: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """N11 over child rows from ``read_xml_children``."""
     layout = pruned(layout, tables)
+    subs = subs.where(F.col("rejected").isNull())
     return _tables(subs, layout, header_rows(None, layout, subs))
 
 

@@ -43,4 +43,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # importing the modules registers their queries
-    from . import q_documents, q_flows, q_loads, q_merge, q_models, q_scalar, q_sources  # noqa: F401
+    from . import q_documents, q_flows, q_loads, q_merge, q_models, q_reloads, q_scalar, q_sources  # noqa: F401

@@ -21,10 +21,11 @@ from ..functions.cleanse import (add_period, decode_base64_text, load_timestamp,
                                  strip_prefixes, with_audit)
 from ..operators.audit import dedup, observed, observed_rows
 from ..operators.nested import (ROW_ID, DocumentLayout, conform_to_schema, decode_documents,
-                               rejected_documents)
+                               rejected_rows)
 from ..schema import SchemaDocument, find_column, union_documents
 from ..session import is_missing_path, scratch_path
 from ..sinks import writers as W
+from .incremental import Run, begin_run, end_run, finish_step
 from .models import TARGET_COLUMNS, build_model
 
 
@@ -109,8 +110,17 @@ def process_table(spark: SparkSession, cfg: TableConfig, user: str,
     the export area, as the source system did each run: off by default, as a
     full copy per load grows with the table while the rest of the load grows
     only with the sources.
+
+    Without a ``load_ts`` the load time is kept in the state table
+    ``<log_path>_runs`` until the load is done: a load that failed is taken up
+    again with the time it began with, and replaces what it left in history.
     """
-    load_ts = load_ts or load_timestamp()
+    if load_ts is None:
+        runs = f"{cfg.log_path.rstrip('/')}_runs"
+        run = begin_run(spark, runs, f"{cfg.domain}/{cfg.name}")
+        result = process_table(spark, cfg, user, run.load_ts, strict, export_snapshots)
+        end_run(spark, runs, run)
+        return result
     rejects: list = []
     raw, sql, union = typed_sources(spark, cfg, strict, rejects)
     # the (incremental) sources are read by the history append and by both
@@ -147,7 +157,7 @@ def _process(spark, cfg, user, load_ts, raw, sql, union, export_snapshots):
 
 def run_document_etl(docs: DataFrame, layout: DocumentLayout, tables: Mapping[str, SchemaDocument],
                      raw_base: str, export_base: str, archive_name: str,
-                     ts: dt.datetime | None = None, batch_id: int | None = None,
+                     ts: dt.datetime | None = None, load_id: str | None = None,
                      strict: bool = False) -> dict[str, int]:
     """Decode once (persisted), then per output table conform to its field
     list (P19), stringify (P10), drop full-row duplicates (A3) and load RAW
@@ -160,15 +170,14 @@ def run_document_etl(docs: DataFrame, layout: DocumentLayout, tables: Mapping[st
     ``tables`` maps an element name of the layout (header / body / sub-body)
     to the schema document of its RAW table.  Rows that carry their own row id
     cannot repeat, so only tables without it are de-duplicated.  A micro-batch
-    passes its ``batch_id``: every output then has its own partition or folder
-    of that batch, which a retry replaces.
+    or an API run passes its ``load_id``: every output then has its own
+    partition or folder of that load, which a retry replaces.
     """
     ts = ts or load_timestamp()
     docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
     counts: dict[str, int] = {}
     decoded: dict[str, DataFrame] = {}
     raw = raw_base.rstrip("/")
-    own = "" if batch_id is None else f"/{W.BATCH_PARTITION}={batch_id}"
     try:
         decoded = decode_documents(docs, layout, persist_parsed=True, strict=strict)
         for element, spec in tables.items():
@@ -177,16 +186,16 @@ def run_document_etl(docs: DataFrame, layout: DocumentLayout, tables: Mapping[st
             out = stringify_frame(conform_to_schema(decoded[element], spec))
             counted, obs = observed(out, f"{spec.name}_rows")
             has_id = any(f.name.upper() == ROW_ID for f in spec.fields)
-            W.write_raw(counted if has_id else dedup(counted), f"{raw}/{spec.name}", stringify=False, batch_id=batch_id)
+            W.write_raw(counted if has_id else dedup(counted), f"{raw}/{spec.name}", stringify=False, load_id=load_id)
             counts[spec.name] = observed_rows(obs)
             # the CSV is exported from the written table (lineage cut, no cache)
-            W.export_csv(docs.sparkSession.read.parquet(f"{raw}/{spec.name}{own}"), export_base, spec.name, ts,
-                         distinct=False, batch_id=batch_id)
-        W.archive_json(docs.select(F.col("payload").alias("interfaceValue")), export_base, archive_name, ts, batch_id)
+            W.export_csv(docs.sparkSession.read.parquet(W.raw_part(f"{raw}/{spec.name}", load_id)), export_base, spec.name, ts,
+                         distinct=False, load_id=load_id)
+        W.archive_json(docs.select(F.col("payload").alias("interfaceValue")), export_base, archive_name, ts, load_id)
         xml = docs.select("doc_key", strip_prefixes(decode_base64_text("payload")).alias("xml"))
-        W.archive_xml(xml, export_base, layout.sub_element, load=W.load_key(ts) if batch_id is None else f"batch_{batch_id}")
-        bad, bad_rows = observed(rejected_documents(docs, layout), f"{archive_name}_rejects")
-        W.write_raw(bad, f"{raw}/{archive_name}_REJECTS", stringify=False, batch_id=batch_id)
+        W.archive_xml(xml, export_base, layout.sub_element, load=load_id or W.load_key(ts))
+        bad, bad_rows = observed(rejected_rows(decoded["__parsed"]), f"{archive_name}_rejects")
+        W.write_raw(bad, f"{raw}/{archive_name}_REJECTS", stringify=False, load_id=load_id)
         counts["__rejected"] = observed_rows(bad_rows)
     finally:
         if "__parsed" in decoded:
@@ -200,12 +209,15 @@ def stream_document_etl(spark: SparkSession, landing: str, checkpoint: str, layo
                         glob: str = "*.xml", max_files_per_trigger: int | None = None, **options) -> int:
     """K12 + C6: every XML file not yet consumed goes through the document ETL,
     one micro-batch at a time; returns the number of files read.  RAW holds one
-    partition per batch, so batches add up, and a batch that is run again after
-    a crash replaces what it wrote."""
-    from ..streaming.landing import stream_documents
+    partition per batch, named by the stream (the id that its checkpoint keeps)
+    and the batch: batches add up, those of other streams and of API loads into
+    the same RAW too, and a batch that is run again after a crash replaces what
+    it wrote."""
+    from ..streaming.landing import query_id, stream_documents
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        run_document_etl(batch, layout, tables, raw_base, export_base, archive_name, batch_id=batch_id)
+        run_document_etl(batch, layout, tables, raw_base, export_base, archive_name,
+                         load_id=f"{query_id(spark, checkpoint)}-{batch_id}")
 
     return stream_documents(spark, landing, checkpoint, handle, glob, max_files_per_trigger=max_files_per_trigger, **options)
 
@@ -213,11 +225,18 @@ def stream_document_etl(spark: SparkSession, landing: str, checkpoint: str, layo
 # --- C7: publish the common data model ------------------------------------------
 
 def publish_models(sources: Mapping[tuple[str, str], DataFrame], target: str, path: str,
-                   org_codes: Mapping[str, str]) -> None:
+                   org_codes: Mapping[str, str]) -> int:
     """C7, idempotent and incremental: the mapped rows replace the partitions of
     their (Domain, origin, survey month); other months stay, so a publish may
     carry the whole model or only the months that changed.
 
+    Every partition has a digest of the rows last published to it, whatever
+    their order, kept beside the model (``<path>_digests``).  One pass over the
+    mapped rows computes the new ones; only partitions whose digest moved are
+    written, and their number is returned: a repeated publish writes nothing.  A
+    partition's digest is withdrawn before it is written, so a publish that
+    fails half-way is made good by the next one.
+
     Rows without a month belong to no month that could be replaced.  They are
     merged with those published before: a row (all columns) is then held as
     often as it was, or as often as the publish brings it, whichever is more --
@@ -232,21 +251,79 @@ def publish_models(sources: Mapping[tuple[str, str], DataFrame], target: str, pa
         month = F.coalesce(F.try_to_date(F.substring(p, 1, 10), "yyyy-MM-dd"), F.try_to_date(p, "yyyyMM"))
     out = out.withColumn("survey_month", F.trunc(month, "MM"))
     keys = ["Domain", "origin", "survey_month"]
-    undated = out.where(F.col("survey_month").isNull())
+    held = _readable(spark, path, out.schema)
+    digests = f"{path.rstrip('/')}_digests"
+    schema = "Domain string, origin string, survey_month date, digest string, version long"
+    known = _readable(spark, digests, schema) if held is not None else None
+    if known is None:
+        known = spark.createDataFrame([], schema)
+    hashed = F.xxhash64(F.lit(0), *_exact(out))
+    digest = F.concat_ws(":", F.count("*").cast("string"), F.sum(hashed.cast("decimal(38,0)")).cast("string"),
+                         F.sum(F.xxhash64(hashed).cast("decimal(38,0)")).cast("string"))
+    # a row for each domain, origin and month: bounded by the months there are
+    now = out.groupBy(*keys).agg(digest.alias("digest"))
+    last = known.groupBy(*keys).agg(F.max_by("digest", "version").alias("last"))
+    same = [now[k].eqNullSafe(last[k]) for k in keys]
+    moved = now.join(last, same, "left").where(~F.col("digest").eqNullSafe(F.col("last"))).select(*[now[k] for k in keys], "digest")
+    aside = scratch_path(spark, "publish-moved")
+    moved.write.mode("overwrite").parquet(aside)
+    moved = spark.read.schema(moved.schema).parquet(aside)
+    n, undated_moved = moved.agg(F.count("*"), F.count_if(F.col("survey_month").isNull())).first()
+    if not n:
+        return 0
+    version = (known.agg(F.max("version")).first()[0] or 0) + 1
+    stamp = lambda d, v: (moved.withColumn("digest", d).withColumn("version", F.lit(v).cast("long"))
+                          .coalesce(1).write.mode("append").parquet(digests))
+    stamp(F.lit(None).cast("string"), version)
+    # 12 x 9,999 months of each domain and origin at most: may be sent to every task
+    rows = out.where(F.col("survey_month").isNotNull()).join(F.broadcast(moved.select(*keys)), keys, "left_semi")
+    if undated_moved:
+        undated = out.where(F.col("survey_month").isNull()).join(
+            F.broadcast(moved.where(F.col("survey_month").isNull()).select("Domain", "origin")), ["Domain", "origin"], "left_semi")
+        if held is not None:
+            undated = _at_least(undated, held.where(F.col("survey_month").isNull()).join(
+                F.broadcast(moved.where(F.col("survey_month").isNull()).select("Domain", "origin")), ["Domain", "origin"], "left_semi")
+                .select(*out.columns))
+            # written aside first: the partitions it comes from are about to be replaced
+            aside = scratch_path(spark, "publish-undated")
+            undated.write.mode("overwrite").parquet(aside)
+            undated = spark.read.schema(out.schema).parquet(aside)
+        rows = rows.unionByName(undated)
+    W.replace_partitions(rows, path, *keys)
+    stamp(F.col("digest"), version + 1)
+    return n
+
+
+def _readable(spark: SparkSession, path: str, schema) -> DataFrame | None:
     try:
-        held = spark.read.schema(out.schema).parquet(path).where(F.col("survey_month").isNull())
-        names = [f"`{c}`" for c in out.columns]
-        count = lambda df: df.groupBy(*names).agg(F.count("*").alias("__n"))
-        merged = (count(undated).unionByName(count(held)).groupBy(*names).agg(F.max("__n").alias("__n"))
-                  .withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n", "__i"))
-        # written aside first: the partitions it comes from are about to be replaced
-        aside = scratch_path(spark, "publish-undated")
-        merged.write.mode("overwrite").parquet(aside)
-        undated = spark.read.schema(out.schema).parquet(aside)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if not is_missing_path(e):
             raise
-    W.replace_partitions(out.where(F.col("survey_month").isNotNull()).unionByName(undated), path, *keys)
+        return None
+
+
+def _exact(df: DataFrame) -> list:
+    """What a row's hash is taken of: its columns, and which of them are null (a
+    null is skipped by the hash)."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return [*cols, *(c.isNull() for c in cols)]
+
+
+def _at_least(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Every row of either frame, as often as in that which holds it more often.
+    Rows meet by 128 bits of hash, counted before the shuffle."""
+    names = a.columns
+
+    def count(df: DataFrame, side: str) -> DataFrame:
+        exact = _exact(df)
+        return df.select(F.xxhash64(F.lit(0), *exact).alias("h"), F.xxhash64(F.lit(1), *exact).alias("g"),
+                         F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.lit(side).alias("side"))
+
+    both = count(a, "a").unionByName(count(b, "b"))
+    n = lambda side: F.count_if(F.col("side") == side)
+    counted = both.groupBy("h", "g").agg(F.first("row").alias("row"), F.greatest(n("a"), n("b")).alias("n"))
+    return counted.select("row", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("row.*")
 
 
 # --- C5 over a domain: the config-driven loop -------------------------------------
@@ -260,22 +337,33 @@ def process_domain(spark: SparkSession, config: DataFrame, domain: str, base: st
     schema documents are ``<schema_dir>/<table>.input.schema``.
 
     The loop runs over configuration rows (one per table: a bounded
-    ``collect``); each table's load is distributed.  One load time is taken
-    per table, as in the source system.
+    ``collect``); each table's load is distributed.  Without a ``load_ts`` the
+    domain's run, with its one load time and the tables it has done, is kept in the state
+    table ``<base>/log_runs``: after a crash the next call goes on with the
+    unfinished table, under the time the run began with, and returns what it
+    loaded itself.
     """
     from ..schema import load_schema
     from ..sources.config import load_config
     rows = load_config(config, domain).select("TABLA", "DATASET_STAGE", "DATASET_DESTINO").collect()
     b = base.rstrip("/")
+    runs = f"{b}/log_runs"
+    run = begin_run(spark, runs, domain) if load_ts is None else Run(domain, load_ts, frozenset())
     out = []
     for r in rows:
+        if r["TABLA"] in run.done:
+            continue
         dest, raw, sql = r["TABLA"].split(";")[:3]
         stage, target = f"{b}/{r['DATASET_STAGE']}", f"{b}/{r['DATASET_DESTINO']}"
         cfg = TableConfig(dest, f"{stage}/{raw}", f"{stage}/{sql}",
                           load_schema(spark, f"{schema_dir.rstrip('/')}/{raw}.input.schema"),
                           load_schema(spark, f"{schema_dir.rstrip('/')}/{sql}.input.schema"),
                           f"{target}/{dest}", f"{target}/{dest}_HISTORY", f"{b}/export", f"{b}/log", domain)
-        out.append(process_table(spark, cfg, user, load_ts or load_timestamp(), strict, export_snapshots))
+        out.append(process_table(spark, cfg, user, run.load_ts, strict, export_snapshots))
+        if load_ts is None:
+            finish_step(spark, runs, run, r["TABLA"])
+    if load_ts is None:
+        end_run(spark, runs, run)
     return out
 
 
@@ -293,17 +381,36 @@ def ingest_workbooks(spark: SparkSession, folders: Mapping[str, str], raw_base:
 def run_api_documents(spark: SparkSession, landing: str, layout: DocumentLayout,
                       tables: Mapping[str, SchemaDocument], raw_base: str, export_base: str,
                       state_path: str, source: str, defaults: Mapping[str, str] | None = None,
-                      today: dt.date | None = None, multi_line: bool = True) -> dict[str, int]:
+                      today: dt.date | None = None, multi_line: bool = True, glob: str = "*.json") -> dict[str, int]:
     """C8 + C6 + C9 + K13 ("api" load): the request window comes from the
-    saved cursor (or ``defaults``); the API responses landed under ``landing``
-    with ``start <= modification time < end`` are decoded and loaded RAW; on
-    success the cursor moves to the window's end and is saved, so the next
-    window starts there: no file is between two windows or in both."""
-    from ..sources.documents import read_envelope
-    from .incremental import advance_watermark, load_watermark, request_window, save_watermark
-    cfg = {**(defaults or {}), **load_watermark(spark, state_path, source)}
-    w = request_window(cfg, today)
-    docs = read_envelope(spark, landing, multi_line=multi_line, modified_from=w.start, modified_until=w.end)
-    counts = run_document_etl(docs, layout, tables, raw_base, export_base, source)
-    save_watermark(spark, state_path, source, advance_watermark(cfg, w, today))
+    saved cursor (or ``defaults``).  The API responses landed under ``landing``
+    before the window's end, and not before the first window's start, that no
+    load has consumed yet are decoded and loaded RAW: also a file that came, or
+    was stamped, later than the window it belongs to.  A file with another
+    length or time is another file.
+
+    RAW has one partition per load (``<source>-<number>``), beside those of
+    other loads.  Without new files nothing is written and the cursor stays;
+    the counts are empty.  Broken responses and documents are in the reject
+    table before anything moves.  Then the files are entered into the ledger
+    beside the state table, and the cursor moves to the window's end.  A run
+    that fails anywhere is taken up by the next one under the same number.
+    """
+    from ..sources.documents import landed_files, literal_path, read_envelope
+    from . import incremental as I
+    cfg = {**(defaults or {}), **I.load_watermark(spark, state_path, source)}
+    w = I.request_window(cfg, today)
+    cfg.setdefault(I.FLOOR_KEY, w.start.isoformat())
+    ledger = f"{state_path.rstrip('/')}_files"
+    files = I.new_files(spark, landed_files(spark, landing, glob), ledger, source,
+                        dt.datetime.fromisoformat(cfg[I.FLOOR_KEY]), w.end)
+    # the names of one load's new files: what Spark's own file listing holds on the driver too
+    found = files.collect()
+    if not found:
+        return {}
+    number = I.next_load(spark, ledger, source)
+    docs = read_envelope(spark, [literal_path(r["path"]) for r in found], multi_line=multi_line)
+    counts = run_document_etl(docs, layout, tables, raw_base, export_base, source, load_id=f"{source}-{number}")
+    I.enter_files(spark.createDataFrame(found, "path string, length long, modified long"), ledger, source, number)
+    I.save_watermark(spark, state_path, source, I.advance_watermark(cfg, w, today))
     return counts

@@ -49,7 +49,7 @@ def q_stream_documents(spark, sf_dir):
                                   max_files_per_trigger=math.ceil(files / 3))
     raw = spark.read.parquet(f"{base}/raw/{HEADER_SPEC.name}")
     ids = raw.groupBy("UUID").agg(F.count("*").alias("n"))
-    batches = raw.agg(F.countDistinct(W.BATCH_PARTITION).cast("int").alias("batches"))
+    batches = raw.agg(F.countDistinct(W.LOAD_ID_PARTITION).cast("int").alias("batches"))
     return (raw.join(ids, "UUID").crossJoin(F.broadcast(batches))   # one row
             .select(*_HEADER_COLUMNS, (F.col("n") == 1).alias("own_id"), "batches"))
 

@@ -21,7 +21,7 @@ from ..sources.config import LOG_COLUMNS
 
 MONTH_PARTITION = "month_key"
 LOAD_PARTITION = "load_key"
-BATCH_PARTITION = "batch_id"
+LOAD_ID_PARTITION = "load_id"   # one document load of a RAW table
 EVERY_LOAD = "all"   # load key of rows that any later load of their month replaces
 
 
@@ -38,17 +38,21 @@ def replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
      .partitionBy(*columns).parquet(path))
 
 
-def write_raw(df: DataFrame, path: str, stringify: bool = True, batch_id: int | None = None) -> None:
+def write_raw(df: DataFrame, path: str, stringify: bool = True, load_id: str | None = None) -> None:
     """K1: truncate-and-load a RAW table, every column text ('None' -> NULL).
 
-    With a ``batch_id`` only that batch's partition is replaced, so the batches
-    of one streaming load add up and a retried one counts once."""
+    With a ``load_id`` only that load's partition is replaced: the loads of one
+    RAW table (batches of any number of landing streams, API runs) add up, and
+    a retried one counts once.  A RAW table is either truncated by each load or
+    held by load ids; whoever consumes it drops the loads it has processed."""
     out = stringify_frame(df) if stringify else df.select(
         *[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    if batch_id is None:
-        out.write.mode("overwrite").parquet(path)
-    else:
-        out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_PARTITION}={batch_id}")
+    out.write.mode("overwrite").parquet(raw_part(path, load_id))
+
+
+def raw_part(path: str, load_id: str | None = None) -> str:
+    """Where one load of a RAW table lies."""
+    return path if load_id is None else f"{path.rstrip('/')}/{LOAD_ID_PARTITION}={load_id}"
 
 
 def export_current(df: DataFrame, base: str, name: str) -> str:
@@ -126,23 +130,24 @@ def log_load(spark: SparkSession, path: str, domain: str, table: str, process_ty
     df.coalesce(1).write.mode("append").parquet(path)
 
 
-def _stamped(name: str, ts: dt.datetime | None, batch_id: int | None) -> str:
-    return f"{name}-{snapshot_stamp(ts)}" + ("" if batch_id is None else f"-{batch_id}")
+def _stamped(name: str, ts: dt.datetime | None, load_id: str | None) -> str:
+    """A load with an id has one folder, whenever it is run (again)."""
+    return f"{name}-{load_id or snapshot_stamp(ts)}"
 
 
 def export_csv(df: DataFrame, base: str, name: str, ts: dt.datetime | None = None,
-               distinct: bool = True, batch_id: int | None = None) -> str:
+               distinct: bool = True, load_id: str | None = None) -> str:
     """K9: de-duplicated CSV export with a stamped folder name
     (``distinct=False`` when the caller already de-duplicated)."""
-    path = f"{base.rstrip('/')}/CSV/{name}/{_stamped(name, ts, batch_id)}"
+    path = f"{base.rstrip('/')}/CSV/{name}/{_stamped(name, ts, load_id)}"
     (df.dropDuplicates() if distinct else df).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
 def archive_json(df: DataFrame, base: str, name: str, ts: dt.datetime | None = None,
-                 batch_id: int | None = None) -> str:
+                 load_id: str | None = None) -> str:
     """Archive the original payload rows as JSON lines."""
-    path = f"{base.rstrip('/')}/JSON/{name}/{_stamped(name, ts, batch_id)}"
+    path = f"{base.rstrip('/')}/JSON/{name}/{_stamped(name, ts, load_id)}"
     df.write.mode("overwrite").json(path)
     return path
 

@@ -87,6 +87,11 @@ class _RowCount(StreamingQueryListener):
         return sum(n for (r, _), n in self.rows.items() if r == run)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id a streaming query keeps over all its runs, from its checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def stream_documents(spark: SparkSession, landing: str, checkpoint: str,
                      handle: Callable[[DataFrame, int], None], glob: str = "*.xml",
                      clean_source: str = "off", archive_dir: str | None = None,
