@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from surveylake.session import scratch_path
 
@@ -20,6 +21,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """Each name, with as many underscores added as no column has it yet."""
+    have, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        have.add(name.lower())
+        out.append(name)
+    return out
+
+
+def packed_row(df: DataFrame) -> Column:
+    """All columns as one struct, out of the way of an operator's own names."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns))
+
+
+def unpacked(row: str, df: DataFrame) -> list[Column]:
+    """The columns of ``df`` out of its ``packed_row``."""
+    return [F.col(row).getField(c).alias(c) for c in df.columns]
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the session's shared checkpoint folder and
     read it back: the lineage is cut and a lost executor costs a re-read."""
@@ -45,6 +67,20 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
     return df.mapInArrow(run, schema)
 
 
+def blocks_of(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """(begin, end) of rows that hold up to ``most`` bytes of text together (a
+    longer text is alone)."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    begin, held = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > begin and held + n > most:
+            yield begin, i
+            begin, held = i, 0
+        held += n
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
 #: Latin-1 letters, then a full stop or comma or not.
 PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?$"
 

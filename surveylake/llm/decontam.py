@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, map_batches, materialise, release
+from .common import LOWER, UPPER, map_batches, materialise, packed_row, release, unpacked
 
 WINDOW, GRAM = 10, 5
 #: Words are runs of anything but ASCII other than digits and letters, A-Z lower-cased.
@@ -247,8 +247,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 def uncontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
                    gram: int = GRAM) -> DataFrame:
-    """The rows of ``docs`` in which no window of an item occurs, all columns;
-    rows with a null text stay."""
+    """The rows of ``docs`` in which no window of an item occurs, all columns,
+    whatever their names; rows with a null text stay."""
     _, _, runs = _runs(docs, items, id_col, text_col, item_id, item_text, window, gram)
-    hit = runs.select(F.col("text_key").alias("__text_key")).distinct()
-    return docs.withColumn("__text_key", text_key(text_col)).join(hit, "__text_key", "left_anti").select(*docs.columns)
+    hit = runs.select("text_key").distinct()
+    keyed = docs.select(packed_row(docs).alias("row"), text_key(text_col).alias("text_key"))
+    return keyed.join(hit, "text_key", "left_anti").select(*unpacked("row", docs))

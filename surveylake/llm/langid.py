@@ -1,39 +1,36 @@
 """Language identification: whole words first, shorter character n-grams for
 words never learned.
 
-A word is a letter followed by letters and marks, lower-cased.  A word known to
-the model scores its log frequency per language; an unknown one falls back to
-its 4-grams, then 3-, 2- and 1-grams (edges marked by ``_``), at the first
-length of which any gram is known, by their mean log frequency.  Counts are
-taken over all learning texts; what the model keeps is set by a share of the
-language-balanced frequency, so its size is bounded by ``1 / share`` whatever
-the input.
+A word is a letter followed by letters and marks, lower-cased.  A word that was
+learned, however rare, scores its log frequency per language; an unknown one
+falls back to its 4-grams, then 3-, 2- and 1-grams (edges marked by ``_``), at
+the first length of which any gram was learned, by their mean log frequency.
+
+Texts are read once.  Each block of documents leaves its distinct words, which
+count towards the frequencies and are looked up by a join: no model is held
+anywhere, and nothing that was learned is cut off.
 """
 
 from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import PLAIN, chunked, map_batches, materialise, release, strings
+from .common import PLAIN, blocks_of, chunked, map_batches, materialise, packed_row, release, strings, unpacked
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _WORD_OR_END = regex.compile(WORD.pattern + r"|\n")
 UNKNOWN = "und"
 ORDERS = (4, 3, 2, 1)
-#: A word (gram) is kept if its mean share over the languages is at least this.
-WORD_SHARE, GRAM_SHARE = 1 / 200_000, 1 / 50_000
 BACKGROUND = 0.01  # weight of the mean over all languages in each language's share
-_MEMO, _SLICE = 200_000, 256  # unknown words looked up; texts taken at a time
 
 
 def words_of_each(chunks: pa.Array) -> tuple[np.ndarray, pa.Array, list[list[str]]]:
@@ -56,32 +53,93 @@ def grams_of(word: str, n: int) -> list[str]:
     return [padded[i:i + n] for i in range(len(padded) - n + 1)]
 
 
-def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, word, n) over all texts, counted in each batch before the shuffle."""
+def _words_of_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(index of every word among the distinct ones, where each text's words
+    begin and the last one's end, the distinct words)."""
+    each, distinct, cuts = chunked(texts)
+    is_plain, plain, rest = words_of_each(distinct)
+    # the words of every distinct chunk, one after another
+    counts = np.ones(len(distinct), np.int64)
+    counts[~is_plain] = np.fromiter(map(len, rest), np.int64, len(rest))
+    ends = np.cumsum(counts)
+    coded = pa.concat_arrays([plain, pa.array(itertools.chain.from_iterable(rest), pa.string())]).dictionary_encode()
+    of, words = coded.indices.to_numpy(), strings(coded.dictionary)
+    found = np.empty(int(counts.sum()), np.int64)
+    single = np.repeat(is_plain, counts)
+    found[single], found[~single] = of[:len(plain)], of[len(plain):]
+    # and of every chunk that there is
+    sizes = counts[each]
+    upto = np.concatenate([[0], np.cumsum(sizes)])
+    begins = (ends - counts)[each]
+    flat = found[np.arange(upto[-1]) + np.repeat(begins - upto[:-1], sizes)]
+    return flat, upto[cuts], words
+
+
+_ROWS = [("words", pa.binary()), ("n_distinct", pa.int64()), ("n_words", pa.int64())]
+_WORDS = [("place", pa.int64()), ("word", pa.string()), ("langs", pa.list_(pa.string())), ("ns", pa.list_(pa.int64()))]
+
+
+def _block(texts: pa.Array, langs: list[str | None]) -> tuple[list[list], list[list]]:
+    """Columns of the block's documents (packed places and counts of their
+    distinct words, how many these are, how many words) and of its distinct
+    words (place, word, learned counts by language); a language of None is not
+    learned from."""
+    flat, bounds, words = _words_of_texts(texts)
+    columns: list[list] = [[] for _ in _ROWS]
+    for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+        own, often = np.unique(flat[a:b], return_counts=True)
+        raw = np.diff(own, prepend=0).astype("<u4").tobytes() + often.astype("<u4").tobytes()
+        for column, value in zip(columns, (pa.compress(raw, "zstd", asbytes=True) if raw else b"", len(own), b - a)):
+            column.append(value)
+    learned: list[list[str]] = [[] for _ in words]
+    ns: list[list[int]] = [[] for _ in words]
+    for lang in sorted({x for x in langs if x is not None}):
+        mine = np.concatenate([flat[a:b] for a, b, x in zip(bounds, bounds[1:], langs) if x == lang])
+        n = np.bincount(mine, minlength=len(words))
+        for w in np.flatnonzero(n).tolist():
+            learned[w].append(lang)
+            ns[w].append(int(n[w]))
+    return columns, [list(range(len(words))), words, learned, ns]
+
+
+def _blocks(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """One row per document (word null) and one per block and distinct word."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+    names = ["block", "id", "learn", *(n for n, _ in _ROWS + _WORDS)]
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, words, ns = [], [], []
-        for lang in batch.column(0).unique().to_pylist():
-            texts, counts = batch.column(1).filter(pc.equal(batch.column(0), lang)), {}
-            for at in range(0, len(texts), 4 * _SLICE):
-                each, distinct, _ = chunked(texts.slice(at, 4 * _SLICE))
-                n = np.bincount(each, minlength=len(distinct))
-                is_plain, plain, rest = words_of_each(distinct)
-                coded = plain.dictionary_encode()
-                sums = np.bincount(coded.indices.to_numpy(), n[is_plain], len(coded.dictionary)).astype(np.int64)
-                for word, k in zip(strings(coded.dictionary), sums.tolist()):
-                    counts[word] = counts.get(word, 0) + k
-                for found, k in zip(rest, n[~is_plain].tolist()):
-                    for word in found:
-                        counts[word] = counts.get(word, 0) + k
-            langs += [lang] * len(counts)
-            words += counts.keys()
-            ns += counts.values()
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string()),
-                                           pa.array(ns, pa.int64())], ["lang", "word", "n"])
-
-    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).dropna()
-    return map_batches(rows, run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for begin, end in blocks_of(batch.column(2)):
+                ids, learned, texts, langs = (batch.column(c).slice(begin, end - begin) for c in range(4))
+                known = pc.if_else(pc.and_(learned, texts.is_valid()), langs, pa.scalar(None, pa.string()))
+                rows, words = _block(texts, known.to_pylist())
+                n, m = len(ids), len(words[0])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, block)), ids, learned, *(pa.array(c, t) for c, (_, t) in zip(rows, _ROWS)),
+                     *(pa.nulls(n, t) for _, t in _WORDS)], names)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(m, block)), pa.nulls(m, ids.type), pa.nulls(m, pa.bool_()),
+                     *(pa.nulls(m, t) for _, t in _ROWS), *(pa.array(c, t) for c, (_, t) in zip(words, _WORDS))], names)
+                block += 1
+            release()
+
+    text = F.when(F.is_valid_utf8(F.col(text_col)), F.col(text_col))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(learn, F.lit(False)).alias("learn"), text.alias("text"),
+                       F.col(lang_col).cast("string").alias("lang"))
+    return rows.mapInArrow(
+        run, f"block long, id {id_type}, learn boolean, words binary, n_distinct long, n_words long, place long, word string, "
+             "langs array<string>, ns array<bigint>")
+
+
+def _learned(found: DataFrame) -> DataFrame:
+    rows = found.filter("word IS NOT NULL").select("word", F.explode(F.arrays_zip("langs", "ns")).alias("x"))
+    return rows.groupBy(F.col("x.langs").alias("lang"), "word").agg(F.sum("x.ns").alias("n"))
+
+
+def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, word, n) over all texts with a language, counted in each block before the shuffle."""
+    return _learned(_blocks(docs, F.lit(True), lang_col, text_col, lang_col))
 
 
 def gram_counts(words: DataFrame) -> DataFrame:
@@ -104,147 +162,87 @@ def gram_counts(words: DataFrame) -> DataFrame:
             .groupBy("lang", "word", "order").agg(F.sum("n").alias("n")))
 
 
-@dataclass
-class Model:
-    langs: list[str] = field(default_factory=list)
-    #: by order (0: whole words), text -> row of ``logs``
-    rows: dict[int, dict[str, int]] = field(default_factory=lambda: {order: {} for order in (0, *ORDERS)})
-    logs: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
+def log_shares(counts: DataFrame, langs: list[str]) -> DataFrame:
+    """(order, word, logs): of every word (order 0) and gram, the log of its
+    share in each language, mixed with a little of the mean over languages."""
+    totals = counts.groupBy("lang", "order").agg(F.sum("n").alias("total"))  # five rows a language
+    shares = counts.join(F.broadcast(totals), ["lang", "order"]).groupBy("order", "word").agg(
+        F.map_from_entries(F.collect_list(F.struct("lang", F.col("n") / F.col("total")))).alias("by_lang"))
+    shares = shares.select("order", "word", F.array(*(F.coalesce(F.col("by_lang")[x], F.lit(0.0)) for x in langs)).alias("shares"))
+    mean = F.aggregate("shares", F.lit(0.0), lambda a, x: a + x) / len(langs)
+    return shares.withColumn("mean", mean).select("order", "word", F.transform(
+        "shares", lambda x: F.log((1 - BACKGROUND) * x + BACKGROUND * F.col("mean"))).alias("logs"))
 
-    def gram_rows(self, word: str) -> list[int]:
-        """Rows of the known grams of an unknown word, at the first length of
-        which any is known."""
-        for order in ORDERS:
-            known = self.rows[order]
-            if rows := [known[g] for g in grams_of(word, order) if g in known]:
-                return rows
-        return []
 
+def _by_grams(words: DataFrame, logs: DataFrame, n_langs: int) -> DataFrame:
+    """(word, logs) of words never learned, from the longest grams of which any
+    was; words without such a gram are left out."""
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", word_share: float = WORD_SHARE,
-          gram_share: float = GRAM_SHARE) -> Model:
-    """Learn from every row with a text and a language.
-
-    The counts stay in Spark and grow with the input.  The driver gets the
-    entries whose language-balanced share reaches the threshold: shares add up
-    to one, so at most 1 / word_share words and 1 / gram_share grams of each
-    order, with a count per language.
-    """
-    words = materialise(word_counts(docs, text_col, lang_col), "langid-words")
-    model = Model()
-    found = words.select("lang", "word", F.lit(0).alias("order"), "n").unionByName(gram_counts(words))
-    found = materialise(found, "langid-counts")
-    totals = found.groupBy("lang", "order").agg(F.sum("n").alias("total"))  # five rows a language
-    model.langs = sorted({r.lang for r in totals.select("lang").distinct().collect()})
-    if not model.langs:
-        return model
-    share = F.col("n") / F.col("total")
-    kept = (found.join(F.broadcast(totals), ["lang", "order"]).withColumn("share", share)
-            .groupBy("order", "word")
-            .agg((F.sum("share") / len(model.langs)).alias("mean"),
-                 F.map_from_entries(F.collect_list(F.struct("lang", "share"))).alias("by_lang"))
-            .filter(F.col("mean") >= F.when(F.col("order") == 0, word_share).otherwise(gram_share))
-            .select("order", "word", "mean",
-                    F.array(*(F.coalesce(F.col("by_lang")[x], F.lit(0.0)) for x in model.langs)).alias("shares"))
-            .toArrow())
-    shares = kept.column("shares").combine_chunks().flatten().to_numpy().reshape(-1, len(model.langs))
-    mean = kept.column("mean").to_numpy()
-    model.logs = np.log((1 - BACKGROUND) * shares + BACKGROUND * mean[:, None]).astype(np.float32)
-    for i, (order, word) in enumerate(zip(kept.column("order").to_pylist(), kept.column("word").to_pylist())):
-        model.rows[order][word] = i
-    return model
-
-
-class Scorer:
-    """Scores texts by their distinct chunks; unknown words met before are
-    looked up."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self.forget()
-
-    def forget(self) -> None:
-        # a row of log frequencies, the number of words they stand for and that of all words; row 0: no word
-        n = len(self.model.langs)
-        self.table = np.zeros((len(self.model.logs) + 2, n + 2), np.float32)
-        self.table[2:, :n], self.table[2:, n:], self.table[1, -1] = self.model.logs, 1, 1  # row 1: a word of no language
-        self.used = len(self.table)
-        self.words = {w: r + 2 for w, r in self.model.rows[0].items()}
-
-    def _add(self, rows: np.ndarray) -> range:
-        if self.used + len(rows) > len(self.table):
-            grown = np.zeros((2 * (self.used + len(rows)), self.table.shape[1]), np.float32)
-            grown[:self.used] = self.table[:self.used]
-            self.table = grown
-        added = range(self.used, self.used + len(rows))
-        self.table[added.start:added.stop] = rows
-        self.used = added.stop
-        return added
-
-    def _sums(self, groups: list[list[int]]) -> np.ndarray:
-        """The sum of the table's rows of each (non-empty) group."""
-        flat = np.fromiter(itertools.chain.from_iterable(groups), np.int64)
-        sizes = np.fromiter(map(len, groups), np.int64, len(groups))
-        return np.add.reduceat(self.table[flat], np.cumsum(sizes) - sizes)
-
-    def _rows(self, words: list[str]) -> np.ndarray:
-        """The row of each word; unknown ones get the mean of their grams."""
-        new = {w for w in words if w not in self.words}
-        grams = {w: [r + 2 for r in rows] for w in new if (rows := self.model.gram_rows(w))}
-        self.words.update(dict.fromkeys(new, 1))
-        if grams:
-            sums = self._sums(list(grams.values()))
-            self.words.update(zip(grams, self._add(sums / sums[:, -1:])))
-        return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-
-    def _slice(self, texts: pa.Array) -> Iterator[tuple[str, float]]:
-        if len(self.words) - len(self.model.rows[0]) > _MEMO:
-            self.forget()
-        each, distinct, cuts = chunked(texts)
-        is_plain, plain, rest = words_of_each(distinct)
-        coded = plain.dictionary_encode()
-        rows = self._rows(strings(coded.dictionary))
-        of_rest = self._rows(list(itertools.chain.from_iterable(rest)))
-        sums = np.zeros((len(distinct), self.table.shape[1]), np.float32)
-        sums[is_plain] = self.table[rows[coded.indices.to_numpy()]]
-        at = np.repeat(np.flatnonzero(~is_plain), np.fromiter(map(len, rest), np.int64, len(rest)))
-        np.add.at(sums, at, self.table[of_rest])
-        # every text has a chunk, an empty one at least
-        totals = np.add.reduceat(sums.astype(np.float64)[each], cuts[:-1]) if len(texts) else ()
-        langs = self.model.langs
-        for total in totals:
-            if not total[-1] or not langs:
-                yield UNKNOWN, 0.0
-            elif not total[-2]:  # letters, but none that was ever learned: all languages alike
-                yield langs[0], 1 / len(langs)
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [(w, order, g) for w in strings(batch.column(0)) for order in ORDERS for g in grams_of(w, order)]
+        out, orders, grams = zip(*rows) if rows else ((),) * 3
+        return pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(orders, pa.int32()), pa.array(grams, pa.string())],
+                                          ["unseen", "order", "word"])
+
+    grams = map_batches(words.select("word"), run, "unseen string, order int, word string")
+    means = grams.join(logs, ["order", "word"]).groupBy("unseen", "order").agg(
+        F.array(*(F.avg(F.get("logs", F.lit(i))) for i in range(n_langs))).alias("logs"))
+    return means.groupBy(F.col("unseen").alias("word")).agg(F.max_by("logs", "order").alias("logs"))
+
+
+def classify(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
+             lang_col: str = "lang") -> DataFrame:
+    """(id, learn, lang_pred, score) of every row, learned from the rows with
+    ``learn``, a text and a language."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+    found = materialise(_blocks(docs, learn, id_col, text_col, lang_col), "langid-blocks")
+    counts = materialise(_learned(found), "langid-words")
+    langs = sorted(r.lang for r in counts.select("lang").distinct().collect())  # a row per language
+    rows = found.filter("word IS NULL").select("block", "id", "learn", "words", "n_distinct", "n_words")
+    if not langs:
+        return rows.select("id", "learn", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    every = counts.select("lang", "word", F.lit(0).alias("order"), "n").unionByName(gram_counts(counts))
+    logs = materialise(log_shares(every, langs), "langid-logs")
+    known = logs.filter("order = 0").select("word", "logs")
+    places = found.filter("word IS NOT NULL").select("block", "place", "word")
+    unseen = places.select("word").distinct().join(known, "word", "left_anti")
+    scored = materialise(known.unionByName(_by_grams(unseen, logs.filter("order > 0"), len(langs))), "langid-scores")
+    # written rows on both sides, so AQE may split a word that every block has
+    looked_up = places.join(scored, "word").select(F.col("block").alias("of"), "place", F.col("logs").cast("array<float>").alias("logs"))
+
+    def score(key, docs: pa.Table, words: pa.Table) -> pa.Table:
+        # one block: its documents and those of its distinct words that have a score
+        place = words.column("place").to_numpy()
+        most = int(docs.column("n_distinct").to_numpy().max(initial=0))
+        size = max(int(place.max(initial=-1)) + 1, most)
+        packed = docs.column("words").to_pylist()
+        parts = [np.frombuffer(pa.decompress(p, 8 * n, "zstd", asbytes=True), "<u4").astype(np.int64) if n else np.empty(0, np.int64)
+                 for p, n in zip(packed, docs.column("n_distinct").to_pylist())]
+        own = [np.cumsum(x[:len(x) // 2]) for x in parts]
+        size = max([size, *(int(x[-1]) + 1 for x in own if len(x))])
+        table = np.zeros((size, len(langs) + 1))
+        if len(place):
+            table[place, :-1] = words.column("logs").combine_chunks().flatten().to_numpy().reshape(-1, len(langs))
+            table[place, -1] = 1
+        preds, scores = [], []
+        for x, mine, n_words in zip(parts, own, docs.column("n_words").to_pylist()):
+            total = x[len(x) // 2:] @ table[mine]
+            if not n_words:
+                preds.append(UNKNOWN)
+                scores.append(0.0)
+            elif not total[-1]:  # letters, but none that was ever learned: all languages alike
+                preds.append(langs[0])
+                scores.append(1 / len(langs))
             else:
-                mean = total[:-2] / total[-2]
+                mean = total[:-1] / total[-1]
                 best = int(mean.argmax())
-                yield langs[best], float(1 / np.exp(mean - mean[best]).sum())
-
-    def __call__(self, texts: pa.Array) -> Iterator[tuple[str, float]]:
-        """(language, its posterior from the mean log frequency of a word) of each."""
-        for at in range(0, len(texts), _SLICE):
-            yield from self._slice(texts.slice(at, _SLICE))
-
-
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with __lang and __score; one pass, no shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.rows, model.logs))
-    at = docs.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = Scorer(Model(*shared.value))
-        for batch in batches:
-            found = list(score(batch.column(at)))
-            langs, scores = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                [*batch.schema.names, "__lang", "__score"])
-            release()
+                preds.append(langs[best])
+                scores.append(float(1 / np.exp(mean - mean[best]).sum()))
+        return pa.table([docs.column("id"), docs.column("learn"), pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
+                        ["id", "learn", "lang_pred", "score"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__lang", T.StringType()),
-                                              T.StructField("__score", T.DoubleType())]))
+    return rows.groupBy("block").cogroup(looked_up.groupBy("of")).applyInArrow(
+        score, f"id {id_type}, learn boolean, lang_pred string, score double")
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5):
@@ -255,21 +253,28 @@ def held_out(id_col: str = "doc_id", folds: int = 5):
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per document: (id_col, held_out, lang_pred, score).
 
-    The model learns from the documents that are not held out and have a text
-    and a language.  lang_pred is ``und`` with score 0 for a null or empty text,
-    one without a letter, or if nothing could be learned.  The order of
-    documents, repeated rows and other columns make no difference to a row's
-    prediction; ties go to the language that sorts first.
+    The frequencies are learned from the documents that are not held out and
+    have a text and a language.  score is the posterior of lang_pred from the
+    mean log frequency of a word; words of which not even a letter was learned
+    count for nothing.  lang_pred is ``und`` with score 0 for a null or empty
+    text, one without a letter or that is not valid UTF-8, or if nothing could
+    be learned.  The order of documents, repeated rows and other columns make no
+    difference to a row's prediction; ties go to the language that sorts first.
+    An empty table gives an empty one.
     """
-    model = train(docs.filter(~held_out(id_col)), text_col, lang_col)
-    rows = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
-    return predict(rows, model).select(id_col, "held_out", F.col("__lang").alias("lang_pred"),
-                                       F.col("__score").alias("score"))
+    found = classify(docs, ~held_out(id_col), id_col, text_col, lang_col)
+    return found.select(F.col("id").alias(id_col), (~F.col("learn")).alias("held_out"), "lang_pred", "score")
 
 
 def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` whose text is in a learned language, however low its
-    score; all columns.  Only what is ``und`` goes: a null or letterless text, or
-    every one if nothing could be learned."""
-    model = train(docs.filter(~held_out(id_col)), text_col, lang_col)
-    return predict(docs, model, text_col).filter(F.col("__lang") != UNKNOWN).select(*docs.columns)
+    score; all columns, whatever their names.  Only what is ``und`` goes: a null
+    or letterless text, or every one if nothing could be learned.  (A text's
+    prediction depends on the text alone, so rejected texts are looked up by
+    their hash.)"""
+    text = F.coalesce(F.md5(F.col(f"`{text_col}`")), F.lit("none"))
+    keyed = docs.select(text.alias("id"), F.col(f"`{id_col}`").alias("own"), F.col(f"`{text_col}`").alias("text"),
+                        F.col(f"`{lang_col}`").alias("lang"))
+    found = classify(keyed, ~held_out("own"), "id", "text", "lang")
+    gone = materialise(found.filter(F.col("lang_pred") == UNKNOWN).select("id").distinct(), "langid-rejected")
+    return docs.select(packed_row(docs).alias("row"), text.alias("id")).join(gone, "id", "left_anti").select(*unpacked("row", docs))

@@ -2,12 +2,18 @@
 
 Lines with a word are hashed.  Every line opens a window: the fewest lines from
 there on that hold ``min_words`` words (and closes one, going back).  The line
-with the smallest hash of a window is its fingerprint; equal windows have equal
-fingerprints, and a repeated run of ``min_words`` words or more holds at least
-one whole window, so no such run escapes.  Positions are joined on
-fingerprints that occur more than once; from these a match is extended both
-ways, by the windows that open or close in it and equal an earlier window as a
-whole.  Lines covered by such a window are deleted.
+with the smallest hash of a window is its minimum; the lines that are some
+window's minimum are the document's fingerprints, far fewer than its lines.
+Equal windows have their minimum at the same place, and a repeated run of
+``min_words`` words or more holds at least one whole window, so it has a
+fingerprint in common with the run it repeats.
+
+Fingerprints of one hash are joined, and each match is extended both ways, over
+the windows that hold it.  A hash may have any number of places, so pairs of them
+are never formed: places that agree as far as all their windows reach fold into one
+context, of which all but the first place are repeats as a whole; the windows of
+the first places of different contexts are compared by their lines' hashes.
+Windows that equal an earlier one are deleted, overlapping ones as one run.
 
 Put differently: a line with a word goes if it is part of a run of consecutive lines, of
 ``min_words`` words or more, that equals a run at an earlier place.
@@ -18,21 +24,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import fresh, materialise, packed_row, unpacked
 
 MIN_WORDS = 50
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _doc(id_col: str, text_col: str) -> list[Column]:
-    return [F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__text")]
+    return [F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("text")]
 
 
-def _windows(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """(__id, __text, first, last, content_1, content_2, print, place): every
-    window with a 128-bit hash of its lines and its fingerprint."""
-    doc = ["__id", "__text"]
-    lines = (docs.select(*_doc(id_col, text_col), F.posexplode(F.split(text_col, "\n")).alias("line", "t"))
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """(id, text, place, print, first, last, windows, context_1, context_2): a
+    row per fingerprint, with the windows it is the minimum of (their first and
+    last line counted from it, 128 bits of hash of their lines), the lines these
+    reach over, and 128 bits of hash of all of them.
+
+    One exchange, of the lines' hashes by document."""
+    doc = ["id", "text"]
+    lines = (docs.select(*_doc(id_col, text_col), F.posexplode(F.split(f"`{text_col}`", "\n")).alias("line", "t"))
              .withColumn("n", F.regexp_count("t", F.lit(WORD))).filter("n > 0")
              .select(*doc, "line", "n", F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), F.col("t")).alias("h2"))
              .dropDuplicates([*doc, "line"]))
@@ -52,31 +62,55 @@ def _windows(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Dat
         *doc,
         window(ahead, F.col("line"), F.max("line").over(ahead), F.max("end").over(ahead) - F.col("begin")).alias("a"),
         window(back, F.min("line").over(back), F.col("line"), F.col("end") - F.min("begin").over(back)).alias("b"))
-    return (both.select(*doc, F.explode(F.array("a", "b")).alias("w")).select(*doc, "w.*")
-            .filter(F.col("words") >= min_words).drop("words"))
+    windows = (both.select(*doc, F.explode(F.array("a", "b")).alias("w")).select(*doc, "w.*")
+               .filter(F.col("words") >= min_words))
+    # every line of a window has a word, so a fingerprint has at most 2 * min_words windows; its document's lines
+    # lie in one partition already
+    own = F.struct((F.col("first") - F.col("place")).alias("first"), (F.col("last") - F.col("place")).alias("last"),
+                   "content_1", "content_2")
+    grouped = windows.groupBy(*doc, "place").agg(
+        F.first("print").alias("print"), F.min("first").alias("first"), F.max("last").alias("last"),
+        F.sort_array(F.collect_set(own)).alias("windows"))
+    return grouped.select("*", F.xxhash64("windows").alias("context_1"), F.xxhash64(F.lit(1), "windows").alias("context_2"))
+
+
+def repeats(prints: DataFrame) -> DataFrame:
+    """(id, text, first, last): the lines of every window that equals one at an
+    earlier place."""
+    context = ["print", "context_1", "context_2"]
+    at = F.struct("id", "text", "place")
+    contexts = materialise(prints.groupBy(*context).agg(
+        F.min(at).alias("origin"), F.count("*").alias("places"), F.first("windows").alias("windows")), "linededup-contexts")
+    # all but the first of the places that agree as far as their windows reach (written sides: AQE may split a hot context)
+    several = contexts.filter("places > 1").select(*context, "origin")
+    copies = (prints.select(*context, "id", "text", "place", "first", "last").join(several, context)
+              .filter(~at.eqNullSafe(F.col("origin"))).select("id", "text", "first", "last"))
+    # first places of different contexts of one fingerprint: extended over each of their windows
+    shared = materialise(contexts.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print"),
+                         "linededup-shared")
+    extended = contexts.join(shared, "print", "left_semi").select("print", "origin", F.explode("windows").alias("w")).select(
+        F.col("w.content_1").alias("content_1"), F.col("w.content_2").alias("content_2"),
+        F.struct("origin.id", "origin.text", (F.col("origin.place") + F.col("w.first")).alias("first")).alias("at"),
+        (F.col("origin.place") + F.col("w.last")).alias("last"))
+    extended = materialise(extended, "linededup-extended")
+    earliest = extended.groupBy("content_1", "content_2").agg(F.min("at").alias("origin"), F.max("at").alias("latest"))
+    earliest = materialise(earliest.filter(~F.col("origin").eqNullSafe(F.col("latest"))).drop("latest"), "linededup-earliest")
+    later = (extended.join(earliest, ["content_1", "content_2"]).filter(~F.col("at").eqNullSafe(F.col("origin")))
+             .select("at.*", "last"))
+    return copies.unionByName(later)
 
 
 def repeated_runs(docs: DataFrame, id_col: str, text_col: str, min_words: int = MIN_WORDS) -> DataFrame:
-    """(__id, __text, runs array<struct<first, last>>): the line numbers to
-    delete of each document that has any, as sorted, disjoint runs."""
-    windows = materialise(_windows(docs, id_col, text_col, min_words), "linededup-windows")
-    place = F.xxhash64("__id", "__text", "place")
-    prints = windows.groupBy("print").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).filter("lo <> hi")
-    matched = windows.join(prints, "print", "left_semi").select(
-        "content_1", "content_2", "last", F.struct("__id", "__text", "first").alias("at"))
-    earliest = matched.groupBy("content_1", "content_2").agg(
-        F.min("at").alias("origin"), F.max("at").alias("latest")).filter(~F.col("origin").eqNullSafe(F.col("latest")))
-    # written, so that the join is of two plain exchanges and AQE may split a window with many places
-    earliest = materialise(earliest.drop("latest"), "linededup-earliest")
-    later = (matched.join(earliest, ["content_1", "content_2"])
-             .filter(~F.col("at").eqNullSafe(F.col("origin"))).select("at.*", "last"))
+    """(id, text, runs array<struct<first, last>>): the line numbers to delete of
+    each document that has any, as sorted, disjoint runs."""
+    later = repeats(materialise(fingerprints(docs, id_col, text_col, min_words), "linededup-prints"))
     # windows that overlap or touch make one run
-    in_doc = Window.partitionBy("__id", "__text").orderBy("first", "last")
+    in_doc = Window.partitionBy("id", "text").orderBy("first", "last")
     reach = F.max("last").over(in_doc.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.when(reach >= F.col("first") - 1, 0).otherwise(1)
     islands = (later.distinct().withColumn("opens", opens).withColumn("island", F.sum("opens").over(in_doc))
-               .groupBy("__id", "__text", "island").agg(F.min("first").alias("first"), F.max("last").alias("last")))
-    return islands.groupBy("__id", "__text").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("__runs"))
+               .groupBy("id", "text", "island").agg(F.min("first").alias("first"), F.max("last").alias("last")))
+    return islands.groupBy("id", "text").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -90,35 +124,49 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     neither count nor break a run, and go where they lie inside a window.  A run may
     overlap the earlier one it repeats (a line repeated on and on stays once).
     A null text stays null and has 0 lines, an empty one has one line; an empty
-    table gives an empty one; other columns are carried along.
+    table gives an empty one; other columns are carried along, whatever their
+    names (if one is called __lines or __deleted, the new one gets an underscore more).
     """
-    runs = repeated_runs(docs, id_col, text_col, min_words).withColumnRenamed("__id", "__rid").withColumnRenamed(
-        "__text", "__rtext")
-    found = docs.join(runs, docs[id_col].eqNullSafe(runs["__rid"]) & (F.xxhash64(docs[text_col]) == runs["__rtext"]),
-                      "left").drop("__rid", "__rtext")
-    split = found.withColumn("__all", F.split(text_col, "\n"))
+    n_lines, n_deleted = fresh(docs.columns, "__lines", "__deleted")
+    cut = _cut(docs, id_col, text_col, min_words)
+    return cut.select(
+        *(F.col("kept").alias(c) if c == text_col else x for c, x in zip(docs.columns, unpacked("row", docs))),
+        F.col("n_lines").alias(n_lines), F.col("n_deleted").alias(n_deleted))
+
+
+def _cut(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """(row, whole, kept, n_lines, n_deleted): the text before and after."""
+    runs = repeated_runs(docs, id_col, text_col, min_words).select(F.col("id").alias("own_id"), F.col("text").alias("own_text"), "runs")
+    rows = docs.select(packed_row(docs).alias("row"), *_doc(id_col, text_col))
+    found = rows.join(runs, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text") == F.col("own_text")), "left")
+    whole = F.col("row").getField(text_col)
+    split = found.select("row", "runs", whole.alias("whole"), F.split(whole, "\n").alias("all"))
 
     def gap(i: Column) -> Column:
-        begin = F.when(i == 0, 0).otherwise(F.get("__runs", i - 1)["last"] + 1)
-        end = F.when(i == F.size("__runs"), F.size("__all")).otherwise(F.get("__runs", i)["first"])
-        return F.slice("__all", begin + 1, end - begin)
+        begin = F.when(i == 0, 0).otherwise(F.get("runs", i - 1)["last"] + 1)
+        end = F.when(i == F.size("runs"), F.size("all")).otherwise(F.get("runs", i)["first"])
+        return F.slice("all", begin + 1, end - begin)
 
-    kept = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("__runs")), gap)), "\n")
-    gone = F.aggregate("__runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
+    kept = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("runs")), gap)), "\n")
+    gone = F.aggregate("runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
     return split.select(
-        *(F.when(F.col("__runs").isNull(), F.col(text_col)).otherwise(kept).alias(c) if c == text_col else F.col(c)
-          for c in docs.columns),
-        F.when(F.col(text_col).isNull(), 0).otherwise(F.size("__all")).cast("long").alias("__lines"),
-        F.coalesce(gone, F.lit(0)).cast("long").alias("__deleted"))
+        "row", "whole", F.when(F.col("runs").isNull(), F.col("whole")).otherwise(kept).alias("kept"),
+        F.when(F.col("whole").isNull(), 0).otherwise(F.size("all")).cast("long").alias("n_lines"),
+        F.coalesce(gone, F.lit(0)).cast("long").alias("n_deleted"))
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                           min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with repeated runs of lines deleted; a document of which no word
-    is left goes (it was copied from earlier ones as a whole).  All columns;
-    ``n_chars``, if there, follows the text."""
-    found = drop_repeated_lines(docs, id_col, text_col, min_words)
+                           min_words: int = MIN_WORDS, most_repeated: float = 1.0) -> DataFrame:
+    """``docs`` with repeated runs of lines deleted; a document goes that loses
+    the share ``most_repeated`` of its words or more: it was copied from earlier
+    ones, as a whole (1.0) or nearly so.  All columns; ``n_chars``, if there,
+    follows the text."""
+    words = lambda c: F.regexp_count(c, F.lit(WORD))
+    cut = _cut(docs, id_col, text_col, min_words)
+    cut = cut.filter((F.col("n_deleted") == 0) | (
+        words("whole") - words("kept") < F.lit(most_repeated) * words("whole")))
+    of = {text_col: F.col("kept")}
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.col("__deleted") > 0, F.length(text_col).cast(
-            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return found.filter((F.col("__deleted") == 0) | F.col(text_col).rlike(WORD)).select(*docs.columns)
+        own = F.col("row").getField("n_chars")
+        of["n_chars"] = F.when(F.col("n_deleted") > 0, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(own)
+    return cut.select(*(of.get(c, x).alias(c) for c, x in zip(docs.columns, unpacked("row", docs))))

@@ -55,8 +55,8 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and log-likelihood ratios of every document against those
     labelled good, and those labelled toxic."""
     labels = table(spark, sf_dir, "labels")
-    return quality.judge_apart(table(spark, sf_dir, "documents"), labels.filter("quality = 1 AND toxic = 0"),
-                               labels.filter("toxic = 1"))
+    return quality.judge(table(spark, sf_dir, "documents"), labels.filter("quality = 1 AND toxic = 0"),
+                         labels.filter("toxic = 1"))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,20 +93,20 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 RULES = [urlfilter.Rule.of(*r) for r in (
     ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
     ("com/de/", "block"))]
-#: Hosts (with their subdomains) blocked where no rule decides.
-BLOCKED = ["adult-x.example.com", "ads-track.example.com", "casino-win.example.net", "cheap-pills.example.net",
-           "free-bets.example.net", "spam-farm.example.org"]
+#: Names of which every domain is listed (name.whatever.follows), with the pages on it.
+NAMES = ["adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
 
 
 def op8_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict on every page's url: prefix rules, then the cascade of blocked hosts."""
-    listed = spark.range(1).select(F.explode(F.lit(BLOCKED)).alias("key"))
-    return urlfilter.judge(table(spark, sf_dir, "pages"), RULES, listed)
+    """Verdict on every page's url: prefix rules, then the cascade of the listed
+    domains and addresses, which come from the pages themselves."""
+    pages = table(spark, sf_dir, "pages")
+    return urlfilter.judge(pages, RULES, urlfilter.named_keys(pages, NAMES))
 
 
 def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of 50 words or more that it repeats."""
-    found = linededup.drop_repeated_lines(table(spark, sf_dir, "documents"), min_words=50)
+    found = linededup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=50)
     return found.select("doc_id", "text", F.col("__lines").alias("n_lines"), F.col("__deleted").alias("n_deleted"))
 
 
@@ -223,8 +223,11 @@ WITH u AS (
   ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
   ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'),
   ('com/de/', 'com', '/de/', 'block')
-), b(name) AS (VALUES ('adult-x.example.com'), ('ads-track.example.com'), ('casino-win.example.net'),
-  ('cheap-pills.example.net'), ('free-bets.example.net'), ('spam-farm.example.org')
+), names(name) AS (VALUES ('adult-x'), ('ads-track'), ('casino-win'), ('cheap-pills'), ('free-bets'), ('spam-farm')
+), domains AS (
+  SELECT DISTINCT array_to_string(labels[k:], '.') AS domain FROM (
+    SELECT string_split(host, '.') AS labels, unnest(range(1, len(string_split(host, '.')) + 1)) AS k FROM u WHERE host <> '')
+), b AS (SELECT domain AS name FROM domains WHERE string_split(domain, '.')[1] IN (SELECT name FROM names)
 ), best AS (
   SELECT u.*, (SELECT arg_max(struct_pack(rule := r.rule, verdict := r.verdict), length(r.rule) * 1000 + length(r.rhost))
                FROM r WHERE (u.host = r.rhost OR ends_with(u.host, '.' || r.rhost)) AND starts_with(u.path, r.rpath)) AS best

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, map_batches, materialise
+from .common import LOWER, UPPER, map_batches, materialise, packed_row, unpacked
 from .components import connected_components
 
 SEED = 42
@@ -47,15 +47,16 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(id, row_key, fp long) of every row, one pass, no shuffle; row_key is a
-    128-bit hash of id and text."""
+    128-bit hash of id and text; the id keeps its type."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = np.fromiter((fingerprint(t, shingle) for t in batch.column(2).to_pylist()), np.uint64, batch.num_rows)
         return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fps.view(np.int64))], ["id", "row_key", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), row_key(id_col, text_col).alias("row_key"),
+    of_id = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("row_key"),
                        F.col(text_col).cast("binary").alias("text"))
-    return map_batches(rows, run, "id long, row_key binary, fp long")
+    return map_batches(rows, run, f"id {of_id}, row_key binary, fp long")
 
 
 def row_key(id_col: str, text_col: str) -> Column:
@@ -153,8 +154,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     share a fingerprint and are folded before any comparison; only distinct
     fingerprints meet.  A null or wordless text has fingerprint zero and links
     like any other.  A null id stays null and is never a component_id, unless
-    its whole component has none.  Repeated ids keep their rows.  An empty table
-    gives an empty one; other columns are not read.
+    its whole component has none.  Repeated ids keep their rows; ids may be of
+    any ordered type.  An empty table gives an empty one; other columns are not
+    read.
     """
     rows = materialise(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     fps = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
@@ -172,9 +174,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     radius: int = 3) -> DataFrame:
     """The rows of ``docs`` that stay, one of each component: that with the
-    smallest id (a null id last), of rows alike in id one of them; all columns."""
+    smallest id (a null id last), of rows alike in id and text one of them; all
+    columns, whatever their names."""
     found = near_duplicates(docs, id_col, text_col, shingle, radius)
     stays = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_key")).alias("best"))
-    keyed = docs.withColumn("__row_key", row_key(id_col, text_col))
-    return (keyed.join(stays.select(F.col("best.row_key").alias("__row_key")), "__row_key", "left_semi")
-            .dropDuplicates(["__row_key"]).select(*docs.columns))
+    keyed = docs.select(packed_row(docs).alias("row"), row_key(id_col, text_col).alias("row_key"))
+    return (keyed.join(stays.select(F.col("best.row_key").alias("row_key")), "row_key", "left_semi")
+            .dropDuplicates(["row_key"]).select(*unpacked("row", docs)))

@@ -5,6 +5,10 @@ corpus's complete key universe are encoded by level 1, the listed keys which
 level 1 wrongly claims by level 2, and so on until a level makes no mistake.
 For every key of the universe the first level that misses it tells exactly
 whether it is listed, so urls are judged in the scan, without a join.
+
+A cascade is as large as an expression may carry.  More listed keys than that
+are dealt to shards by a hash of the key, each with a cascade of its own over
+its part of the universe; keys are then judged shard by shard.
 """
 
 from __future__ import annotations
@@ -17,10 +21,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER
+from surveylake.session import scratch_path
+
+from .common import LOWER, UPPER, materialise
 
-#: Bits of all levels that an expression may carry (4 MB); beyond, ``judge``
-#: looks listed keys up by a join instead.
+#: Bits of level 0 that an expression may carry (4 MB; the other levels are a few per cent more).
 MAX_BITS = 1 << 25
 FIRST_RATE, NEXT_RATE = 0.01, 0.5
 
@@ -50,14 +55,32 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def keys_of(host: Column) -> Column:
-    """A host's keys: itself and every parent domain, longest first."""
+def domains_of(host: Column) -> Column:
+    """A host and every parent domain, longest first."""
     labels = F.split(host, r"\.")
     size = F.size(labels)
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.transform(
         F.sequence(F.lit(1), size), lambda i: F.array_join(F.slice(labels, i, size - i + 1), ".")))
 
 
+def keys_of(host: Column, path: Column) -> Column:
+    """The keys a list may name a page by: its host, every parent domain, and
+    its address, ``host/path`` (a host without a path has the address ``host/``)."""
+    address = F.concat(host, F.when(path == "", "/").otherwise(path))
+    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.concat(domains_of(host), F.array(address)))
+
+
+def named_keys(pages: DataFrame, names: list[str], url_col: str = "url") -> DataFrame:
+    """(key): every domain of the pages' urls whose first label is one of
+    ``names``, whatever follows, and the address of every page below such a
+    domain.  It grows with the pages."""
+    rows = pages.select(host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path")).distinct()
+    named = F.filter(domains_of(F.col("host")), lambda d: F.substring_index(d, ".", 1).isin(names))
+    return (rows.withColumn("named", named).filter(F.size("named") > 0)
+            .select(F.explode(F.concat("named", F.slice(F.reverse(keys_of(F.col("host"), F.col("path"))), 1, 1))).alias("key"))
+            .distinct())
+
+
 @dataclass
 class Level:
     bits: int
@@ -107,8 +130,8 @@ class Cascade:
         return found
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, max_bits: int = MAX_BITS) -> Cascade | None:
-    """Cascade over (key) tables; None if it would exceed ``max_bits``.
+def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
+    """Cascade over (key) tables.
 
     Only bit words reach the driver.  Each level holds a fixed share of the one
     before, so the number of levels is logarithmic; null keys are never listed.
@@ -117,20 +140,38 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_bits: int = MAX_BI
     listed = listed.select("key").dropna().distinct()
     sides = [universe.join(listed, "key", "left_semi"), universe.join(listed, "key", "left_anti")]
     levels: list[Level] = []
-    left = max_bits
     while n := sides[len(levels) % 2].count():  # a cascade is exact only when no key is left
         turn, rate = len(levels) % 2, NEXT_RATE if levels else FIRST_RATE
-        if _size(n, rate)[0] > left:
-            universe.unpersist()
-            return None
         levels.append(_level(sides[turn], n, rate, len(levels)))
-        left -= levels[-1].bits
         # the other side's keys that this level wrongly holds come next
         sides[1 - turn] = sides[1 - turn].filter(levels[-1].holds(F.col("key")))
     universe.unpersist()
     return Cascade(levels)
 
 
+def shards_of(n_listed: int, max_bits: int = MAX_BITS) -> int:
+    """Cascades that hold so many listed keys with at most ``max_bits`` bits of
+    level 0 each, a quarter to spare for uneven shards."""
+    return max(1, math.ceil(1.25 * _size(n_listed, FIRST_RATE)[0] / max_bits)) if n_listed else 1
+
+
+def listed_keys(universe: DataFrame, listed: DataFrame, shards: int) -> DataFrame:
+    """(key) of the universe that are listed, told by a cascade for each shard.
+    Keys are written by shard, so each cascade reads its own."""
+    shard = F.pmod(F.xxhash64(F.lit(-1), F.col("key")), F.lit(shards).cast("long")).alias("shard")
+    path = scratch_path(universe.sparkSession, "urlfilter-shards")
+    sides = []
+    for name, keys in (("universe", universe), ("listed", listed)):
+        keys.select("key", shard).dropna().distinct().write.partitionBy("shard").parquet(f"{path}/{name}")
+        sides.append(universe.sparkSession.read.schema("key string, shard long").parquet(f"{path}/{name}"))
+    found = None
+    for s in range(shards):
+        own, mine = (side.filter(F.col("shard") == s).select("key") for side in sides)
+        part = own.filter(build_cascade(mine, own).holds(F.col("key")))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def best_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     """struct<rule, verdict> of the longest rule that fits (of two as long, the
     one with the longer host), or null."""
@@ -146,24 +187,26 @@ def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame, id_col: str =
           max_bits: int = MAX_BITS) -> DataFrame:
     """One row per page: (id_col, host, path, rule, verdict).
 
-    A fitting rule decides; else the page is blocked if its host or a parent
-    domain is listed (``listed``: key), else allowed.  A null url, or one
-    without ``://``, has an empty host and path, fits no rule and is allowed.
-    Repeated rows and null ids are kept; an empty table gives an empty one.
+    A fitting rule decides; else the page is blocked if its host, a parent
+    domain or its address is listed (``listed``: key), else allowed.  A null
+    url, or one without ``://``, has an empty host and path, fits no rule and is
+    allowed.  Repeated rows and null ids are kept; an empty table gives an empty
+    one.  ``max_bits`` sets how many cascades share the listed keys, and changes
+    no verdict.
     """
     rows = pages.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    hosts = rows.select("host").distinct()
-    universe = hosts.select(F.explode(keys_of(F.col("host"))).alias("key"))
-    cascade = build_cascade(listed, universe, max_bits)
-    best = best_rule(F.col("host"), F.col("path"), rules)
-    if cascade is not None:
-        hit = F.exists(keys_of(F.col("host")), cascade.holds)
-        judged = rows.withColumn("hit", hit)
-    else:  # too many listed keys to carry along
-        hits = (hosts.select("host", F.explode(keys_of(F.col("host"))).alias("key"))
-                .join(listed.select("key").dropna().distinct(), "key", "left_semi").select("host").distinct()
-                .withColumn("hit", F.lit(True)))
-        judged = rows.join(hits, "host", "left")
-    judged = judged.withColumn("best", best)
+    keys = keys_of(F.col("host"), F.col("path"))
+    universe = rows.select("host", "path").distinct().select(F.explode(keys).alias("key")).distinct()
+    listed = materialise(listed.select("key").dropna().distinct(), "urlfilter-listed")
+    shards = shards_of(listed.count(), max_bits)
+    if shards == 1:
+        judged = rows.withColumn("hit", F.exists(keys, build_cascade(listed, universe).holds))
+    else:
+        # each page asks for its keys where their cascade is
+        hit = materialise(listed_keys(universe, listed, shards), "urlfilter-hits")
+        pairs = rows.select("host", "path").distinct().select("host", "path", F.explode(keys).alias("key"))
+        blocked = materialise(pairs.join(hit, "key", "left_semi").select("host", "path").distinct(), "urlfilter-blocked")
+        judged = rows.join(blocked.withColumn("hit", F.lit(True)), ["host", "path"], "left")
+    judged = judged.withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
     return judged.select(id_col, "host", "path", "best.rule", F.coalesce(
         "best.verdict", F.when(F.col("hit"), "block").otherwise("allow")).alias("verdict"))

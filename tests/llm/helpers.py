@@ -10,7 +10,9 @@ LONG = " ".join(f"word{i % 977}" for i in range(60_000))
 def documents(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """(doc_id, text, lang) rows, with columns whose names an operator might use."""
     return spark.createDataFrame(rows, "doc_id long, text string, lang string").select(
-        "*", *(F.lit("x").alias(c) for c in ("id", "fp", "key", "score", "n_words", "line", "first", "row_key", "words")))
+        "*", *(F.lit("x").alias(c) for c in (
+            "id", "fp", "key", "score", "n_words", "line", "first", "row_key", "words", "row", "runs", "own", "learn", "__lang", "__runs",
+            "__all", "__lines", "__deleted", "__text_key", "__row_key", "__id", "__t", "__score")))
 
 
 def nasty(spark: SparkSession) -> DataFrame:

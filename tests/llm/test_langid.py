@@ -1,9 +1,10 @@
 """Language identification: held-out accuracy, backoff and odd texts."""
 
+import collections
+import random
 import zlib
 
 import numpy as np
-import pyarrow as pa
 from helpers import SF, documents, empty, nasty
 
 from surveylake.llm import langid
@@ -31,33 +32,92 @@ def test_counts_are_whole(spark):
     assert grams["x", "a", 1] == 3 and grams["x", "_a", 2] == 3 and grams["x", "_a_", 3] == 3
 
 
+def classify(spark, learned, texts):
+    """(lang, score) of each text, learned from (text, lang) pairs."""
+    rows = [(-1 - i, t, lang) for i, (t, lang) in enumerate(learned)] + [(i, t, None) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.id: (r.lang_pred, r.score) for r in langid.classify(docs, docs.doc_id < 0).collect()}
+    return [found[i] for i in range(len(texts))]
+
+
+def plain_classify(learned, texts):
+    """The same by plain Python: every learned word and gram."""
+    langs = sorted({x for _, x in learned})
+    counts = {order: collections.defaultdict(collections.Counter) for order in (0, 4, 3, 2, 1)}
+    for text, lang in learned:
+        for w in langid.WORD.findall(text.lower()):
+            counts[0][w][lang] += 1
+            for order in langid.ORDERS:
+                for g in langid.grams_of(w, order):
+                    counts[order][g][lang] += 1
+    totals = {o: {x: sum(c[x] for c in counts[o].values()) for x in langs} for o in counts}
+
+    def logs(order, w):
+        shares = np.array([counts[order][w][x] / totals[order][x] if totals[order][x] else 0.0 for x in langs])
+        return np.log((1 - langid.BACKGROUND) * shares + langid.BACKGROUND * shares.mean())
+
+    out = []
+    for text in texts:
+        words, found = langid.WORD.findall((text or "").lower()), []
+        for w in words:
+            if w in counts[0]:
+                found.append(logs(0, w))
+                continue
+            for order in langid.ORDERS:
+                known = [g for g in langid.grams_of(w, order) if g in counts[order]]
+                if known:
+                    found.append(np.mean([logs(order, g) for g in known], axis=0))
+                    break
+        if not words:
+            out.append(("und", 0.0))
+        elif not found:
+            out.append((langs[0], 1 / len(langs)))
+        else:
+            mean = np.mean(found, axis=0)
+            best = int(mean.argmax())
+            out.append((langs[best], float(1 / np.exp(mean - mean[best]).sum())))
+    return out
+
+
+def check(spark, learned, texts):
+    got, want = classify(spark, learned, texts), plain_classify(learned, texts)
+    assert [x for x, _ in got] == [x for x, _ in want]
+    assert max(abs(a - b) for (_, a), (_, b) in zip(got, want)) < 1e-5
+    return got
+
+
 def test_word_first_then_shorter_grams(spark):
-    docs = spark.createDataFrame([("thing nothing", "en"), ("chose rien", "fr")], "text string, lang string")
-    model = langid.train(docs)
-    score = lambda *texts: list(langid.Scorer(model)(pa.array(texts, pa.string())))
-    assert [x for x, _ in score("nothing", "xxthing", "rien", "riexx")] == ["en", "en", "fr", "fr"]
-    assert score("zzz", "Zzz.", None, "", "1 2", " \t")[:2] == [("en", 0.5)] * 2  # letters, none known: a tie
-    assert score(None, "", "1 2 ²", " \t") == [("und", 0.0)] * 4
-    # a known word scores its own frequency, an unknown one the mean of its longest known grams
-    logs = model.logs
-    word = logs[model.rows[0]["rien"]]
-    grams = logs[[model.rows[4][g] for g in langid.grams_of("riexx", 4) if g in model.rows[4]]].mean(axis=0)
-    for text, mean in (("rien", word), ("riexx", grams), ("RIEN riexx, 1 rien.", (2 * word + grams) / 3)):
-        p = np.exp(mean.astype(float) - mean.max())
-        assert np.isclose(score(text)[0][1], 1 / p.sum(), atol=1e-6)
-
-
-def test_batches_and_memory_make_no_difference(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    model, texts = langid.train(docs), pa.array([r.text for r in docs.collect()])
-    together = list(langid.Scorer(model)(texts))
-    scorer = langid.Scorer(model)
-    alone = []
-    for i in range(len(texts)):
-        scorer.forget()
-        alone += scorer(texts.slice(i, 1))
-    assert [x for x, _ in together] == [x for x, _ in alone]
-    assert max(abs(a - b) for (_, a), (_, b) in zip(together, alone)) < 1e-6
+    learned = [("thing nothing", "en"), ("chose rien", "fr")]
+    got = check(spark, learned, ["nothing", "xxthing", "rien", "riexx", "zzz", "Zzz.", None, "", "1 2 ²", " \t", "RIEN riexx, 1 rien.", "écho"])
+    assert [x for x, _ in got[:4]] == ["en", "en", "fr", "fr"]
+    assert got[4:6] == [("en", 0.5)] * 2  # letters, none known: a tie
+    assert got[6:10] == [("und", 0.0)] * 4
+
+
+def test_rare_words_count(spark):
+    """A word learned once among a hundred thousand others is known all the same."""
+    rows = [(" ".join(f"common{i} and" for i in range(40)), lang) for lang in ("de", "en")] * 3
+    rows += [(" ".join(f"w{lang}{i}x{k}" for i in range(500)), lang) for lang in ("de", "en") for k in range(20)]
+    rows += [("seldom", "en"), ("selten", "de")]
+    assert [x for x, _ in check(spark, rows, ["seldom", "selten", "selden"])][:2] == ["en", "de"]
+
+
+def test_random_texts(spark, monkeypatch):
+    rng = random.Random(6)
+    letters = "abcdeéßñ漢字"
+    word = lambda: "".join(rng.choices(letters, k=rng.randrange(1, 7)))
+    text = lambda: "".join(word() + rng.choice([" ", ", ", ".\n", "-", " 12 ", "\u0301 "]) for _ in range(rng.randrange(0, 30)))
+    learned = [(text(), rng.choice(["a", "b", "c"])) for _ in range(60)]
+    check(spark, learned, [text() for _ in range(60)])
+
+
+def test_documents_against_plain_python(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    held = lambda d: zlib.crc32(str(d.doc_id).encode()) % 5 == 0
+    want = plain_classify([(d.text, d.lang) for d in docs if not held(d) and d.lang is not None], [d.text for d in docs])
+    got = {r.doc_id: r for r in langid.identify(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
+    assert [got[d.doc_id].lang_pred for d in docs] == [x for x, _ in want]
+    assert max(abs(got[d.doc_id].score - x) for d, (_, x) in zip(docs, want)) < 1e-5
 
 
 def test_nasty_rows(spark):
@@ -79,7 +139,7 @@ def test_recognised_rejects_only_und(spark):
     """A text of words that three languages share has a third of the posterior each."""
     rows = [(i, f"shared words {lang}a {lang}b", lang) for i, lang in enumerate(["de", "en", "fr"] * 40)]
     docs = documents(spark, [*rows, (200, "shared words", "en"), (201, "1 2 ...", "en"), (202, None, "en")])
-    found = langid.predict(docs, langid.train(docs.filter(~langid.held_out()))).filter("doc_id = 200").first()
-    assert found["__lang"] != langid.UNKNOWN and found["__score"] < 0.5
+    found = langid.identify(docs).filter("doc_id = 200").first()
+    assert found.lang_pred != langid.UNKNOWN and found.score < 0.5
     kept = {r.doc_id for r in langid.recognised(docs).collect()}
     assert kept == {*range(120), 200}

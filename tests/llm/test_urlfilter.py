@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from surveylake.llm import urlfilter
-from surveylake.llm.queries import BLOCKED, RULES
+from surveylake.llm.queries import NAMES, RULES
 
 
 def keys(spark, values):
@@ -25,30 +25,39 @@ def test_cascade_is_exact(spark):
             assert len(cascade.levels) > 3
 
 
-def test_too_many_keys_fall_back_to_a_join(spark):
-    pages = spark.createDataFrame([(1, "http://a.b.c/x"), (1, "http://a.b.c/x"), (2, "https://b.c"), (3, "http://xb.c/"),
-                                   (4, None), (None, "ftp://Q.B.C?x")], "page_id long, url string")
-    listed = keys(spark, ["b.c", "zzz", None])
-    found = [sorted(urlfilter.judge(pages, [], listed, max_bits=bits).collect(), key=str) for bits in (1 << 20, 1)]
+def test_shards_change_no_verdict(spark):
+    pages = spark.createDataFrame([(1, "http://a.b.c/x"), (1, "http://a.b.c/x"), (2, "https://b.c"), (3, "http://xb.c/"), (5, "http://p.q/r?s"),
+                                   (6, "http://p.q/rr"), (4, None), (None, "ftp://Q.B.C?x")], "page_id long, url string")
+    listed = keys(spark, ["b.c", "zzz", None, "p.q/r", *(f"k{i}.net" for i in range(40))])
+    assert urlfilter.shards_of(41, 1 << 20) == 1 and urlfilter.shards_of(41, 128) > 3
+    found = [sorted(urlfilter.judge(pages, [], listed, max_bits=bits).collect(), key=str) for bits in (1 << 20, 128)]
     assert found[0] == found[1]
-    assert [r.verdict for r in sorted(found[0], key=lambda r: str(r.page_id))] == ["block", "block", "block", "allow", "allow",
-                                                                                   "block"]
+    assert {(r.page_id, r.verdict) for r in found[0]} == {(1, "block"), (2, "block"), (3, "allow"), (5, "block"), (6, "allow"),
+                                                          (4, "allow"), (None, "block")}
 
 
-def test_a_cascade_that_does_not_fit_whole_is_none(spark):
-    """Room for the first level by ten bits a key, not by the bits it has."""
+def test_listed_keys_of_shards_are_exact(spark):
     rng = random.Random(9)
-    universe = [f"{rng.getrandbits(40):x}.example.org" for _ in range(6000)]
-    listed = set(universe[:1000])
-    first = urlfilter._size(1000, urlfilter.FIRST_RATE)[0]
-    assert first > 10_000
-    for bits in (10_000, first - 1, first, first + 63, first + 64, 1 << 20):
-        cascade = urlfilter.build_cascade(keys(spark, listed), keys(spark, universe), bits)
-        assert (cascade is None) == (bits < 1 << 20)
-        if cascade is not None:
-            assert sum(x.bits for x in cascade.levels) <= bits
-            found = keys(spark, universe).select("key", cascade.holds(F.col("key")).alias("hit")).collect()
-            assert {r.key for r in found if r.hit} == listed
+    universe = [f"{rng.getrandbits(40):x}.example.org" for _ in range(3000)]
+    listed = set(universe[:700])
+    found = urlfilter.listed_keys(keys(spark, universe), keys(spark, [*listed, "elsewhere", None]), 3)
+    assert sorted(r.key for r in found.collect()) == sorted(listed)
+
+
+def test_listed_keys_come_from_the_pages(spark):
+    """All domains of a name whatever follows, and the pages below them; the list
+    grows with the table, and its cascade has several levels."""
+    pages = spark.createDataFrame([("http://m.free-bets.a.example.net/x?q",), ("http://free-bets.org",), ("http://x.org/free-bets",), (None,)],
+                                  "url string")
+    got = {r.key for r in urlfilter.named_keys(pages, NAMES).collect()}
+    assert got == {"free-bets.a.example.net", "m.free-bets.a.example.net/x", "free-bets.org", "free-bets.org/"}
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    listed = urlfilter.named_keys(pages, NAMES)
+    rows = pages.select(urlfilter.host_of(F.col("url")).alias("h"), urlfilter.path_of(F.col("url")).alias("p"))
+    universe = rows.select(F.explode(urlfilter.keys_of(F.col("h"), F.col("p"))).alias("key")).distinct()
+    cascade = urlfilter.build_cascade(listed, universe)
+    assert listed.count() > 100 and len(cascade.levels) > 1
+    assert universe.filter(cascade.holds(F.col("key"))).exceptAll(listed).count() == 0
 
 
 def test_hosts_paths_and_rules(spark):
@@ -64,10 +73,10 @@ def test_hosts_paths_and_rules(spark):
             ("://", "", "", None, "allow"), ("a://b://c/d", "b:", "//c/d", None, "allow"), (None, "", "", None, "allow")]
     pages = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "page_id long, url string").withColumn(
         "host", F.lit("clash")).withColumn("verdict", F.lit(0))
-    got = {r.page_id: tuple(r[1:]) for r in urlfilter.judge(pages, RULES, keys(spark, BLOCKED)).collect()}
+    got = {r.page_id: tuple(r[1:]) for r in urlfilter.judge(pages, RULES, urlfilter.named_keys(pages, NAMES)).collect()}
     assert got == {i: r[1:] for i, r in enumerate(rows)}
 
 
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
-    assert urlfilter.judge(pages, RULES, keys(spark, BLOCKED)).collect() == []
+    assert urlfilter.judge(pages, RULES, urlfilter.named_keys(pages, NAMES)).collect() == []
