@@ -116,8 +116,11 @@ def _after_root(text: str, layout: DocumentLayout) -> Column:
 
 
 def rejected_rows(parsed: DataFrame) -> DataFrame:
-    """(doc_key, payload, reason) of the documents that ``parse_documents`` rejected."""
-    return parsed.where(F.col("reason").isNotNull()).select("doc_key", F.col("rejected").alias("payload"), "reason")
+    """(doc_key, payload, reason) of the documents that ``parse_documents``
+    rejected.  (An outer explode again: a filter would be pushed below the parser.)"""
+    row = F.struct("doc_key", F.col("rejected").alias("payload"), "reason")
+    rows = parsed.select(F.explode_outer(F.when(F.col("reason").isNotNull(), F.array(row))).alias("r"))
+    return rows.where(F.col("r").isNotNull()).select("r.*")
 
 
 def rejected_documents(docs: DataFrame, layout: DocumentLayout, payload: str = "payload", base64: bool = True,
@@ -179,9 +182,13 @@ def explode_prefixed(df: DataFrame, column: str) -> DataFrame:
 
 
 def children(parsed: DataFrame, layout: DocumentLayout) -> DataFrame:
-    """(doc_key, DOC_ID, sub_pos, sub) -- one row per sub_element child."""
-    return parsed.select("doc_key", DOC_ID, F.posexplode(F.col("doc").getField(layout.sub_element))
+    """(doc_key, DOC_ID, sub_pos, sub) -- one row per sub_element child.
+
+    The outer explode keeps the optimizer from inferring a filter on the parsed
+    list, which it would push below the parser and parse every document twice."""
+    kids = parsed.select("doc_key", DOC_ID, F.posexplode_outer(F.col("doc").getField(layout.sub_element))
                          .alias("sub_pos", "sub"))
+    return kids.where(F.col("sub_pos").isNotNull())
 
 
 def header_rows(parsed: DataFrame, layout: DocumentLayout, subs: DataFrame | None = None) -> DataFrame:

@@ -409,7 +409,7 @@ def run_api_documents(spark: SparkSession, landing: str, layout: DocumentLayout,
     if not found:
         return {}
     number = I.next_load(spark, ledger, source)
-    docs = read_envelope(spark, [literal_path(r["path"]) for r in found], multi_line=multi_line)
+    docs = read_envelope(spark, [literal_path(r["path"]) for r in found], "*", multi_line)
     counts = run_document_etl(docs, layout, tables, raw_base, export_base, source, load_id=f"{source}-{number}")
     I.enter_files(spark.createDataFrame(found, "path string, length long, modified long"), ledger, source, number)
     I.save_watermark(spark, state_path, source, I.advance_watermark(cfg, w, today))
