@@ -8,8 +8,8 @@ Both token sequences then cut the same bytes, space + text; where both cut, a
 group ends, and any A and B token that overlap are linked.
 
 Tokens of neither cross a space between two plain characters, so a text falls
-into chunks that are encoded and aligned once each per Python worker.  Each block of
-documents leaves one row per distinct id pair; the pairs are counted over the
+into chunks, of which only the distinct ones are encoded and aligned, many
+together, once per Python worker.  Each block of documents leaves one row per distinct id pair; the pairs are counted over the
 corpus, and each block gets its own pairs' counts back.
 """
 
@@ -28,12 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, release, strings
+from .common import blocks_of, materialise, release, strings
 
 #: A chunk may begin and end with these; none is white space to either tokenizer.
 _BEGINS, _ENDS = r"^[!-~\pL\pN]", r"[!-~\pL\pN]$"
 _BLOCK_BYTES = 4 << 20  # of texts to a block (a longer text is a block of its own)
 _MEMO_LINKS, _MEMO_CHARS = 1_500_000, 200
+_JOINED, _TOGETHER = 64, 32  # chunks to a text, texts encoded at a time
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -44,6 +45,30 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
+def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(sizes)
+    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)]
+
+
+class Vocabulary:
+    """What a tokenizer's ids decode to, and how they are written in groups."""
+
+    def __init__(self, decoded: dict[int, bytes]):
+        size = max(decoded) + 1
+        self.bytes = [decoded.get(i, b"") for i in range(size)]
+        self.sizes = np.array([len(x) for x in self.bytes])
+        self.names = np.array([str(i) for i in range(size)], object)
+
+    def ends(self, text: bytes, ids: list[int], begins: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
+        """Byte position of every token's end in ``text``: that of its span, or,
+        if the span is not as long as the token, that of the decoded bytes.  None
+        if the tokens' bytes are not the text."""
+        if b"".join(map(self.bytes.__getitem__, ids)) != text:
+            return None
+        sizes = self.sizes[ids]
+        return np.where(ends - begins == sizes, ends, np.cumsum(sizes))
+
+
 class Aligner:
     """Tokens, groups and links of chunks, each looked at once."""
 
@@ -55,11 +80,11 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         alphabet = byte_alphabet()
-        self.a_bytes = {i: bytes(map(alphabet.__getitem__, t)) if all(c in alphabet for c in t) else t.encode()
-                        for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        self.of_a = Vocabulary({i: bytes(map(alphabet.__getitem__, t)) if all(c in alphabet for c in t) else t.encode()
+                                for t, i in self.a.get_vocab(with_added_tokens=True).items()})
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
-                        for i, p in enumerate(pieces)]
+        self.of_b = Vocabulary({i: bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
+                                for i, p in enumerate(pieces)})
         #: whether no piece of B crosses a space (runs of spaces apart)
         self.cuts_at_spaces = not any(re.search("[^▁]▁", p) for p in pieces)
         self.forget()
@@ -67,66 +92,109 @@ class Aligner:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.groups: list[str] = []
-        self.links: list[np.ndarray] = []  # a << 32 | b of every link
-        self.sizes: list[tuple[int, int, int, bool]] = []  # tokens of A, of B, groups, and whether the bytes are the text's
-        self.held = 0
-
-    def _a_ends(self, chunk: str, coded) -> tuple[list[int], list[int], bool]:
-        ids, decoded = coded.ids, [self.a_bytes[i] for i in coded.ids]
-        ascii_only = chunk.isascii()
-        # byte position of every character
-        place = None if ascii_only else np.concatenate([[0], np.cumsum([len(c.encode()) for c in chunk])]).tolist()
-        ends, at = [], 0
-        for (begin, end), token in zip(coded.offsets, decoded):
-            first, last = (begin, end) if ascii_only else (place[begin], place[end])
-            at = last if first == at and last - first == len(token) else at + len(token)
-            ends.append(at)
-        return ids, ends, b"".join(decoded) == chunk.encode()
-
-    def _b_ends(self, chunk: str, coded) -> tuple[list[int], list[int], bool]:
-        ids, ends, joined, at = [], [], [], 0
-        for piece in coded.pieces:
-            token = self.b_bytes[piece.id]
-            # spans are of the text, after the added space
-            first, last = piece.begin + (at > 0), piece.end + 1
-            at = last if first == at and last - first == len(token) else at + len(token)
-            ids.append(piece.id)
-            ends.append(at)
-            joined.append(token)
-        return ids, ends, b"".join(joined) == chunk.encode()
-
-    def _align(self, chunk: str, coded_a, coded_b) -> tuple[str, np.ndarray, tuple[int, int, int, bool]]:
-        a, a_ends, a_same = self._a_ends(chunk, coded_a)
-        b, b_ends, b_same = self._b_ends(chunk, coded_b)
-        if not (a_same and b_same):
-            return "", np.empty(0, np.int64), (0, 0, 0, False)
-        groups, links, i, j, from_i, from_j = [], [], 0, 0, 0, 0
-        while i < len(a):
-            links.append(a[i] << 32 | b[j])
-            x, y = a_ends[i], b_ends[j]
-            i += x <= y
-            j += y <= x
-            if x == y:
-                groups.append(f"{','.join(map(str, a[from_i:i]))}|{','.join(map(str, b[from_j:j]))}")
-                from_i, from_j = i, j
-        return ";".join(groups), np.array(links, np.int64), (len(a), len(b), len(groups), True)
-
-    def _encode(self, chunks: list[str]) -> Iterator[tuple[str, np.ndarray, tuple[int, int, int, bool]]]:
-        """Chunks begin with a space, which B adds by itself."""
-        coded = self.a.encode_batch(chunks, add_special_tokens=False)
-        yield from map(self._align, chunks, coded, self.b.encode([c[1:] for c in chunks], return_type="proto", num_threads=1))
-
-    def entries(self, chunks: list[str]) -> list[int]:
+        # of entry e: tokens of A, of B, groups, and whether the bytes are the text's; its links (a << 32 | b) are
+        # links[ends[e]:ends[e + 1]]; the arrays have room to grow
+        self.sizes, self.ends = np.zeros((1024, 4), np.int64), np.zeros(1024, np.int64)
+        self.links = np.zeros(4096, np.int64)
+        self.entries = self.held = 0
+
+    def _keep(self, groups: list[str], links: np.ndarray, n_links: np.ndarray, sizes: np.ndarray) -> None:
+        if (need := self.held + len(links)) > len(self.links):
+            self.links = np.concatenate([self.links, np.zeros(need, np.int64)])
+        if (want := self.entries + len(groups)) >= len(self.sizes):
+            self.sizes = np.concatenate([self.sizes, np.zeros((want, 4), np.int64)])
+            self.ends = np.concatenate([self.ends, np.zeros(want, np.int64)])
+        self.links[self.held:need] = links
+        self.ends[self.entries + 1:want + 1] = self.held + np.cumsum(n_links)
+        self.sizes[self.entries:want] = sizes
+        self.groups += groups
+        self.held, self.entries = need, want
+
+    def _tokens(self, text: str, coded_a, coded_b) -> tuple | None:
+        """(ids and byte ends of A's tokens, of B's) of a text that begins with a
+        space, or None if either's bytes are not the text's."""
+        raw = text.encode()
+        spans = np.array(coded_a.offsets, np.int64).reshape(-1, 2)
+        if len(raw) != len(text):  # character offsets become byte offsets
+            points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+            place = np.concatenate([[0], np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))])
+            spans = place[spans]
+        a_ends = self.of_a.ends(raw, coded_a.ids, spans[:, 0], spans[:, 1])
+        # B's spans are of the text without the space that it adds
+        pieces = [(p.id, p.begin, p.end) for p in coded_b.pieces]
+        b = np.array(pieces, np.int64).reshape(-1, 3)
+        b[:, 1:] += 1
+        b[:1, 1] = 0
+        b_ends = self.of_b.ends(raw, b[:, 0].tolist(), b[:, 1], b[:, 2])
+        if a_ends is None or b_ends is None:
+            return None
+        return np.array(coded_a.ids, np.int64), a_ends, b[:, 0], b_ends
+
+    def _add(self, texts: list[str], cuts: list[np.ndarray]) -> None:
+        """One entry per chunk; each text is chunks one after another, which end
+        at ``cuts`` (bytes), the last one at the text's end."""
+        coded_a = self.a.encode_batch(texts, add_special_tokens=False)
+        coded_b = self.b.encode([t[1:] for t in texts], return_type="proto", num_threads=1)
+        found, at, chunk_ends = [], 0, []
+        for text, cut, x, y in zip(texts, cuts, coded_a, coded_b):
+            tokens = self._tokens(text, x, y)
+            if tokens is None:
+                self._flush(found, chunk_ends)
+                found, chunk_ends, at = [], [], 0
+                if len(cut) == 1:
+                    self._keep([""], np.empty(0, np.int64), np.zeros(1, np.int64), np.zeros((1, 4), np.int64))
+                else:  # one of the chunks decodes to other bytes
+                    raw = text.encode()
+                    alone = [raw[a:b].decode() for a, b in zip([0, *cut.tolist()], cut.tolist())]
+                    self._add(alone, [np.array([len(c.encode())]) for c in alone])
+                continue
+            a, a_ends, b, b_ends = tokens
+            found.append((a, a_ends + at, b, b_ends + at))
+            chunk_ends.append(cut + at)
+            at += int(cut[-1])
+        self._flush(found, chunk_ends)
+
+    def _flush(self, found: list[tuple], chunk_ends: list[np.ndarray]) -> None:
+        """Aligns texts laid one after another: both tokenizers cut at every chunk's end."""
+        if not found:
+            return
+        a, a_ends, b, b_ends = (np.concatenate(x) for x in zip(*found))
+        cuts = np.concatenate(chunk_ends)
+        every = np.union1d(a_ends, b_ends)  # each is the end of one overlap
+        i, j = np.searchsorted(a_ends, every), np.searchsorted(b_ends, every)
+        links = a[i] << 32 | b[j]
+        both = (a_ends[i] == every) & (b_ends[j] == every)
+        group_ends = every[both]
+        # each group is written as its A tokens and its B tokens, with a mark after every token
+        last_a, last_b = np.isin(a_ends, group_ends), np.isin(b_ends, group_ends)
+        group_a, group_b = np.searchsorted(group_ends, a_ends), np.searchsorted(group_ends, b_ends)
+        upto_a, upto_b = np.cumsum(np.bincount(group_a, minlength=len(group_ends))), np.cumsum(np.bincount(group_b, minlength=len(group_ends)))
+        written = np.empty(len(a) + len(b), object)
+        written[np.arange(len(a)) + np.concatenate([[0], upto_b])[group_a]] = self.of_a.names[a] + np.where(last_a, "|", ",").astype(object)
+        written[np.arange(len(b)) + upto_a[group_b]] = self.of_b.names[b] + np.where(last_b, ";", ",").astype(object)
+        n_a, n_b, n_groups, n_links = (np.bincount(np.searchsorted(cuts, x), minlength=len(cuts))
+                                       for x in (a_ends, b_ends, group_ends, every))
+        flat, upto = written.tolist(), np.cumsum(n_a + n_b).tolist()
+        groups = ["".join(flat[x:y])[:-1] for x, y in zip([0, *upto], upto)]
+        self._keep(groups, links, n_links, np.stack([n_a, n_b, n_groups, np.ones(len(cuts), np.int64)], axis=1))
+
+    def chunk_entries(self, chunks: list[str]) -> list[int]:
         """The entry of each chunk (distinct ones, without their space)."""
         new = [c for c in chunks if c not in self.known]
-        at = len(self.sizes)
-        for i in range(0, len(new), 512):
-            for groups, links, sizes in self._encode([" " + c for c in new[i:i + 512]]):
-                self.groups.append(groups)
-                self.links.append(links)
-                self.sizes.append(sizes)
-                self.held += len(links)
-        found = dict(zip(new, range(at, len(self.sizes))))
+        plain = lambda x: "!" <= x <= "~" or x.isalpha()
+        joined = [c for c in new if c and len(c) <= _MEMO_CHARS and plain(c[0]) and plain(c[-1])]
+        alone = sorted(set(new).difference(joined))
+        found: dict[str, int] = {}
+        for i in range(0, len(joined), _JOINED * _TOGETHER):
+            some = joined[i:i + _JOINED * _TOGETHER]
+            found.update(zip(some, range(self.entries, self.entries + len(some))))
+            parts = [some[k:k + _JOINED] for k in range(0, len(some), _JOINED)]
+            self._add(["".join(" " + c for c in part) for part in parts],
+                      [np.cumsum([len(c.encode()) + 1 for c in part]) for part in parts])
+        for i in range(0, len(alone), _TOGETHER):
+            some = alone[i:i + _TOGETHER]
+            found.update(zip(some, range(self.entries, self.entries + len(some))))
+            self._add([" " + c for c in some], [np.array([len(c.encode()) + 1]) for c in some])
         self.known.update((c, e) for c, e in found.items() if len(c) <= _MEMO_CHARS)
         return [self.known[c] if c in self.known else found[c] for c in chunks]
 
@@ -144,19 +212,22 @@ class Aligner:
         words = strings(coded.dictionary)
         alone = sizes == 1
         used = np.unique(each[starts[alone]])
-        longer = [" ".join(words[w] for w in each[s:s + n].tolist()) for s, n in zip(starts[~alone].tolist(), sizes[~alone].tolist())]
-        names = dict.fromkeys(longer)
-        of = self.entries([*(words[w] for w in used.tolist()), *names])
+        longer = [" ".join([words[w] for w in each[s:s + n].tolist()]) for s, n in zip(starts[~alone].tolist(), sizes[~alone].tolist())]
+        names = list(dict.fromkeys(longer).keys() - {words[w] for w in used.tolist()})
+        of = self.chunk_entries([*(words[w] for w in used.tolist()), *names])
         entry = np.empty(len(starts), np.int64)
         by_word = np.zeros(len(words), np.int64)
         by_word[used] = of[:len(used)]
         entry[alone] = by_word[each[starts[alone]]]
-        by_name = dict(zip(names, of[len(used):]))
+        by_name = dict(zip(names, of[len(used):])) | {words[w]: e for w, e in zip(used.tolist(), of)}
         entry[~alone] = [by_name[x] for x in longer]
         return entry, np.searchsorted(starts, bounds)
 
-    def whole(self, text: str) -> tuple[str, np.ndarray, tuple[int, int, int, bool]]:
-        return next(self._encode([" " + text]))
+    def whole(self, text: str) -> tuple[int, int, int, str, np.ndarray]:
+        """(tokens of A, of B, groups, the groups' text, links) of a text by itself."""
+        self._add([" " + text], [np.array([len(text.encode()) + 1])])
+        e = self.entries - 1
+        return (*self.sizes[e, :3].tolist(), self.groups[e], self.links[self.ends[e]:self.ends[e + 1]])
 
 
 def worker_aligner(a_path: str, b_path: str) -> Aligner:
@@ -168,19 +239,6 @@ def worker_aligner(a_path: str, b_path: str) -> Aligner:
     return aligners[a_path, b_path]
 
 
-def _blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """(begin, end) of rows that hold up to ``_BLOCK_BYTES`` of text together."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    begin, held = 0, 0
-    for i, n in enumerate(sizes.tolist()):
-        if i > begin and held + n > _BLOCK_BYTES:
-            yield begin, i
-            begin, held = i, 0
-        held += n
-    if begin < len(sizes):
-        yield begin, len(sizes)
-
-
 def _block(aligner: Aligner, texts: pa.Array) -> tuple[list[list], np.ndarray, np.ndarray]:
     """Columns of the block's rows (tokens of A, of B, groups, links, the groups'
     text, indexes of its distinct id pairs, how often each), the block's
@@ -189,36 +247,32 @@ def _block(aligner: Aligner, texts: pa.Array) -> tuple[list[list], np.ndarray, n
         aligner.forget()
     full = pc.fill_null(pc.greater(pc.binary_length(texts), 0), False)
     rows = np.flatnonzero(full.to_numpy(zero_copy_only=False))
-    found: list[tuple] = [(0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64))] * len(texts)
+    none = np.empty(0, np.int64)
+    found: list[tuple] = [(0, 0, 0, "", none, none)] * len(texts)
     if len(rows):
         some = texts.filter(full)
         entry, bounds = aligner.split(some)
-        used, at = np.unique(entry, return_inverse=True)
-        used = used.tolist()
-        sizes = np.array([aligner.sizes[e] for e in used], np.int64)
-        groups, links = [aligner.groups[e] for e in used], [aligner.links[e] for e in used]
         for k, row in enumerate(rows.tolist()):
-            own = at[bounds[k]:bounds[k + 1]]
-            n_a, n_b, n_groups, same = sizes[own].T
-            if same.all():
+            own = entry[bounds[k]:bounds[k + 1]]
+            sizes = aligner.sizes[own].sum(axis=0).tolist()
+            if sizes[3] == len(own):
                 of, often = np.unique(own, return_counts=True)
-                pairs = np.concatenate([links[e] for e in of.tolist()])
-                times = np.repeat(often, [len(links[e]) for e in of.tolist()])
-                found[row] = (int(n_a.sum()), int(n_b.sum()), int(n_groups.sum()),
-                              ";".join([groups[e] for e in own.tolist()]), pairs, times)
+                n = aligner.ends[of + 1] - aligner.ends[of]
+                found[row] = (*sizes[:3], ";".join([aligner.groups[e] for e in own.tolist()]),
+                              _gather(aligner.links, aligner.ends[of], n), np.repeat(often, n))
             else:  # some chunk decodes to other bytes: judge the text as a whole
-                text, pairs, (x, y, z, _) = aligner.whole(some[k].as_py())
-                found[row] = (x, y, z, text, pairs, np.ones(len(pairs), np.int64))
+                *sizes, text, pairs = aligner.whole(some[k].as_py())
+                found[row] = (*sizes, text, pairs.copy(), np.ones(len(pairs), np.int64))
     counts = np.array([len(f[4]) for f in found], np.int64)
     pairs, index = np.unique(np.concatenate([f[4] for f in found]), return_inverse=True)
     times = np.concatenate([f[5] for f in found])
     total = np.bincount(index, times, len(pairs)).astype(np.int64)
     columns: list[list] = [[] for _ in range(7)]
     for f, end, n in zip(found, np.cumsum(counts).tolist(), counts.tolist()):
-        own, of = np.unique(index[end - n:end], return_inverse=True)
-        often = np.bincount(of, times[end - n:end], len(own))
+        often = np.bincount(index[end - n:end], times[end - n:end]) if n else none
+        own = np.flatnonzero(often)
         for column, value in zip(columns, (f[0], f[1], f[2], int(times[end - n:end].sum()), f[3],
-                                           own.astype("<i4").tobytes(), often.astype("<i4").tobytes())):
+                                           own.astype("<i4").tobytes(), often[own].astype("<i4").tobytes())):
             column.append(value)
     return columns, pairs, total
 
@@ -236,7 +290,7 @@ def _tokens(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, block = worker_aligner(a_path, b_path), TaskContext.get().partitionId() << 32
         for batch in batches:
-            for begin, end in _blocks(batch.column(1)):
+            for begin, end in blocks_of(batch.column(1), _BLOCK_BYTES):
                 ids, texts = (batch.column(c).slice(begin, end - begin) for c in range(2))
                 columns, pairs, total = _block(aligner, texts)
                 yield pa.RecordBatch.from_arrays(
