@@ -204,3 +204,13 @@ def changed_rows(old: DataFrame, new: DataFrame, keys: Sequence[str], fields: Ma
     cond = reduce(lambda a, b: a & b, [F.col(f"__new.`{k}`") == F.col(f"__old.__k{i}") for i, k in enumerate(keys)])
     differs = ~own.eqNullSafe(F.col("__old.__lo")) | ~own.eqNullSafe(F.col("__old.__hi"))
     return new.alias("__new").join(versions.alias("__old"), cond & differs, "left_semi")
+
+
+def changed_pairs(old: DataFrame, new: DataFrame, keys: Sequence[str], fields: Mapping[str, str],
+                  mode: str = "sentinel") -> DataFrame:
+    """J4 + J5 as the source system states them, for keys that are unique in
+    both: ``A JOIN B ON keys WHERE <change>``; the key columns, and of every
+    compared field the old value, as ``old_<field>``, and the new one."""
+    joined = old.alias("__a").join(new.alias("__b"), key_condition("__a", "__b", keys) & change_predicate("__a", "__b", fields, mode))
+    return joined.select(*[F.col(f"__b.`{k}`") for k in keys],
+                         *[F.col(f"__a.`{c}`").alias(f"old_{c}") for c in fields], *[F.col(f"__b.`{c}`") for c in fields])

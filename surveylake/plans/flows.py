@@ -368,14 +368,14 @@ def process_domain(spark: SparkSession, config: DataFrame, domain: str, base: st
 
 
 def ingest_workbooks(spark: SparkSession, folders: Mapping[str, str], raw_base: str, export_base: str,
-                     ts: dt.datetime | None = None, fmt: str = "csv") -> dict[str, int]:
+                     ts: dt.datetime | None = None, fmt: str = "csv", multi_line: bool = True,
+                     split: bool = False) -> dict[str, int]:
     """S2 + C1: every worksheet export folder (survey workbook and SQL-export
     workbook alike) landed RAW with its Period and snapshots; returns the
     row count per sheet."""
-    from ..sources.sheets import read_sheet_export
-    return {name: ingest_sheet(read_sheet_export(spark, path, fmt), f"{raw_base.rstrip('/')}/{name}",
-                               export_base, name, ts)
-            for name, path in folders.items()}
+    from ..sources.sheets import ingest_all
+    return {name: ingest_sheet(df, f"{raw_base.rstrip('/')}/{name}", export_base, name, ts)
+            for name, df in ingest_all(spark, folders, fmt, multi_line, split).items()}
 
 
 def run_api_documents(spark: SparkSession, landing: str, layout: DocumentLayout,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleanse import ntz_lit
 from ..operators.audit import dedup, total_rows
-from ..operators.merge import (changed_rows, drop_months, keep_months, month_replace,
+from ..operators.merge import (changed_pairs, changed_rows, drop_months, keep_months, month_replace,
                                update_months, upsert_by_key)
 from ..operators.union import union_sources
 from .catalog import register, table
@@ -149,6 +149,20 @@ def q_changed_rows_null_safe(spark, sf_dir):
                         ["c_custkey"], _CUSTOMER_TYPES, mode="null_safe")
 
 
+@register("changed_pairs", f"""
+WITH {_ALTERED_CUSTOMER_SQL}
+SELECT n.c_custkey, a.c_name AS old_c_name, a.c_nationkey AS old_c_nationkey, a.c_acctbal AS old_c_acctbal,
+       a.c_mktsegment AS old_c_mktsegment, n.c_name, n.c_nationkey, n.c_acctbal, n.c_mktsegment
+FROM n JOIN customer a ON a.c_custkey = n.c_custkey
+WHERE COALESCE(a.c_name, '') <> COALESCE(n.c_name, '')
+   OR COALESCE(a.c_nationkey, 0) <> COALESCE(n.c_nationkey, 0)
+   OR COALESCE(a.c_acctbal, 0) <> COALESCE(n.c_acctbal, 0)
+   OR COALESCE(a.c_mktsegment, '') <> COALESCE(n.c_mktsegment, '')""")
+def q_changed_pairs(spark, sf_dir):
+    """J4 + J5: key condition and change predicate over two aliases; old and new values."""
+    return changed_pairs(table(spark, sf_dir, "customer"), _altered_customer(spark, sf_dir), ["c_custkey"], _CUSTOMER_TYPES)
+
+
 @register("upsert_by_key", """
 WITH new AS (
   SELECT n_nationkey, lower(n_name) AS n_name, n_regionkey FROM nation WHERE n_regionkey IN (0, 1)

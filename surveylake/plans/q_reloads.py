@@ -217,3 +217,23 @@ def q_publish_unchanged(spark, sf_dir):
     changed = sources | {key: sources[key].unionByName(sources[key].orderBy(*sources[key].columns).limit(1))}
     written.append(flows.publish_models(changed, "ReasonDissatisfaction", path, ORG_CODES))
     return spark.createDataFrame([(i, n) for i, n in enumerate(written, 1)], "publish int, written long")
+
+
+@register("split_sheet", """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, replace(text, chr(13), ' ') AS text, source FROM documents""")
+def q_split_sheet(spark, sf_dir):
+    """S1 + S2: a sheet whose cells span lines and hold quotes, read in as many
+    tasks as its files have splits: the rows are those that were exported."""
+    from ..sources.sheets import read_sheet_export
+    path = scratch_path(spark, "split-sheet")
+    cells = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"), "lang", F.translate("text", "\r", " ").alias("text"), "source")
+    (cells.coalesce(2).write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 18))   # files this small would be one split each
+    try:
+        # splits are laid out when the frame is read, and its records are written while it is
+        return read_sheet_export(spark, path, split=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -157,3 +157,34 @@ def test_ingest_all_and_parquet_snapshot(spark, tmp):
     assert read_parquet(spark, os.path.join(tmp, "snap")).count() == 1
     typed = read_sheet_export(spark, os.path.join(tmp, "snap"), fmt="parquet")
     assert all(t == "string" for _, t in typed.dtypes)
+
+
+def test_split_sheets_have_the_rows_of_whole_ones(spark, tmp):
+    """Cells with line breaks, doubled quotes and commas, cut at every 40 bytes or so."""
+    import os
+    import random
+
+    from surveylake.sources.sheets import read_sheet_export
+    rng = random.Random(3)
+    os.makedirs(f"{tmp}/s")
+    cell = lambda: "".join(rng.choice(["a", "b c", ",", "\n", '""', "\r\n", "é", "long " * 30, ""]) for _ in range(rng.randrange(0, 6)))
+    for name, end in (("a.csv", "\n"), ("b.csv", "\r\n"), ("c.csv", "\n")):
+        rows = ['id,"two\nlines",c']
+        for i in range(120):
+            rows.append(f'{name}{i},"{cell()}",' + rng.choice(["", "plain", f'"{cell()}"']))
+        with open(f"{tmp}/s/{name}", "w", newline="") as f:
+            f.write(end.join(rows) + rng.choice(["", end]))
+    # multiLine leaves the carriage return of a line end in the last cell
+    want = sorted((a, b, c.removesuffix("\r")) for a, b, c in read_sheet_export(spark, f"{tmp}/s").collect())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (40, 700, 1 << 20):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            df = read_sheet_export(spark, f"{tmp}/s", split=True)
+            got = sorted(map(tuple, df.collect()))
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert df.columns == ["id", "two\nlines", "c"] and len(got) == 360
+        assert got == want
