@@ -57,8 +57,8 @@ def _responses(spark, sf_dir, status):
             .select(F.to_json(F.struct("data")).alias("value")))
 
 
-def _land(spark, sf_dir, landing, status, stamp, value=F.col("value")):
-    _responses(spark, sf_dir, status).select(value.alias("value")).write.mode("overwrite").text(f"{landing}/{status}")
+def _land(spark, sf_dir, landing, status, stamp, value="value"):
+    _responses(spark, sf_dir, status).select(F.expr(value).alias("value")).write.mode("overwrite").text(f"{landing}/{status}")
     _set_modified(spark, f"{landing}/{status}", stamp)
 
 
@@ -124,7 +124,7 @@ def q_broken_envelopes(spark, sf_dir):
     base = scratch_path(spark, "envelopes")
     for status in "FP":
         _land(spark, sf_dir, f"{base}/landing", status, dt.datetime(2024, 1, 24))
-    _land(spark, sf_dir, f"{base}/landing", "O", dt.datetime(2024, 1, 24), F.expr("substr(value, 1, length(value) - 10)"))
+    _land(spark, sf_dir, f"{base}/landing", "O", dt.datetime(2024, 1, 24), "substr(value, 1, length(value) - 10)")
     _api(spark, base, 25)
     rejects = spark.read.parquet(f"{base}/raw/ORDERS_REJECTS")
     none = F.lit(None).cast("string")
