@@ -112,8 +112,8 @@ def _blocks(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col
         for batch in batches:
             for begin, end in blocks_of(batch.column(2)):
                 ids, learned, texts, langs = (batch.column(c).slice(begin, end - begin) for c in range(4))
-                known = pc.if_else(pc.and_(learned, texts.is_valid()), langs, pa.scalar(None, pa.string()))
-                rows, words = _block(texts, known.to_pylist())
+                rows, words = _block(texts, [x if own and there else None for x, own, there in zip(
+                    langs.to_pylist(), learned.to_pylist(), texts.is_valid().to_pylist())])
                 n, m = len(ids), len(words[0])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, block)), ids, learned, *(pa.array(c, t) for c, (_, t) in zip(rows, _ROWS)),

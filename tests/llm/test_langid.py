@@ -5,7 +5,7 @@ import random
 import zlib
 
 import numpy as np
-from helpers import SF, documents, empty, nasty
+from helpers import LONG, SF, documents, empty, nasty
 
 from surveylake.llm import langid
 
@@ -130,6 +130,16 @@ def test_nasty_rows(spark):
     assert langid.identify(empty(spark)).collect() == []
 
 
+def test_several_blocks_of_one_batch(spark):
+    """Long texts, with and without a language, fill more than one block."""
+    rows = [(i, LONG + f" own{i}", ("en", None, "fr")[i % 3]) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    found = {r.id: r for r in langid.classify(docs, docs.doc_id < 30).collect()}
+    assert len(found) == 40 and all(r.lang_pred == "en" and 0 < r.score < 1 for r in found.values())  # a tie
+    got = {(r.lang, r.word): r.n for r in langid.word_counts(docs).collect()}
+    assert got["en", "own"] == 14 and got["fr", "own"] == 13
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert [tuple(r)[2:] for r in langid.identify(docs).collect()] == [("und", 0.0)]
