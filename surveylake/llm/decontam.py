@@ -250,6 +250,7 @@ def uncontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     """The rows of ``docs`` in which no window of an item occurs, all columns,
     whatever their names; rows with a null text stay."""
     _, _, runs = _runs(docs, items, id_col, text_col, item_id, item_text, window, gram)
-    hit = runs.select("text_key").distinct()
+    # written, so that its size is known: a small one is sent to every task and no text shuffled
+    hit = materialise(runs.select("text_key").distinct(), "decontam-hit")
     keyed = docs.select(packed_row(docs).alias("row"), text_key(text_col).alias("text_key"))
     return keyed.join(hit, "text_key", "left_anti").select(*unpacked("row", docs))
