@@ -15,6 +15,8 @@ corpus, and each block gets its own pairs' counts back.
 
 from __future__ import annotations
 
+import itertools
+import operator
 import os
 import re
 import sys
@@ -33,8 +35,9 @@ from .common import blocks_of, materialise, release, strings
 #: A chunk may begin and end with these; none is white space to either tokenizer.
 _BEGINS, _ENDS = r"^[!-~\pL\pN]", r"[!-~\pL\pN]$"
 _BLOCK_BYTES = 4 << 20  # of texts to a block (a longer text is a block of its own)
-_MEMO_LINKS, _MEMO_CHARS = 1_500_000, 200
+_MEMO_LINKS, _MEMO_CHARS = 2_000_000, 200
 _JOINED, _TOGETHER = 64, 32  # chunks to a text, texts encoded at a time
+_ID, _END = operator.attrgetter("id"), operator.attrgetter("end")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -113,22 +116,23 @@ class Aligner:
     def _tokens(self, text: str, coded_a, coded_b) -> tuple | None:
         """(ids and byte ends of A's tokens, of B's) of a text that begins with a
         space, or None if either's bytes are not the text's."""
-        raw = text.encode()
-        spans = np.array(coded_a.offsets, np.int64).reshape(-1, 2)
+        raw, a = text.encode(), coded_a.ids
+        spans = np.fromiter(itertools.chain.from_iterable(coded_a.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
         if len(raw) != len(text):  # character offsets become byte offsets
             points = np.frombuffer(text.encode("utf-32-le"), "<u4")
             place = np.concatenate([[0], np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))])
             spans = place[spans]
-        a_ends = self.of_a.ends(raw, coded_a.ids, spans[:, 0], spans[:, 1])
-        # B's spans are of the text without the space that it adds
-        pieces = [(p.id, p.begin, p.end) for p in coded_b.pieces]
-        b = np.array(pieces, np.int64).reshape(-1, 3)
-        b[:, 1:] += 1
-        b[:1, 1] = 0
-        b_ends = self.of_b.ends(raw, b[:, 0].tolist(), b[:, 1], b[:, 2])
-        if a_ends is None or b_ends is None:
+        a_ends = self.of_a.ends(raw, a, spans[:, 0], spans[:, 1])
+        if a_ends is None:
             return None
-        return np.array(coded_a.ids, np.int64), a_ends, b[:, 0], b_ends
+        # B's spans are of the text without the space that it adds, and lie one after another
+        pieces = list(coded_b.pieces)
+        b = list(map(_ID, pieces))
+        ends = np.fromiter(map(_END, pieces), np.int64, len(b)) + 1
+        b_ends = self.of_b.ends(raw, b, np.concatenate([[0], ends[:-1]]), ends)
+        if b_ends is None:
+            return None
+        return np.array(a, np.int64), a_ends, np.array(b, np.int64), b_ends
 
     def _add(self, texts: list[str], cuts: list[np.ndarray]) -> None:
         """One entry per chunk; each text is chunks one after another, which end
