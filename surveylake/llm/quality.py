@@ -27,8 +27,8 @@ from .common import materialise
 
 BUCKETS = 1 << 17  # of each of words and pairs
 SMOOTHING = 1.0
-#: At most so many documents of each label are learned from, taken in the order of a hash of their id.
-LABELLED = 20_000
+#: So many labelled ids may be sent to every task (about 40 MB); beyond, Spark joins them as it sees fit.
+BROADCAST_IDS = 1_000_000
 #: Every FOLDS-th labelled document is left out of the counts; each of the three
 #: tests may lose the share LOSS of trusted documents.
 FOLDS, LOSS = 5, 0.01 / 3
@@ -53,16 +53,15 @@ def with_hashes(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.withColumn("__w", F.transform(words_of(F.col(text_col)), lambda w: F.xxhash64(w))).withColumn("__n", F.size("__w"))
 
 
-def labelled_ids(trusted: DataFrame, toxic: DataFrame, id_col: str, folds: int = FOLDS, most: int = LABELLED) -> DataFrame:
-    """(__id, __toxic, __held): at most ``most`` ids of each, in the order of their
-    hash; one in both is toxic.  So few may be broadcast."""
+def labelled_ids(trusted: DataFrame, toxic: DataFrame, id_col: str, folds: int = FOLDS) -> DataFrame:
+    """(__id, __toxic, __held): every labelled id, written; one in both is toxic."""
     def some(rows: DataFrame, is_toxic: bool) -> DataFrame:
-        return (rows.select(F.col(id_col).alias("__id")).dropna().distinct().orderBy(F.xxhash64("__id"), "__id").limit(most)
-                .select("__id", F.lit(is_toxic).alias("__toxic")))
+        return rows.select(F.col(id_col).alias("__id"), F.lit(is_toxic).alias("__toxic")).dropna()
 
     held = F.pmod(F.xxhash64(F.lit("held out"), "__id"), F.lit(folds).cast("long")) == 0
     both = some(trusted, False).unionByName(some(toxic, True))
-    return F.broadcast(both.groupBy("__id").agg(F.max("__toxic").alias("__toxic")).withColumn("__held", held))
+    ids = materialise(both.groupBy("__id").agg(F.max("__toxic").alias("__toxic")).withColumn("__held", held), "quality-labelled")
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def _bucket(h: Column, buckets: int) -> Column:

@@ -161,3 +161,9 @@ def test_clean_text_is_kept_whatever_its_length(spark):
     single, joined = (found.filter(c).filter("NOT base_failed").agg(F.avg(F.col("kept").cast("int"))).first()[0]
                       for c in (F.col("doc_id").isin([r.doc_id for r in own]), F.col("doc_id") >= 10 ** 6))
     assert single >= 0.985 and joined >= single - 0.015
+
+
+def test_every_label_is_learned_from(spark):
+    good, toxic = (spark.range(a, b).select(F.col("id").alias("doc_id")) for a, b in ((0, 25_000), (24_990, 50_000)))
+    ids = quality.labelled_ids(good, toxic, "doc_id")
+    assert ids.count() == 50_000 and ids.filter("__toxic").count() == 25_010
