@@ -228,7 +228,7 @@ def q_split_sheet(spark, sf_dir):
     path = scratch_path(spark, "split-sheet")
     cells = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"), "lang", F.translate("text", "\r", " ").alias("text"), "source")
-    (cells.coalesce(2).write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True)
+    (cells.write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 18))   # files this small would be one split each
