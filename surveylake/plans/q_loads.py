@@ -23,7 +23,7 @@ from ..session import scratch_path
 from ..sinks import writers as W
 from . import flows
 from .catalog import register, table
-from .q_documents import _DOCS_SQL, HEADER_SPEC, ORDER_LAYOUT, order_documents
+from .q_documents import _DOCS_SQL, HEADER_SPEC, ORDER_LAYOUT, order_documents, responses
 from .q_models import ORG_CODES, model_sources, oracle_for
 from .q_sources import _ENVELOPE_SQL, _land_order_xml
 
@@ -76,19 +76,17 @@ def q_api_incremental(spark, sf_dir):
                                                "o_orderkey")
     stamps = {"F": dt.datetime(2024, 1, 24, 12), "O": dt.datetime(2024, 1, 25), "P": dt.datetime(2024, 1, 26, 23, 59, 59)}
     for status, stamp in stamps.items():
-        responses = (docs.where(F.col("o_orderstatus") == status)
-                     .groupBy(F.floor(F.col("o_orderkey") / 64).alias("response"))
-                     .agg(F.collect_list(F.struct(F.col("payload").alias("interfaceValue"))).alias("data")))
-        responses.select("data").write.mode("overwrite").json(f"{base}/landing/{status}")
+        (responses(spark, sf_dir, status).select("data").write.mode("overwrite").option("compression", "gzip")
+         .json(f"{base}/landing/{status}"))
         _set_modified(spark, f"{base}/landing/{status}", stamp)
     first = {"fecinicio_query": "20240101", "fecfin_query": "20240125", "interfaz_query": "ORDERS"}
     for run, day in enumerate((25, 26, 27), 1):
         flows.run_api_documents(spark, f"{base}/landing", ORDER_LAYOUT, {"HEADER": HEADER_SPEC}, f"{base}/raw{run}",
-                                f"{base}/export", f"{base}/state", "ORDERS", first, dt.date(2024, 1, day), multi_line=False)
+                                f"{base}/export", f"{base}/state", "ORDERS", first, dt.date(2024, 1, day), multi_line=False,
+                                glob="*.json.gz")
         loaded.append(spark.read.parquet(f"{base}/raw{run}/{HEADER_SPEC.name}").withColumn("run", F.lit(run)))
     every = loaded[0].unionByName(loaded[1]).unionByName(loaded[2])
-    ids = every.groupBy("UUID").agg(F.count("*").alias("n"))
-    return every.join(ids, "UUID").select(*_HEADER_COLUMNS, (F.col("n") == 1).alias("own_id"), "run")
+    return _with_own_id(every).select(*_HEADER_COLUMNS, "own_id", "run")
 
 
 @register("rejects", """
@@ -97,8 +95,6 @@ FROM orders WHERE o_orderstatus = 'P' OR (o_orderstatus = 'O' AND o_orderkey % 3
 def q_rejects(spark, sf_dir):
     """Documents of status P are no base64, two thirds of status O are cut
     off or have another root; all of them are listed with the step that failed."""
-    docs = order_documents(spark, sf_dir).join(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"),
-                                               "o_orderkey")
     third = F.col("o_orderkey") % 3
     broken = (F.when(F.col("o_orderstatus") == "P", F.lit("%%%"))
               .when((F.col("o_orderstatus") == "O") & (third == 0), encode_base64_text(F.lit("<n0:Orders><n0:Order><HEADER>")))

@@ -17,7 +17,7 @@ from ..session import scratch_path
 from . import flows
 from .catalog import register, table
 from .incremental import CURSOR_KEY, compact_state, load_watermark, save_watermark
-from .q_documents import HEADER_SPEC, ORDER_LAYOUT, ROOT_CLOSE, ROOT_OPEN, order_children, order_documents
+from .q_documents import HEADER_SPEC, ORDER_LAYOUT, ROOT_CLOSE, ROOT_OPEN, dealt, order_children, responses
 from .q_loads import _HEADER_COLUMNS, _set_modified
 from .q_models import ORG_CODES, model_sources, oracle_for
 from .q_sources import _ENVELOPE_SQL
@@ -50,21 +50,18 @@ def q_partial_documents(spark, sf_dir):
 
 def _responses(spark, sf_dir, status):
     """Responses of up to 64 documents of one status, as JSON text."""
-    docs = order_documents(spark, sf_dir).join(
-        table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == status).select("o_orderkey"), "o_orderkey")
-    return (docs.groupBy(F.floor(F.col("o_orderkey") / 64).alias("response"))
-            .agg(F.collect_list(F.struct(F.col("payload").alias("interfaceValue"))).alias("data"))
-            .select(F.to_json(F.struct("data")).alias("value")))
+    return responses(spark, sf_dir, status).select(F.to_json(F.struct("data")).alias("value"))
 
 
 def _land(spark, sf_dir, landing, status, stamp, value="value"):
-    _responses(spark, sf_dir, status).select(F.expr(value).alias("value")).write.mode("overwrite").text(f"{landing}/{status}")
+    (_responses(spark, sf_dir, status).select(F.expr(value).alias("value")).write.mode("overwrite")
+     .option("compression", "gzip").text(f"{landing}/{status}"))
     _set_modified(spark, f"{landing}/{status}", stamp)
 
 
 def _api(spark, base, day, name="ORDERS"):
     return flows.run_api_documents(spark, f"{base}/landing", ORDER_LAYOUT, _TABLES, f"{base}/raw", f"{base}/export",
-                                   f"{base}/state", name, _FIRST, dt.date(2024, 1, day), multi_line=False, glob="*.txt")
+                                   f"{base}/state", name, _FIRST, dt.date(2024, 1, day), multi_line=False, glob="*.txt.gz")
 
 
 def _raw(spark, base):

@@ -163,13 +163,12 @@ def q_read_envelope(spark, sf_dir):
     from ..schema import Field, SchemaDocument
     from ..session import scratch_path
     from ..sources.documents import read_envelope
-    from .q_documents import ORDER_LAYOUT, order_documents
-    docs = order_documents(spark, sf_dir)
-    env = (docs.groupBy(F.floor(F.col("o_orderkey") / 64).alias("response"))
-           .agg(F.collect_list(F.struct(F.col("payload").alias("interfaceValue"))).alias("data")))
+    from .q_documents import ORDER_LAYOUT, dealt, rendered
+    docs = rendered(dealt(table(spark, sf_dir, "orders"), F.floor(F.col("o_orderkey") / 64), "response"), "response")
+    env = docs.groupBy("response").agg(F.collect_list(F.struct(F.col("payload").alias("interfaceValue"))).alias("data"))
     path = scratch_path(spark, "envelopes")
-    env.select("data").write.mode("overwrite").json(path)
-    decoded = decode_documents(read_envelope(spark, path, multi_line=False), ORDER_LAYOUT, tables=["HEADER"])
+    env.select("data").write.mode("overwrite").option("compression", "gzip").json(path)
+    decoded = decode_documents(read_envelope(spark, path, "*.json.gz", multi_line=False), ORDER_LAYOUT, tables=["HEADER"])
     return conform_to_schema(decoded["HEADER"], SchemaDocument("H", [Field(n) for n in _ENVELOPE_HEADER]))
 
 
