@@ -21,6 +21,7 @@ from ..operators.nested import (DocumentLayout, conform_to_schema, decode_docume
 from ..schema import Field, SchemaDocument
 from ..session import scratch_path
 from ..sinks import writers as W
+from ..sources.documents import BROADCAST_ROWS
 from . import flows
 from .catalog import register, table
 from .q_documents import _DOCS_SQL, HEADER_SPEC, ORDER_LAYOUT, order_documents, responses
@@ -40,18 +41,37 @@ def q_stream_documents(spark, sf_dir):
     """K12 + C6 + K1: the landed XML files go through the document ETL in three
     micro-batches (RAW holds all of them, one partition each); a second run
     finds nothing new.  Every header row has an id of its own."""
-    landing, base = _land_order_xml(spark, sf_dir), scratch_path(spark, "streamed")
+    landing, base = _land_order_xml(spark, sf_dir, "gzip"), scratch_path(spark, "streamed")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
-        "pathGlobFilter", "*.txt").load(landing).select("path").count()
+        "pathGlobFilter", "*.txt.gz").load(landing).select("path").count()
     for _ in range(2):
         flows.stream_document_etl(spark, landing, f"{base}/checkpoint", ORDER_LAYOUT, {"HEADER": HEADER_SPEC},
-                                  f"{base}/raw", f"{base}/export", "MANUAL", glob="*.txt",
+                                  f"{base}/raw", f"{base}/export", "MANUAL", glob="*.txt.gz",
                                   max_files_per_trigger=math.ceil(files / 3))
     raw = spark.read.parquet(f"{base}/raw/{HEADER_SPEC.name}")
-    ids = raw.groupBy("UUID").agg(F.count("*").alias("n"))
     batches = raw.agg(F.countDistinct(W.LOAD_ID_PARTITION).cast("int").alias("batches"))
-    return (raw.join(ids, "UUID").crossJoin(F.broadcast(batches))   # one row
-            .select(*_HEADER_COLUMNS, (F.col("n") == 1).alias("own_id"), "batches"))
+    return _with_own_id(raw).crossJoin(F.broadcast(batches)).select(*_HEADER_COLUMNS, "own_id", "batches")   # one row
+
+
+def _with_own_id(rows):
+    """``rows`` with ``own_id``: whether a row's UUID is that of no other row.
+
+    Hashes of the ids are counted, then the ids whose hash comes twice or more;
+    while these are few they are sent to every task and no row is shuffled."""
+    spark = rows.sparkSession
+
+    def written(df, name):
+        path = scratch_path(spark, name)
+        df.write.mode("overwrite").parquet(path)
+        df = spark.read.schema(df.schema).parquet(path)
+        return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+    ids = rows.where(F.col("UUID").isNotNull()).select("UUID", F.xxhash64("UUID").alias("h"))
+    hashes = written(ids.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-hashes")
+    twice = ids.join(hashes, "h", "left_semi").groupBy("UUID").agg(F.count("*").alias("n")).where("n > 1")
+    twice = written(twice.select("UUID", F.lit(False).alias("alone")), "repeated-ids")
+    return (rows.where(F.col("UUID").isNotNull()).join(twice, "UUID", "left")
+            .withColumn("own_id", F.coalesce("alone", F.lit(True))).drop("alone"))
 
 
 def _set_modified(spark, path: str, when: dt.datetime) -> None:
@@ -72,8 +92,6 @@ def q_api_incremental(spark, sf_dir):
     stamped exactly at the edge of two windows, loaded by three daily runs; each
     window starts where the one before ended."""
     base, loaded = scratch_path(spark, "api"), []
-    docs = order_documents(spark, sf_dir).join(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"),
-                                               "o_orderkey")
     stamps = {"F": dt.datetime(2024, 1, 24, 12), "O": dt.datetime(2024, 1, 25), "P": dt.datetime(2024, 1, 26, 23, 59, 59)}
     for status, stamp in stamps.items():
         (responses(spark, sf_dir, status).select("data").write.mode("overwrite").option("compression", "gzip")
@@ -95,6 +113,8 @@ FROM orders WHERE o_orderstatus = 'P' OR (o_orderstatus = 'O' AND o_orderkey % 3
 def q_rejects(spark, sf_dir):
     """Documents of status P are no base64, two thirds of status O are cut
     off or have another root; all of them are listed with the step that failed."""
+    docs = order_documents(spark, sf_dir).join(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"),
+                                               "o_orderkey")
     third = F.col("o_orderkey") % 3
     broken = (F.when(F.col("o_orderstatus") == "P", F.lit("%%%"))
               .when((F.col("o_orderstatus") == "O") & (third == 0), encode_base64_text(F.lit("<n0:Orders><n0:Order><HEADER>")))

@@ -78,16 +78,16 @@ def q_two_landings(spark, sf_dir):
     base = scratch_path(spark, "landings")
     o = table(spark, sf_dir, "orders")
     for status in "FO":
-        xml = o.where(F.col("o_orderstatus") == status).select(
-            F.floor(F.col("o_orderkey") / 1024).alias("file"), order_children(o).alias("child"))
+        own = dealt(o.where(F.col("o_orderstatus") == status), F.floor(F.col("o_orderkey") / 1024), "file")
+        xml = own.select("file", order_children(own).alias("child"))
         files = xml.groupBy("file").agg(F.array_join(F.collect_list("child"), "").alias("children"))
         files.select("file", F.concat(F.lit(ROOT_OPEN), "children", F.lit(ROOT_CLOSE)).alias("value")).write.partitionBy(
-            "file").text(f"{base}/xml/{status}")
+            "file").option("compression", "gzip").text(f"{base}/xml/{status}")
     _land(spark, sf_dir, f"{base}/landing", "P", dt.datetime(2024, 1, 24))
     for _ in range(2):
         for status in "FO":
             flows.stream_document_etl(spark, f"{base}/xml/{status}", f"{base}/checkpoint/{status}", ORDER_LAYOUT, _TABLES,
-                                      f"{base}/raw", f"{base}/export", "MANUAL", glob="*.txt")
+                                      f"{base}/raw", f"{base}/export", "MANUAL", glob="*.txt.gz")
         _api(spark, base, 25)
     raw = _raw(spark, base).withColumn("group", F.when(F.col("STATUS") == "REV", "F").otherwise(F.col("STATUS")))
     groups = raw.groupBy("load_id").agg(F.countDistinct("group").alias("groups"))   # a row per load

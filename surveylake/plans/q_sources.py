@@ -202,20 +202,19 @@ def q_read_sheet_export(spark, sf_dir):
 ORDERS_PER_FILE = 1024
 
 
-def _land_order_xml(spark, sf_dir):
+def _land_order_xml(spark, sf_dir, compression="none"):
     """Land XML files (one document of up to 1,024 orders per file, a bounded
     group) under the shared scratch folder; returns the folder."""
     from ..session import scratch_path
-    from .q_documents import ROOT_CLOSE, ROOT_OPEN, order_children
-    o = table(spark, sf_dir, "orders")
-    files = (o.select(F.floor(F.col("o_orderkey") / ORDERS_PER_FILE).alias("file"), "o_orderkey",
-                      order_children(o).alias("child"))
+    from .q_documents import ROOT_CLOSE, ROOT_OPEN, dealt, order_children
+    o = dealt(table(spark, sf_dir, "orders"), F.floor(F.col("o_orderkey") / ORDERS_PER_FILE), "file")
+    files = (o.select("file", "o_orderkey", order_children(o).alias("child"))
              .groupBy("file")
              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "child"))),
                                            lambda x: x["child"]), "").alias("children"))
              .select("file", F.concat(F.lit(ROOT_OPEN), "children", F.lit(ROOT_CLOSE)).alias("value")))
     path = scratch_path(spark, "xml")
-    files.write.mode("overwrite").partitionBy("file").text(path)
+    files.write.mode("overwrite").partitionBy("file").option("compression", compression).text(path)
     return path
 
 

@@ -289,3 +289,50 @@ def test_publish_writes_what_changed(spark, tmp, monkeypatch):
     monkeypatch.setattr(flows.W, "replace_partitions", replace)
     assert publish(sources | {key: sources[key].unionByName(one)}) == 1 and publish(sources) == 1
     assert spark.read.parquet(path).count() == rows
+
+
+def test_a_document_load_caches_nothing_and_writes_compressed(spark, tmp, monkeypatch):
+    docs = spark.createDataFrame([("a", encoded(f"<R>{child(1)}</R>")), ("b", "%%%")], "doc_key string, payload string")
+    monkeypatch.setattr(type(docs), "persist", lambda *a: pytest.fail("texts are cached"))
+    counts = flows.run_document_etl(docs, LAYOUT, TABLES, f"{tmp}/raw", f"{tmp}/exp", "A", dt.datetime(2024, 1, 2))
+    assert counts["__rejected"] == 1
+    files = [os.path.join(d, f) for d, _, fs in os.walk(tmp) for f in fs if f.startswith("part-")]
+    assert files and all(f.endswith((".csv.gz", ".json.gz", ".zstd.parquet")) for f in files)
+    assert {f.rsplit("/part-", 1)[0].removeprefix(tmp).split("/")[1] for f in files} == {"raw", "exp"}
+
+
+def orders(spark, tmp, rows, files=1):
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                                "o_orderdate timestamp_ntz, o_orderpriority string").repartition(files).write.parquet(f"{tmp}/orders.parquet")
+    return tmp
+
+
+def test_responses_are_dealt_before_their_texts_are_rendered(spark, tmp):
+    from surveylake.plans.q_documents import responses
+    day = dt.datetime(1996, 1, 2)
+    sf = orders(spark, tmp, [(k, 7, s, 1.5, day, "2-HIGH") for k, s in ((1, "F"), (1, "F"), (1, "O"), (None, "F"), (70, "F"), (71, "P"))])
+    found = responses(spark, sf, "F")
+    # as a join of the documents with the keys of that status has it: three rows of key 1 meet two
+    assert sorted((r.response, len(r.data)) for r in found.collect()) == [(0, 6), (1, 1)]
+    plan = responses(spark, sf, "F")._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("RepartitionByExpression") + plan.count("Exchange ") == 1 and "Join" not in plan
+
+
+def test_own_ids(spark):
+    from surveylake.plans.q_loads import _with_own_id
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "UUID string, n int")
+    got = _with_own_id(rows)
+    assert sorted((r.n, r.own_id) for r in got.collect()) == [(1, False), (2, False), (3, True), (4, True)]
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_sheet_is_exported_by_as_many_tasks_as_there_are_splits(spark, tmp, monkeypatch):
+    from surveylake.plans.q_reloads import q_split_sheet
+    from surveylake.sources import sheets as S
+    spark.createDataFrame([(i, "en", f'a "b"\n{i}', "web") for i in range(40)], "doc_id long, lang string, text string, source string"
+                          ).repartition(8).write.parquet(f"{tmp}/documents.parquet")
+    paths, read = [], S.read_split_csv
+    monkeypatch.setattr(S, "read_split_csv", lambda s, path: paths.append(path) or read(s, path))
+    got = q_split_sheet(spark, tmp)
+    assert sorted(r.text for r in got.collect()) == sorted(f'a "b"\n{i}' for i in range(40))
+    assert len([f for f in os.listdir(paths[0].removeprefix("file:")) if f.endswith(".csv")]) > 2
