@@ -153,3 +153,27 @@ def test_recognised_rejects_only_und(spark):
     assert found.lang_pred != langid.UNKNOWN and found.score < 0.5
     kept = {r.doc_id for r in langid.recognised(docs).collect()}
     assert kept == {*range(120), 200}
+
+
+def test_words_travel_packed(spark):
+    """A block leaves a row for each shard of its words, not one for each word; all come out again."""
+    rows = [(i, " ".join(f"w{chr(97 + i % 10)}{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(600)), "en") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    found = langid._blocks(docs, docs.doc_id < 10, "doc_id", "text", "lang")
+    assert found.count() <= 20 + langid.LEAST_SHARDS
+    assert {r.n for r in langid.word_counts(docs).collect()} == {2} and langid.word_counts(docs).count() == 6000
+
+
+def test_the_number_of_shards_makes_no_difference(spark, monkeypatch):
+    learned = [("thing nothing écho 漢字", "en"), ("chose rien écho", "fr")]
+    texts = ["nothing xxthing", "riexx écho", "zzz", None, "漢字 thing rien"]
+    want = check(spark, learned, texts)
+    for shards in (1, 200):
+        monkeypatch.setattr(langid, "LEAST_SHARDS", shards)
+        assert check(spark, learned, texts) == want
+
+
+def test_only_words_without_a_learned_4_gram_are_cut_shorter(spark):
+    logs = spark.createDataFrame([(4, "_thi", [-1.0]), (1, "t", [-9.0]), (2, "_q", [-2.0]), (1, "q", [-3.0])], "order int, word string, logs array<double>")
+    words = spark.createDataFrame([("this",), ("qu",), ("zz",)], "word string")
+    assert {r.word: r.logs for r in langid._by_grams(words, logs, 1).collect()} == {"this": [-1.0], "qu": [-2.0]}
