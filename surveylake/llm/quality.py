@@ -36,6 +36,7 @@ NEVER = -100.0  # log share of trusted words like none that was seen
 MIN_WORDS, MAX_REPEATED = 50, 50  # words; per cent of the words in repeated 3-word windows
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
+FEW = 32  # repeated windows of a document that are looked up one by one
 
 
 def words_of(text: Column) -> Column:
@@ -127,13 +128,17 @@ def learn(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, buckets:
 
 
 def n_repeated() -> Column:
-    """Words inside 3-word windows that occur twice or more.  __s has the windows'
-    hashes and places, sorted (null if none repeats): those equal to a neighbour
-    are put back in order and the words they cover counted.
+    """Words inside 3-word windows that occur twice or more.  __g has the windows'
+    hashes and __d those that repeat (null if none does).  Up to FEW of these are
+    looked up for every window.  Of more, __s has the windows' hashes and places,
+    sorted: those equal to a neighbour are put back in order.  Then the words that
+    the places cover are counted.
     """
     place = lambda k: F.get("__s", k)
     twin = lambda x, k: (place(k - 1).g == x.g) | (place(k + 1).g == x.g)
-    places = F.sort_array(F.filter(F.transform("__s", lambda x, k: F.when(twin(x, k), x.i)), lambda i: i.isNotNull()))
+    there = lambda places: F.filter(places, lambda i: i.isNotNull())
+    places = (F.when(F.col("__s").isNotNull(), F.sort_array(there(F.transform("__s", lambda x, k: F.when(twin(x, k), x.i)))))
+              .when(F.col("__d").isNotNull(), there(F.transform("__g", lambda g, i: F.when(F.array_contains("__d", g), i)))))
     start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
     return F.aggregate(
         F.coalesce(places, F.array().cast("array<int>")), start,
@@ -146,10 +151,11 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, hashed: list[list[Colum
     ``hashed`` (columns of __n, __w and of steps before) are there for the scores."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split("__t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    without = lambda chars: F.length(F.translate("__t", chars, ""))
-    base = with_hashes(docs.select(F.col(id_col), text.alias("__t")), "__t").select(
-        id_col, "__n", "__w", without(WHITE).alias("word_chars"),
-        (F.length("__t") - without(SYMBOLS)).alias("n_symbols"), lines.alias("__l"))
+    words = docs.select(F.col(id_col), text.alias("__t")).select("*", words_of(F.col("__t")).alias("__x"))
+    base = words.select(
+        id_col, F.size("__x").alias("__n"), F.transform("__x", lambda w: F.xxhash64(w)).alias("__w"),
+        F.length(F.array_join("__x", "")).alias("word_chars"),
+        F.length(F.regexp_replace("__t", f"[^{SYMBOLS}]+", "")).alias("n_symbols"), lines.alias("__l"))
     grams = F.transform(_steps(F.size("__w"), 3),
                         lambda i: F.xxhash64(F.get("__w", i), F.get("__w", i + 1), F.get("__w", i + 2)))
     for step in hashed:
@@ -159,8 +165,9 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, hashed: list[list[Colum
         grams.alias("__g"), *(x.alias(name) for name, x in scores.items()))
     repeats = F.size(F.array_distinct("__g")) < F.size("__g")
     windows = F.transform("__g", lambda g, i: F.struct(g.alias("g"), i.alias("i")))
-    counted = scored.select(id_col, "__n", "word_chars", "n_symbols", "n_dup_lines", *scores,
-                            F.when(repeats, F.sort_array(windows)).alias("__s"))
+    counted = scored.select("*", F.when(repeats, F.sort_array("__g")).alias("__o"))
+    counted = counted.select("*", F.array_distinct(F.filter("__o", lambda g, k: g == F.get("__o", k - 1))).alias("__d"))
+    counted = counted.select("*", F.when(F.size("__d") > FEW, F.sort_array(windows)).alias("__s"))
     counted = counted.withColumn("n_repeat_words", n_repeated())
     failed = (F.col("__n") < min_words) | (100 * F.col("n_repeat_words") > max_repeated * F.col("__n"))
     # written: a filter on the result must not be pushed into the expressions above

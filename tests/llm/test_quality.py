@@ -167,3 +167,15 @@ def test_every_label_is_learned_from(spark):
     good, toxic = (spark.range(a, b).select(F.col("id").alias("doc_id")) for a, b in ((0, 25_000), (24_990, 50_000)))
     ids = quality.labelled_ids(good, toxic, "doc_id")
     assert ids.count() == 50_000 and ids.filter("__toxic").count() == 25_010
+
+
+def test_few_and_many_repeated_windows(spark, monkeypatch):
+    """Windows that repeat are looked up one by one or found by sorting, with the same counts."""
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices("abcdefgh"[:k], k=n)) for k in (1, 2, 4, 8) for n in (3, 4, 30, 300)] + ["a b\x0bc $% a  b c", None]
+    rows = documents(spark, [(i, t, "en") for i, t in enumerate(texts)])
+    want = {i: base(t) for i, t in enumerate(texts)}
+    for few in (0, quality.FEW, 1000):
+        monkeypatch.setattr(quality, "FEW", few)
+        got = {r.doc_id: tuple(r)[1:6] for r in quality.judge(rows, ids(spark, []), ids(spark, [])).collect()}
+        assert got == want
