@@ -301,6 +301,41 @@ def test_a_document_load_caches_nothing_and_writes_compressed(spark, tmp, monkey
     assert {f.rsplit("/part-", 1)[0].removeprefix(tmp).split("/")[1] for f in files} == {"raw", "exp"}
 
 
+def test_every_table_of_a_document_load_is_de_duplicated(spark, tmp, monkeypatch):
+    from surveylake.operators import nested
+    tables = {"H": SchemaDocument("T_HEAD", [Field("UUID"), Field("ID")]),
+              "B": SchemaDocument("T_BODY", [Field("UUID"), Field("UUID_HEAD"), Field("V")])}
+    body = lambda *vs: f"<R>{child(1, ''.join(f'<B><V>{v}</V></B>' for v in vs))}</R>"
+    rows = [("alone", body("a", "a")), ("twice", body("a")), ("twice", body("a")), ("grown", body("a")), ("grown", body("a", "b")),
+            ("changed", body("a")), ("changed", body("c")), (None, body("a")), (None, body("a")), ("twice", "<R>")]
+    docs = spark.createDataFrame([(k, encoded(x)) for k, x in rows], "doc_key string, payload string")
+    for turn, limit in enumerate((10, 0)):   # few keys are shared; more than may be sent to every task
+        monkeypatch.setattr(nested, "SHARED_KEYS", limit)
+        base = f"{tmp}/{turn}"
+        counts = flows.run_document_etl(docs, LAYOUT, tables, f"{base}/raw", f"{base}/exp", "A", dt.datetime(2024, 1, 2))
+        assert counts == {"T_HEAD": 9, "T_BODY": 11, "__rejected": 1}
+        for name, n in (("T_HEAD", 5), ("T_BODY", 8)):
+            raw = spark.read.parquet(f"{base}/raw/{name}")
+            assert raw.count() == raw.distinct().count() == n
+            assert spark.read.option("header", True).csv(f"{base}/exp/CSV/{name}/*").count() == n
+    parsed = nested.parse_documents(docs.where("doc_key = 'alone'"), LAYOUT)
+    assert nested.split_by_key(parsed) == (parsed, None)   # no row is shuffled where no key is shared
+
+
+def test_document_etl_drops_the_rows_of_an_order_that_comes_twice(spark, tmp):
+    from surveylake.plans.catalog import oracle_sql, queries
+    from surveylake.plans.verify import compare
+    import duckdb
+    day = dt.datetime(1996, 1, 2)
+    sf = orders(spark, tmp, [(k, 7, s, 1.5, day, "4-NOT SPECIFIED") for k, s in ((1, "F"), (1, "F"), (2, "O"), (2, "P"))])
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{sf}/orders.parquet/*.parquet'")
+    got = queries()["document_etl"](spark, sf)
+    assert got.count() == 9
+    ok, said = compare(got, con, oracle_sql()["document_etl"])
+    assert ok, said
+
+
 def orders(spark, tmp, rows, files=1):
     spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
                                 "o_orderdate timestamp_ntz, o_orderpriority string").repartition(files).write.parquet(f"{tmp}/orders.parquet")
