@@ -336,6 +336,43 @@ def test_document_etl_drops_the_rows_of_an_order_that_comes_twice(spark, tmp):
     assert ok, said
 
 
+def test_a_document_load_spares_room(spark, tmp, monkeypatch):
+    n = 20_000
+    xml = F.concat(F.lit("<R>"), F.lit(child("x")), F.lit("</R>"))
+    docs = spark.range(n).coalesce(2).select(F.concat(F.lit("d"), "id").alias("doc_key"), F.base64(F.encode(xml, "UTF-8")).alias("payload"))
+    tables, seen = {"H": SchemaDocument("T_HEAD", [Field("UUID"), Field("DOCUMENTE_XML_ID")])}, []
+    size = lambda path: sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.startswith("part-"))
+    decode, archive = flows.decode_documents, flows.W.archive_json
+
+    def decoded(docs, layout, parsed_path, strict):
+        out = decode(docs, layout, parsed_path=parsed_path, strict=strict)
+        seen.extend((parsed_path.removeprefix("file:"), spark.read.parquet(parsed_path).columns))
+        return out
+
+    def archived(*a):
+        seen.append(os.path.exists(seen[0]))
+        return archive(*a)
+
+    monkeypatch.setattr(flows, "decode_documents", decoded)
+    monkeypatch.setattr(flows.W, "archive_json", archived)
+    flows.run_document_etl(docs, LAYOUT, tables, f"{tmp}/raw", f"{tmp}/exp", "A", dt.datetime(2024, 1, 2))
+    # the parsed documents lie aside without the ids that do not compress, and are gone before the archives
+    assert seen[1] == ["doc_key", "doc", "reason", "rejected"] and seen[2] is False
+    # two ids a row, of 32 bytes if each of 64 hex digits takes four bits
+    assert size(f"{tmp}/raw/T_HEAD") < 2 * 34 * n and size(f"{tmp}/exp/CSV") < 2 * 36 * n
+    assert spark.read.parquet(f"{tmp}/raw/T_HEAD").distinct().count() == n
+
+
+def test_documents_are_dealt_out_only_where_few_tasks_would_read_them(spark, tmp):
+    from surveylake.plans.q_documents import order_documents
+    day = dt.datetime(1996, 1, 2)
+    rows = [(k, 7, "F", 1.5, day, "2-HIGH") for k in range(800)]
+    shuffled = lambda sf: "Exchange" in order_documents(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    even, one, none = (orders(spark, f"{tmp}/{name}", some, files) for name, some, files in (("even", rows, 8), ("one", rows, 1), ("none", [], 1)))
+    assert [shuffled(sf) for sf in (even, one, none)] == [False, True, True]
+    assert sorted(r.o_orderkey for r in order_documents(spark, even).collect()) == [r[0] for r in rows]
+
+
 def orders(spark, tmp, rows, files=1):
     spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
                                 "o_orderdate timestamp_ntz, o_orderpriority string").repartition(files).write.parquet(f"{tmp}/orders.parquet")
